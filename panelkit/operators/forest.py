@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import TIERS, decode_tier, encode_tier
 from panelkit.operators.series import lead_value
+from panelkit.sources.tables import checkpointed
 
 
 @dataclass(frozen=True)
@@ -139,8 +140,11 @@ class ForestRun:
 
 
 def run_forest(history: DataFrame, spec: ForestSpec) -> ForestRun:
-    """Label, split by time, fit on the past, predict the held-out periods and the next one."""
-    prepared = prepare_features(history, spec)
+    """Label, split by time, fit on the past, predict the held-out periods and the next one.
+
+    Training passes over its rows several times, so the prepared rows are written once.
+    """
+    prepared = checkpointed(prepare_features(history, spec))
     labelled = prepared.filter(F.col("label").isNotNull())
     split = assemble(temporal_split(labelled, "target_period", spec.holdout), spec)
     model = fit_forest(split.filter(~F.col("is_test")), spec)

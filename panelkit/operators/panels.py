@@ -65,15 +65,19 @@ def densify(
     period: str,
     fills: Mapping[str, Any],
     entities: DataFrame | None = None,
+    span: DataFrame | None = None,
 ) -> DataFrame:
     """Every entity in every period between the first and the last of the whole frame.
 
     The frame holds one row per entity and period. Columns in ``fills`` get their constant where
     missing. ``entities`` (one row per entity, with any attributes to carry along) says which
-    entities the grid has; by default all of the frame. The two bounds are scalar subqueries, so
-    the grid itself needs no join.
+    entities the grid has; by default all of the frame. ``span`` is any frame with the same range
+    of periods; giving the rows the frame was aggregated from spares aggregating them once more
+    for the bounds. The two bounds are scalar subqueries, so the grid itself needs no join.
     """
-    bounds = df.agg(F.min(period).cast("int").alias("lo"), F.max(period).cast("int").alias("hi"))
+    bounds = (df if span is None else span).agg(
+        F.min(period).cast("int").alias("lo"), F.max(period).cast("int").alias("hi")
+    )
     periods = F.sequence(bounds.select("lo").scalar(), bounds.select("hi").scalar())
     members = df.select(entity).distinct() if entities is None else entities
     grid = members.select("*", F.explode(periods).alias(period))

@@ -35,11 +35,11 @@ from panelkit.operators.indicators import (
     response_gaps,
 )
 from panelkit.operators.indicators import risk_profile as _risk_profile
-from panelkit.operators.panels import averages_panel, densify, outer_panel, semi_filter, union_distinct
+from panelkit.operators.panels import averages_panel, densify, outer_panel
 from panelkit.operators.series import lag_value, naive_projection, yoy_growth
 from panelkit.operators.trend import backtest
 from panelkit.operators.trend import trend_forecast as _trend_forecast
-from panelkit.sources.tables import between_years
+from panelkit.sources.tables import between_years, checkpointed
 
 PLACE_YEAR = ["location_code", "year"]
 STOCKS = ("refugees", "asylum_seekers", "oip", "idps")
@@ -177,7 +177,7 @@ def host_aggregates(displaced: DataFrame) -> DataFrame:
     # Distinct first: the minimum over text then runs on a few rows per host.
     named = require_not_null(displaced.select("coa_iso", "coa_name").distinct(), ["coa_name"])
     hosts = named.groupBy("coa_iso").agg(F.min("coa_name").alias("coa_name"))
-    dense = densify(sums, "coa_iso", "year", {out: 0 for out in totals}, hosts)
+    dense = densify(sums, "coa_iso", "year", {out: 0 for out in totals}, hosts, displaced)
     lagged = lag_value(dense, ["coa_iso"], "year", "total_hosted_stock", out="hosted_stock_lag1")
     return lagged.withColumn(
         "growth_rate", growth_rate(F.col("total_hosted_stock"), F.col("hosted_stock_lag1"))
@@ -323,8 +323,9 @@ def scored_needs(needs: DataFrame) -> DataFrame:
         national, PLACE_YEAR, "population_status", "category", "population", NEED_STATUSES
     )
     gaps = response_gaps(metrics, "population_in_need", "population_targeted", "population_reached")
+    # The scores use the gaps twice; written once, the needs are read once.
     return minmax_score(
-        gaps, "year", {"score_gap_absolute": "aid_gap", "score_gap_ratio": "aid_gap_ratio"}, 3
+        checkpointed(gaps), "year", {"score_gap_absolute": "aid_gap", "score_gap_ratio": "aid_gap_ratio"}, 3
     )
 
 
@@ -377,11 +378,11 @@ def aid_demand(
         require_not_null(df, PLACE_YEAR) for df in (needs, conflict_events, foodsecurity)
     )
     funding = require_not_null(funding, [*PLACE_YEAR, "appeal_code"])
-    countries = union_distinct([population, population], [["coa_iso"], ["coo_iso"]], ["location_code"])
 
+    # Regional aggregates among the indicators need no filter of their own: they are no country of
+    # the population table, and only keys from there are kept below.
     def indicator(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-        known = semi_filter(require_not_null(df, PLACE_YEAR), countries, ["location_code"])
-        return known.select(*PLACE_YEAR, F.col(column).alias(out or column))
+        return require_not_null(df, PLACE_YEAR).select(*PLACE_YEAR, F.col(column).alias(out or column))
 
     appeals = appeal_funding(
         funding, ["location_code"], "year", "appeal_code", "requirements_usd", "funding_usd", "ingested_at"

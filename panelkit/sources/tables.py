@@ -29,11 +29,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage by writing the frame to the reliable checkpoint folder."""
-    folder = checkpoint_dir(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Cut the lineage: write the frame to the shared folder once and go on from the written table.
+
+    For results that are small next to what they are computed from and are used more than once.
+    Written as Parquet, so later steps still read only the columns they need, and lost executors
+    cost a read rather than the computation.
+    """
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/frame-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def between_years(df: DataFrame, first: int, last: int, column: str = "year") -> DataFrame:

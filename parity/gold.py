@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.plans import gold
+from panelkit.sources import checkpointed
 from parity.indicators import APPEALS_SQL, CONFLICT_SQL, NEEDS_SQL, POVERTY_SQL, rounded_money
 from parity.panels import HOSTS_SQL
 from parity.registry import query, rnd
@@ -16,9 +17,8 @@ from parity.views import (
     funding,
     location,
     needs,
-    population,
     povertyrate,
-    solutions,
+    routes,
     wb_extreme_poverty,
     wb_gdp,
     wb_mpm,
@@ -153,7 +153,7 @@ def country_fact(spark: SparkSession, d: str) -> DataFrame:
            hdx_sev, mpm, ext_pov, peak_population_phase3plus
     FROM measured"""))
 def host_pressure_indices(spark: SparkSession, d: str) -> DataFrame:
-    hosts = gold.host_aggregates(gold.displacement(population(spark, d), solutions(spark, d)))
+    hosts = gold.host_aggregates(gold.displacement(*routes(spark, d)))
     return _rounded(gold.host_pressure_indices(hosts, _facts(spark, d)))
 
 
@@ -194,7 +194,8 @@ AID_SQL = f"""
     crisis AS (SELECT location_code, year, bool_or(ipc_phase IN ('3', '3+', '4', '5')) AS has_food_crisis
                FROM foodsecurity WHERE ipc_type = 'current' AND admin_level = 0 GROUP BY 1, 2),
     outside AS (
-      SELECT location_code, year, arg_max_null(funding_usd, (ingested_at, funding_usd)) AS funding_outside_appeals_usd
+      SELECT location_code, year, arg_max_null(funding_usd, (ingested_at, coalesce(funding_usd, -1)))
+               AS funding_outside_appeals_usd
       FROM funding WHERE appeal_code = 'Not specified' GROUP BY 1, 2),
     joined AS (
       SELECT *, coalesce(internal_idps, 0) + coalesce(stock_hosted, 0) AS total_displacement_burden
@@ -223,7 +224,7 @@ AID_SQL = f"""
 
 def _aid(spark: SparkSession, d: str) -> DataFrame:
     return gold.aid_demand(
-        population(spark, d), solutions(spark, d), needs(spark, d), conflict_events(spark, d),
+        *routes(spark, d), needs(spark, d), conflict_events(spark, d),
         foodsecurity(spark, d), funding(spark, d), wb_gdp(spark, d), wb_mpm(spark, d),
         wb_extreme_poverty(spark, d), wb_population(spark, d), first_year=1996, last_year=2001,
     )
@@ -252,4 +253,4 @@ def _score(variable: str, high_is_worse: bool) -> str:
               AS evaluable_dimensions
     FROM profile"""))
 def aid_risk_profile(spark: SparkSession, d: str) -> DataFrame:
-    return gold.risk_profile(_aid(spark, d))
+    return gold.risk_profile(checkpointed(_aid(spark, d)))

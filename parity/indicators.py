@@ -31,6 +31,7 @@ from panelkit.operators import (
 from panelkit.plans import gold
 from parity.registry import query, rnd
 from parity.views import (
+    cents,
     conflict_events,
     customer_year,
     foodsecurity,
@@ -63,7 +64,7 @@ COVERAGE_SQL = """
     FROM covered"""))
 def coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
     def total(c):
-        return F.sum(F.round(F.col(c) * 100).cast("bigint")) / 100.0
+        return F.sum(cents(c)) / 100.0
 
     totals = funding(spark, d).groupBy("location_code", "year").agg(
         total("funding_usd").alias("received"), total("requirements_usd").alias("required")
@@ -111,7 +112,7 @@ def appeals_by_nation(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql=with_ctes("funding", body="""
-    SELECT location_code, year, arg_max_null(funding_usd, (ingested_at, funding_usd)) AS funding_outside_appeals_usd
+    SELECT location_code, year, arg_max_null(funding_usd, (ingested_at, coalesce(funding_usd, -1))) AS funding_outside_appeals_usd
     FROM funding WHERE appeal_code = 'Not specified' GROUP BY 1, 2"""))
 def funding_outside_appeals(spark: SparkSession, d: str) -> DataFrame:
     return gold.funding_outside_appeals(funding(spark, d))

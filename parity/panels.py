@@ -20,15 +20,14 @@ from panelkit.operators import (
     union_distinct,
 )
 from panelkit.plans import gold
-from parity.registry import query, rnd
+from parity.registry import query
 from parity.views import (
     cents,
     customer_year,
     funding,
     location,
     nation_year,
-    population,
-    solutions,
+    routes,
     table,
     with_ctes,
 )
@@ -55,7 +54,7 @@ ROUTES_SQL = """
 
 @query(sql=with_ctes("population", "solutions", body=f"{ROUTES_SQL} SELECT * FROM routes"))
 def route_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return gold.displacement(population(spark, d), solutions(spark, d))
+    return gold.displacement(*routes(spark, d))
 
 
 @query(sql=with_ctes("population", "solutions", body=f"""
@@ -64,7 +63,7 @@ def route_matrix(spark: SparkSession, d: str) -> DataFrame:
            CASE WHEN inflows IS NOT NULL THEN greatest(0, inflows) END AS inflows
     FROM routes"""))
 def route_matrix_floored(spark: SparkSession, d: str) -> DataFrame:
-    floored = gold.displacement(population(spark, d), solutions(spark, d), floor_zero=True)
+    floored = gold.displacement(*routes(spark, d), floor_zero=True)
     return floored.select("year", "coo_iso", "coa_iso", "stock", "outflows", "inflows")
 
 
@@ -96,7 +95,7 @@ HOSTS_SQL = f"""
 
 @query(sql=with_ctes("population", "solutions", body=f"{HOSTS_SQL} SELECT * FROM hosts"))
 def host_aggregates(spark: SparkSession, d: str) -> DataFrame:
-    return gold.host_aggregates(gold.displacement(population(spark, d), solutions(spark, d)))
+    return gold.host_aggregates(gold.displacement(*routes(spark, d)))
 
 
 @query(sql=with_ctes("population", "solutions", body="""
@@ -118,7 +117,7 @@ def host_aggregates(spark: SparkSession, d: str) -> DataFrame:
            CASE WHEN balance IS NOT NULL THEN greatest(0, -balance) END AS untracked_outflow
     FROM balanced"""))
 def hosted_flows(spark: SparkSession, d: str) -> DataFrame:
-    return gold.hosted_flows(population(spark, d), solutions(spark, d))
+    return gold.hosted_flows(*routes(spark, d))
 
 
 @query(name="flow_balance", sql=with_ctes("customer_year", body="""
@@ -154,7 +153,11 @@ DENSE_SQL = """
 @query(sql=with_ctes("customer_year", body=f"{DENSE_SQL} SELECT * FROM dense"))
 def dense_grid(spark: SparkSession, d: str) -> DataFrame:
     """Every customer in every year, 0 where nothing was ordered."""
-    return densify(customer_year(spark, d), "o_custkey", "year", {"n_orders": 0, "amount_cents": 0})
+    orders = table(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
+    return densify(
+        customer_year(spark, d), "o_custkey", "year", {"n_orders": 0, "amount_cents": 0},
+        entities=orders.select("o_custkey").distinct(), span=orders,
+    )
 
 
 @query(name="growth_rate", sql=with_ctes("customer_year", body=f"""
@@ -263,7 +266,7 @@ def effective_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 # The SQL counts the days one by one, to check the closed form against.
-@query(sql=with_ctes("funding", body=f"""
+@query(sql=with_ctes("funding", body="""
     , dated AS (
       SELECT *, date_diff('day', reference_period_start, reference_period_end) + 1 AS total_days
       FROM funding WHERE year(reference_period_start) <= year(reference_period_end)),
@@ -278,7 +281,7 @@ def effective_flags(spark: SparkSession, d: str) -> DataFrame:
       SELECT o_orderkey, CAST(year(reference_period_start) AS INT), 1e0
       FROM dated WHERE year(reference_period_start) = year(reference_period_end))
     SELECT location_code, o_orderkey, alloc_year AS year,
-           {rnd("share * funding_usd", 4, 8)} AS funding, {rnd("share * requirements_usd", 4, 8)} AS requirements
+           share * funding_usd AS funding, share * requirements_usd AS requirements
     FROM shares JOIN dated USING (o_orderkey)"""))
 def prorata_alloc(spark: SparkSession, d: str) -> DataFrame:
     appeals = funding(spark, d).drop("year", "ingested_at", "appeal_code")
@@ -286,10 +289,7 @@ def prorata_alloc(spark: SparkSession, d: str) -> DataFrame:
         appeals, "reference_period_start", "reference_period_end",
         {"funding": "funding_usd", "requirements": "requirements_usd"},
     )
-    return spread.select(
-        "location_code", "o_orderkey", "year",
-        *[F.round(c, 4).alias(c) for c in ("funding", "requirements")],
-    )
+    return spread.select("location_code", "o_orderkey", "year", "funding", "requirements")
 
 
 @query(name="rejected_periods", sql=with_ctes("funding", body="""

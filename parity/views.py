@@ -6,16 +6,23 @@ summed in whole cents, so sums do not depend on the order of the rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.sources import checkpointed
+
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Only its plan is kept, so that its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cents(column: str) -> Column:
-    return F.round(F.col(column) * 100).cast("bigint")
+    # rint, as round goes through decimals; the products are whole but for the last digit.
+    return F.rint(F.col(column) * 100).cast("bigint")
 
 
 def whole(column: str) -> Column:
@@ -27,6 +34,24 @@ def iso(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+PARTY_KEYS = {"customer": ("c_custkey", "c_nationkey"), "supplier": ("s_suppkey", "s_nationkey")}
+
+
+def at_place(df: DataFrame, spark: SparkSession, d: str, party: str, key: str) -> DataFrame:
+    """Add the nation of a row's customer or supplier as its location.
+
+    Joined one table after the other, not with the two tables joined beforehand: the size of a
+    plain table is known when planning, that of a join is overestimated, and the rows would be
+    shuffled for fear of it.
+    """
+    own_key, nation_key = PARTY_KEYS[party]
+    parties = table(spark, d, party).select(F.col(own_key).alias(key), nation_key)
+    nations = table(spark, d, "nation").select(
+        F.col("n_nationkey").alias(nation_key), F.col("n_name").alias("location_code")
+    )
+    return df.join(parties, key).join(nations, nation_key).drop(nation_key)
+
+
 CENTS = "CAST(round({0} * 100) AS BIGINT)"
 
 
@@ -163,18 +188,6 @@ VIEW_SQL["population"] = f"""
                CAST(sum(qty) FILTER (coo = coa) AS BIGINT) AS idps
         FROM order_lines GROUP BY 1, 2, 3) {_ROUTE_NAMES_SQL}"""
 
-
-def population(spark: SparkSession, d: str) -> DataFrame:
-    """Quantities in transit as people displaced; goods within one nation are the internal ones."""
-    stocks = order_lines(spark, d).groupBy("year", "coo", "coa").agg(
-        F.sum(F.when(F.col("l_linestatus") == "O", F.col("qty"))).alias("refugees"),
-        F.sum(F.when(F.col("l_linestatus") == "F", F.col("qty"))).alias("asylum_seekers"),
-        F.count_if(F.col("l_discount") == 0).alias("oip"),
-        F.sum(F.when(F.col("coo") == F.col("coa"), F.col("qty"))).alias("idps"),
-    )
-    return _with_route_names(stocks, spark, d)
-
-
 BUILT_ON["solutions"] = ("order_lines",)
 VIEW_SQL["solutions"] = f"""
   SELECT {_ROUTE_COLUMNS_SQL}, returned_refugees, resettlement, naturalisation, returned_idps
@@ -186,16 +199,34 @@ VIEW_SQL["solutions"] = f"""
         FROM order_lines WHERE l_tax = 0 GROUP BY 1, 2, 3) {_ROUTE_NAMES_SQL}"""
 
 
-def solutions(spark: SparkSession, d: str) -> DataFrame:
-    """Untaxed quantities by return flag as people leaving; many routes have none in a year."""
+def routes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Population and solutions tables.
+
+    Quantities in transit are people displaced, those within one nation the internally displaced.
+    Untaxed quantities by return flag are people leaving; some routes have none in a year. Both
+    come from one pass over the joined lines, whose few sums are written once.
+    """
     flag, qty = F.col("l_returnflag"), F.col("qty")
-    flows = order_lines(spark, d).filter("l_tax = 0").groupBy("year", "coo", "coa").agg(
-        F.sum(F.when(flag == "R", qty)).alias("returned_refugees"),
-        F.sum(F.when(flag == "A", qty)).alias("resettlement"),
-        F.sum(F.when(flag == "N", qty)).alias("naturalisation"),
-        F.sum(F.when((flag == "R") & (F.col("coo") == F.col("coa")), qty)).alias("returned_idps"),
+    internal, untaxed = F.col("coo") == F.col("coa"), F.col("l_tax") == 0
+    sums = order_lines(spark, d).groupBy("year", "coo", "coa").agg(
+        F.sum(F.when(F.col("l_linestatus") == "O", qty)).alias("refugees"),
+        F.sum(F.when(F.col("l_linestatus") == "F", qty)).alias("asylum_seekers"),
+        F.count_if(F.col("l_discount") == 0).alias("oip"),
+        F.sum(F.when(internal, qty)).alias("idps"),
+        F.sum(F.when(untaxed & (flag == "R"), qty)).alias("returned_refugees"),
+        F.sum(F.when(untaxed & (flag == "A"), qty)).alias("resettlement"),
+        F.sum(F.when(untaxed & (flag == "N"), qty)).alias("naturalisation"),
+        F.sum(F.when(untaxed & (flag == "R") & internal, qty)).alias("returned_idps"),
+        F.count_if(untaxed).alias("_untaxed"),
+    )
+    written = checkpointed(_with_route_names(sums, spark, d))
+    route = ["year", "coo_iso", "coo_name", "coa_iso", "coa_name"]
+    return (
+        written.select(*route, "refugees", "asylum_seekers", "oip", "idps"),
+        written.filter("_untaxed > 0").select(
+            *route, "returned_refugees", "resettlement", "naturalisation", "returned_idps"
+        ),
     )
-    return _with_route_names(flows, spark, d)
 
 
 # -- reports by place, level and category -------------------------------------------------------
@@ -209,9 +240,6 @@ VIEW_SQL["place_reports"] = """
 
 def place_reports(spark: SparkSession, d: str) -> DataFrame:
     """Lines as reports from the supplier's nation."""
-    places = table(spark, d, "supplier").join(
-        table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    ).select("s_suppkey", F.col("n_name").alias("location_code"))
     lines = table(spark, d, "lineitem").select(
         "l_suppkey",
         F.year("l_shipdate").alias("year"),
@@ -222,7 +250,7 @@ def place_reports(spark: SparkSession, d: str) -> DataFrame:
         cents("l_tax").alias("tax"),
         cents("l_discount").alias("discount"),
     )
-    return lines.join(places, F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
+    return at_place(lines, spark, d, "supplier", "l_suppkey").drop("l_suppkey")
 
 
 BUILT_ON["conflict_events"] = ("place_reports",)
@@ -404,16 +432,12 @@ def funding(spark: SparkSession, d: str) -> DataFrame:
         F.max("l_shipdate").alias("_last"),
         F.sum(F.when(F.col("l_returnflag") == "R", cents("l_extendedprice"))).alias("_received"),
     )
-    places = table(spark, d, "customer").join(
-        table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("c_custkey", F.col("n_name").alias("location_code"))
     appeal = F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Not specified").otherwise(
         F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
     )
+    orders = table(spark, d, "orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return (
-        table(spark, d, "orders")
-        .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(places, F.col("o_custkey") == F.col("c_custkey"))
+        at_place(orders, spark, d, "customer", "o_custkey")
         .select(
             "location_code", "o_orderkey", appeal.alias("appeal_code"),
             F.year("o_orderdate").alias("year"), F.col("o_orderdate").alias("ingested_at"),
