@@ -57,8 +57,8 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query(sql=with_ctes("funding", body=f"""
     {FUNDED_SQL}
-    SELECT location_code, year, {rnd("funding_received_usd", 2, 6)} AS funding_received_usd,
-           {rnd("requirements_usd", 2, 6)} AS requirements_usd,
+    SELECT location_code, year, {rnd("funding_received_usd", 2)} AS funding_received_usd,
+           {rnd("requirements_usd", 2)} AS requirements_usd,
            {rnd("funding_coverage_pct", 6)} AS funding_coverage_pct,
            {rnd("lag(funding_coverage_pct) OVER (PARTITION BY location_code ORDER BY year)", 6)}
              AS funding_coverage_lag1
@@ -96,8 +96,8 @@ FACT_VIEWS = (
     "wb_population", "wb_gdp", "location",
 )
 ROUNDED_SQL = f"""
-    {rnd("funding_received_usd", 2, 6)} AS funding_received_usd,
-    {rnd("requirements_usd", 2, 6)} AS requirements_usd"""
+    {rnd("funding_received_usd", 2)} AS funding_received_usd,
+    {rnd("requirements_usd", 2)} AS requirements_usd"""
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:

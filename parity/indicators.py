@@ -85,11 +85,11 @@ APPEALS_SQL = f"""
         FROM funding WHERE requirements_usd > 0) WHERE v = 1),
     totals AS (
       SELECT location_code, year, count(appeal_code) AS num_appeals,
-             {rnd("sum(CAST(round(requirements_usd * 100) AS BIGINT)) / 100", 2, 4)} AS total_required_usd,
-             {rnd("sum(CAST(round(funding_usd * 100) AS BIGINT)) / 100", 2, 4)} AS total_received_usd
+             {rnd("sum(CAST(round(requirements_usd * 100) AS BIGINT)) / 100", 2)} AS total_required_usd,
+             {rnd("sum(CAST(round(funding_usd * 100) AS BIGINT)) / 100", 2)} AS total_received_usd
       FROM newest GROUP BY 1, 2),
     pct AS (
-      SELECT *, {rnd("total_required_usd - total_received_usd", 2, 4)} AS funding_gap_usd,
+      SELECT *, {rnd("total_required_usd - total_received_usd", 2)} AS funding_gap_usd,
              {rnd("total_received_usd * 1e2 / total_required_usd", 2)} AS funding_coverage_pct
       FROM totals),
     appeals AS (
@@ -296,7 +296,7 @@ PRESSURE_SQL = f"""
       FROM stock JOIN nation ON s_nationkey = n_nationkey LEFT JOIN served ON c_nationkey = n_nationkey),
     indexed AS (
       SELECT *, least(1e2, {rnd("25e0 * log10(1e0 + stock / nullif(customers, 0))", 2)}) AS log_index,
-             {rnd("stock * 1e3 / nullif(customers, 0)", 3, 8)} AS per_1000
+             {rnd("stock * 1e3 / nullif(customers, 0)", 3)} AS per_1000
       FROM pressure),
     tiered AS (
       SELECT *, CASE WHEN per_capita < 0.0005 THEN 'Low' WHEN per_capita < 0.001 THEN 'Medium'
@@ -356,7 +356,7 @@ def top_orders(spark: SparkSession, d: str) -> DataFrame:
     joined AS (SELECT k, year, internal, hosted, coalesce(internal, 0) + coalesce(hosted, 0) AS burden
                FROM bought FULL JOIN sold USING (k, year))
     SELECT joined.*, {per_1000} AS per_1000 FROM joined LEFT JOIN people USING (k)""".format(
-        per_1000=rnd("burden * 1e3 / population", 3, 8)))
+        per_1000=rnd("burden * 1e3 / population", 3)))
 def burden(spark: SparkSession, d: str) -> DataFrame:
     from panelkit.operators import outer_panel
 

@@ -27,6 +27,6 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     return register
 
 
-def rnd(expression: str, digits: int, exact: int = 10) -> str:
+def rnd(expression: str, digits: int) -> str:
     """SQL for Spark's rounding of doubles: halves, as printed in decimal, go away from zero."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38, {exact})), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({expression})::DOUBLE AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
