@@ -17,17 +17,21 @@ YearRule = Literal["native", "period_start", "period_span", "none"]
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """One feed. ``mapping`` takes JSON paths to column names."""
+    """One feed. ``ddl`` is the schema of its JSON, ``mapping`` takes JSON paths to column names."""
 
     topic: str
     table: str
-    schema: StructType
+    ddl: str
     mapping: Mapping[str, str]
     not_null: tuple[str, ...]
     keys: tuple[str, ...]
     year_rule: YearRule
     placeholder_ints: tuple[str, ...] = field(default=())
 
+    @property
+    def schema(self) -> StructType:
+        return StructType.fromDDL(self.ddl)
+
 
 PLACE = "location_code STRING, location_name STRING"
 ADMIN1 = f"{PLACE}, admin1_code STRING, admin1_name STRING"
@@ -48,12 +52,12 @@ ROUTE_KEY = ("year", "coo_iso", "coa_iso")
 
 
 def _feed(topic, ddl, not_null, keys, year_rule, table=None, placeholder_ints=(), mapping=None):
-    schema = StructType.fromDDL(ddl)
+    names = [column.split()[0] for column in ddl.split(", ")]
     return FeedSpec(
         topic=topic,
         table=table or topic,
-        schema=schema,
-        mapping=mapping or {name: name for name in schema.fieldNames()},
+        ddl=ddl,
+        mapping=mapping or {name: name for name in names},
         not_null=tuple(not_null),
         keys=tuple(keys),
         year_rule=year_rule,

@@ -31,16 +31,16 @@ from panelkit.streaming import append_stream, read_stream
 from parity.registry import query
 from parity.views import customer_year, funding, iso, nation_year, table, with_ctes
 
-EVENT_SCHEMA = StructType.fromDDL("id BIGINT, who STRUCT<user: BIGINT>, kind STRING, amount DOUBLE")
+EVENT_DDL = "id BIGINT, who STRUCT<user: BIGINT>, kind STRING, amount DOUBLE"
 EVENT_FIELDS = {"id": "event_id", "who.user": "user_id", "kind": "event_type", "amount": "value"}
 EVENT_SQL = "SELECT event_id, user_id, event_type, value FROM events"
 
 
-def _event_json(amount=F.col("value")):
+def _event_json():
     """An event as a feed would send it: numbers quoted, the user nested."""
     return F.to_json(F.struct(
         F.col("event_id").cast("string").alias("id"), F.struct(F.col("user_id").alias("user")).alias("who"),
-        F.col("event_type").alias("kind"), amount.alias("amount"),
+        F.col("event_type").alias("kind"), F.col("value").alias("amount"),
     ))
 
 
@@ -70,7 +70,7 @@ def unwrap_pages(spark: SparkSession, d: str) -> DataFrame:
     head = F.element_at(heads, (F.col("page") % 5 + 1).cast("int"))
     tail = F.when(head.startswith("["), "]").otherwise("}")
     answers = pages.select(F.concat(head, F.col("records"), tail).alias("body"))
-    return parse_json_records(unwrap_records(answers, "body"), EVENT_SCHEMA, EVENT_FIELDS)
+    return parse_json_records(unwrap_records(answers, "body"), StructType.fromDDL(EVENT_DDL), EVENT_FIELDS)
 
 
 @query(sql=EVENT_SQL)
@@ -81,7 +81,7 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
         spark, "parquet", {"path": f"{d}/events.parque[t]"}, table(spark, d, "events").schema
     )
     messages = source.select(_event_json().cast("binary").alias("value"))
-    rows = stamp_ingested(parse_json_records(messages, EVENT_SCHEMA, EVENT_FIELDS))
+    rows = stamp_ingested(parse_json_records(messages, StructType.fromDDL(EVENT_DDL), EVENT_FIELDS))
     store = _scratch(spark)
     append_stream(rows, store.path("bronze", "events"), f"{store.root}/checkpoint").awaitTermination()
     return store.read("bronze", "events").drop("ingested_at")

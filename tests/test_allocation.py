@@ -1,0 +1,56 @@
+from datetime import date, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from panelkit import operators as op
+from tests.conftest import rows
+
+PERIODS = "i INT, s STRING, e STRING, a DOUBLE"
+
+
+def allocate(df):
+    return op.prorate_by_year(df, "s", "e", {"got": "a"})
+
+
+def test_within_one_year_keeps_the_amount(frame):
+    df = frame(PERIODS, (1, "2020-03-01", "2020-12-31", 10.0), (2, "2020-05-01T00:00:00", "2020-01-01", 7.0))
+    assert rows(allocate(df).select("i", "year", "got"), "i") == [(1, 2020, 10.0), (2, 2020, 7.0)]
+
+
+def test_days_are_counted_with_both_ends_and_leap_years(frame):
+    df = frame(PERIODS, (1, "2019-12-31", "2021-01-01", 368.0), (2, "2020-12-31", "2021-01-01", None))
+    assert rows(allocate(df).select("i", "year", F.round("got", 9)), "i", "year") == [
+        (1, 2019, 1.0), (1, 2020, 366.0), (1, 2021, 1.0), (2, 2020, None), (2, 2021, None),
+    ]
+
+
+def test_unusable_periods_are_set_aside(frame):
+    df = frame(
+        PERIODS, (1, None, "2020-01-01", 1.0), (2, "2021-01-01", "2020-12-31", 1.0), (3, "2020-01-01", "x", 1.0),
+        (4, "2020-01-01", "2021-01-01", 1.0),
+    )
+    assert rows(op.rejected_periods(df, "s", "e").select("i"), "i") == [(1,), (2,), (3,)]
+    assert allocate(df).select("i").distinct().collect() == [(4,)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(
+    st.tuples(st.dates(date(1999, 1, 1), date(2030, 1, 1)), st.integers(0, 2500), st.floats(0, 1e9)),
+    min_size=1, max_size=20,
+))
+def test_shares_add_up_and_match_counting_days(spark, periods):
+    data = [(i, s, s + timedelta(days=n), a) for i, (s, n, a) in enumerate(periods)]
+    df = spark.createDataFrame(data, "i INT, s DATE, e DATE, a DOUBLE")
+    found = {(r["i"], r["year"]): r["got"] for r in allocate(df).collect()}
+    expected = {}
+    for i, s, e, a in data:
+        total = (e - s).days + 1
+        for d in range(total):
+            key = (i, (s + timedelta(days=d)).year)
+            expected[key] = expected.get(key, 0) + 1
+        for key in [k for k in expected if k[0] == i]:
+            expected[key] = a * expected[key] / total
+    assert found == pytest.approx(expected)
