@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.sql import DataFrame
+
 from panelkit.operators.forest import ForestRun, ForestSpec
 from panelkit.plans import gold
 from panelkit.plans.silver import refresh_all_silver
@@ -12,6 +14,7 @@ from panelkit.sources.tables import TableStore
 from panelkit.streaming.ingest import ingest_feed
 
 PRESSURE_TABLE = "gold_host_pressure_indices"
+BY_TABLE = {feed.table: feed for feed in FEEDS.values()}
 
 
 def refresh_bronze(store: TableStore, source: str, options: Mapping[str, Mapping[str, str]]) -> None:
@@ -20,11 +23,15 @@ def refresh_bronze(store: TableStore, source: str, options: Mapping[str, Mapping
         ingest_feed(store, FEEDS[topic], source, source_options)
 
 
+def _silver(store: TableStore, name: str) -> DataFrame:
+    return store.read("silver", name, BY_TABLE[name].silver_schema)
+
+
 def refresh_features(store: TableStore) -> None:
     """Feature tables, country facts and host pressure; each is written once and read back."""
 
     def silver(name):
-        return store.read("silver", name)
+        return _silver(store, name)
 
     def publish(name, df, partition_by=()):
         store.overwrite(df, "gold", name, partition_by)
@@ -66,7 +73,7 @@ def refresh_aid(store: TableStore) -> None:
         "worldbank_gdp", "worldbank_mpm", "worldbank_extreme_poverty", "worldbank_population",
     )
     store.overwrite(
-        gold.aid_demand(*[store.read("silver", t) for t in tables]), "gold", "aid_demand_analysis"
+        gold.aid_demand(*[_silver(store, t) for t in tables]), "gold", "aid_demand_analysis"
     )
     aid = store.read("gold", "aid_demand_analysis")
     store.overwrite(gold.trend_forecast(aid), "gold", "trend_forecast")

@@ -35,7 +35,7 @@ def refresh_silver(store: TableStore, feed: FeedSpec, since=None, mode: str = "r
     ``mode="replace"`` lets the batch replace the years it touches, ``"merge"`` keeps older keys
     of those years.
     """
-    bronze = read_since(store.read("bronze", feed.table), since=since)
+    bronze = read_since(store.read("bronze", feed.table, feed.bronze_schema), since=since)
     store.upsert(refine(bronze, feed), "silver", feed.table, mode=mode, keys=_table_keys(feed))
 
 

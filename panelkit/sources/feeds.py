@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Literal
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, IntegerType, StructType, TimestampType
 
 YearRule = Literal["native", "period_start", "period_span", "none"]
 
@@ -30,8 +31,33 @@ class FeedSpec:
 
     @property
     def schema(self) -> StructType:
+        """Schema of the JSON."""
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def bronze_schema(self) -> StructType:
+        """Schema of the table of raw rows."""
+        table = StructType()
+        for path, name in self.mapping.items():
+            table.add(name, type_at(self.schema, path))
+        return table.add("ingested_at", TimestampType())
+
+    @property
+    def silver_schema(self) -> StructType:
+        """Schema of the cleaned table."""
+        table = StructType()
+        for column in self.bronze_schema.fields:
+            table.add(column.name, IntegerType() if column.name in self.placeholder_ints else column.dataType)
+        parts = {"period_start": ("year", "month", "day"), "period_span": ("year",)}
+        for name in parts.get(self.year_rule, ()):
+            table.add(name, IntegerType())
+        return table
+
+
+def type_at(schema: StructType, path: str) -> DataType:
+    """Type of a field given by its dotted path."""
+    return reduce(lambda found, name: found[name].dataType, path.split("."), schema)
+
 
 PLACE = "location_code STRING, location_name STRING"
 ADMIN1 = f"{PLACE}, admin1_code STRING, admin1_name STRING"

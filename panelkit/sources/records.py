@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from panelkit.sources.feeds import type_at
+
 # The fields of an API answer that may hold its records, in order of preference.
 RECORD_FIELDS = ("items", "results", "data")
 
@@ -21,10 +23,6 @@ def _as_text(data_type: DataType) -> DataType:
     return StringType()
 
 
-def _type_at(schema: StructType, path: str) -> DataType:
-    return reduce(lambda t, name: t[name].dataType, path.split("."), schema)
-
-
 def parse_json_records(
     df: DataFrame,
     schema: StructType,
@@ -41,22 +39,22 @@ def parse_json_records(
     strings lose their quotes (which breaks records with leading zeros).
 
     A record that is not valid JSON gives NULL in every column. ``raw_out`` keeps the text of
-    exactly those records, so they can be counted or set aside.
+    exactly those records, so they can be counted or set aside; finding them takes another look
+    at every text.
     """
     text = F.col(column).cast("string")
     if compat:
-        rewritten = F.regexp_replace(F.regexp_replace(text, "'", "*"), r'"(\d+)"', "$1")
-        record = F.from_json(rewritten, schema)
-        fields = [_nested(record, path) for path in mapping]
-        broken = F.try_parse_json(rewritten).isNull()
-    else:
-        record = F.from_json(text, _as_text(schema))
-        fields = [_nested(record, path).try_cast(_type_at(schema, path)) for path in mapping]
-        broken = F.try_parse_json(text).isNull()
-    parsed = [f.alias(name) for f, name in zip(fields, mapping.values())]
+        text = F.regexp_replace(F.regexp_replace(text, "'", "*"), r'"(\d+)"', "$1")
+    # Two projections: reading the fields off the call itself would parse the text once per field.
+    record = F.from_json("_text", schema if compat else _as_text(schema))
+    parsed = df.select(text.alias("_text")).select("_text", record.alias("_record"))
+    values = [_nested(F.col("_record"), path) for path in mapping]
+    if not compat:
+        values = [v.try_cast(type_at(schema, path)) for v, path in zip(values, mapping)]
+    columns = [v.alias(name) for v, name in zip(values, mapping.values())]
     if raw_out:
-        parsed.append(F.when(broken, text).alias(raw_out))
-    return df.select(*parsed)
+        columns.append(F.when(F.try_parse_json("_text").isNull(), F.col("_text")).alias(raw_out))
+    return parsed.select(*columns)
 
 
 def _nested(record: Column, path: str) -> Column:

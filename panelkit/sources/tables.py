@@ -10,6 +10,7 @@ from uuid import uuid4
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.operators.cleaning import latest_by
 
@@ -52,15 +53,24 @@ def _columns_at(spark: SparkSession, path: str) -> list[str] | None:
         return None
 
 
+def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a table partition together for writing.
+
+    Without it every task would write a file into every partition. Adaptive execution splits a
+    partition that holds much of the data over several tasks, and merges small ones.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a table, schema included. The new files are complete before the old ones go."""
     spark = df.sparkSession
     path = path.rstrip("/")
     staging, retired = (f"{path}__{kind}_{uuid4().hex}" for kind in ("new", "old"))
-    df.write.partitionBy(*partition_by).parquet(staging)
+    _rebalanced(df, partition_by).write.partitionBy(*partition_by).parquet(staging)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     target, new, old = hadoop_path(path), hadoop_path(staging), hadoop_path(retired)
-    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if files.exists(target):
         files.rename(target, old)
     if not files.rename(new, target):
@@ -102,7 +112,8 @@ def upsert_partitions(
         kept = old.join(touched, same, "left_semi")
         df = latest_by(kept.unionByName(df, allowMissingColumns=True), keys, order)
     (
-        df.write.mode("overwrite")
+        _rebalanced(df, [partition])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -132,12 +143,15 @@ class TableStore:
     def exists(self, layer: str, name: str) -> bool:
         return _columns_at(self.spark, self.path(layer, name)) is not None
 
-    def read(self, layer: str, name: str, **types: str) -> DataFrame:
-        """A table as it is now; columns added by later batches are included.
+    def read(self, layer: str, name: str, schema: StructType | None = None, **types: str) -> DataFrame:
+        """A table as it is now.
 
+        With a ``schema``, columns missing in older files are NULL and no file is opened for
+        planning. Without one, the schemas of all files are merged, which opens every file.
         ``types`` sets the type of partition columns where their folder names do not tell.
         """
-        table = self.spark.read.option("mergeSchema", "true").parquet(self.path(layer, name))
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
+        table = reader.parquet(self.path(layer, name))
         return table.withColumns({c: F.col(c).cast(t) for c, t in types.items()}) if types else table
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:

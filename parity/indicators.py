@@ -23,6 +23,7 @@ from panelkit.operators import (
     distribution,
     lag_value,
     minmax_score,
+    outer_panel,
     peak_by,
     risk_profile,
     top,
@@ -358,8 +359,6 @@ def top_orders(spark: SparkSession, d: str) -> DataFrame:
     SELECT joined.*, {per_1000} AS per_1000 FROM joined LEFT JOIN people USING (k)""".format(
         per_1000=rnd("burden * 1e3 / population", 3)))
 def burden(spark: SparkSession, d: str) -> DataFrame:
-    from panelkit.operators import outer_panel
-
     customers = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
     bought = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").join(
         customers, F.col("o_custkey") == F.col("c_custkey")

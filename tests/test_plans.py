@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from panelkit import operators as op
 from panelkit.plans.silver import refine
-from panelkit.sources import FEEDS, read_since
+from panelkit.sources import FEEDS, parse_json_records, read_since
+from panelkit.sources.tables import _rebalanced
 from parity import views
 
 
@@ -73,3 +74,14 @@ def test_refine_is_one_stage_of_shuffle(spark, frame):
 def test_place_reports_read_only_what_they_need(spark):
     text = plan(views.place_reports(spark, "/root/testdata/sf0.001").groupBy("year").agg(F.sum("qty")))
     assert "l_tax" not in text and "l_extendedprice" not in text
+
+
+def test_json_is_parsed_once_per_record(spark, frame):
+    feed = FEEDS["population"]
+    parsed = parse_json_records(frame("value STRING", ("{}",)), feed.schema, feed.mapping)
+    assert plan(parsed).count("from_json(") == 1
+
+
+def test_partitioned_writes_gather_and_split_partitions(spark, frame):
+    df = frame("year INT, v INT", (2000, 1))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(_rebalanced(df, ["year"]))
