@@ -69,9 +69,12 @@ def temporal_split(df: DataFrame, period: str, holdout: int = 2) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Weight per class, inverse to its frequency: rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("class_rows"))
-    rows = counts.agg(F.sum("class_rows").alias("n")).scalar()
-    classes = counts.agg(F.count(F.lit(1)).alias("k")).scalar()
-    return counts.withColumn("class_weight", rows / (classes * F.col("class_rows")))
+    all_classes = counts.agg(
+        F.struct(F.sum("class_rows").alias("rows"), F.count(F.lit(1)).alias("classes")).alias("totals")
+    ).scalar()
+    return counts.withColumn(
+        "class_weight", all_classes["rows"] / (all_classes["classes"] * F.col("class_rows"))
+    )
 
 
 def add_class_weights(df: DataFrame, spec: ForestSpec, label: str = "label") -> DataFrame:
