@@ -87,8 +87,7 @@ def add_class_weights(df: DataFrame, spec: ForestSpec, label: str = "label") ->
 def fit_forest(train: DataFrame, spec: ForestSpec) -> RandomForestClassificationModel:
     """Grow the forest. Rows are partitioned and ordered by key, so the same data and the same
     number of partitions give the same bootstrap samples on every run."""
-    spark = train.sparkSession
-    partitions = spec.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = spec.partitions or train.sparkSession.sparkContext.defaultParallelism
     ordered = (
         add_class_weights(train, spec)
         .select(spec.entity, spec.period, "features", "label", "class_weight")

@@ -19,11 +19,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
     Taken from ``spark.checkpoint.dir`` of the session. Only where neither that nor a checkpoint
-    directory is set, as in a local test, a temporary folder is made and set for the session.
+    directory is set and Spark runs on one machine, as in a test, a temporary folder is made and
+    set for the session; a cluster's executors would not see each other's files there.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="panelkit-")
         context.setCheckpointDir(folder)
     return folder
@@ -169,12 +172,15 @@ class TableStore:
         )
 
     def ensure_table(self, layer: str, name: str) -> None:
-        """Enter the table in the catalog unless it is there already."""
+        """Enter the table in the catalog unless it is there already; make all its partitions known."""
         self.ensure_database(layer)
+        qualified = f"`{layer}`.`{name}`"
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{layer}`.`{name}` USING parquet "
-            f"LOCATION '{self.path(layer, name)}'"
+            f"CREATE TABLE IF NOT EXISTS {qualified} USING parquet LOCATION '{self.path(layer, name)}'"
         )
+        if any(column.isPartition for column in self.spark.catalog.listColumns(qualified)):
+            self.spark.catalog.recoverPartitions(qualified)
+        self.spark.catalog.refreshTable(qualified)
 
     def register_views(self, layer: str, names: Sequence[str]) -> None:
         """Make tables queryable with ``spark.sql`` under their own names, prefixed by the layer."""

@@ -89,6 +89,12 @@ def test_catalog_and_views(store, spark, frame):
     assert rows(spark.sql("SELECT * FROM gold.t")) == [("a", 1)]
     store.register_views("gold", ["t"])
     assert rows(spark.sql("SELECT sum(v) FROM gold_t")) == [(1,)]
+    store.upsert(frame(ROWS, ("a", 1, T1, 2020), ("b", 2, T1, 2021)), "gold", "yearly")
+    store.ensure_table("gold", "yearly")
+    assert rows(spark.sql("SELECT k, year FROM gold.yearly"), "k") == [("a", 2020), ("b", 2021)]
+    store.upsert(frame(ROWS, ("c", 3, T1, 2022)), "gold", "yearly")
+    store.ensure_table("gold", "yearly")
+    assert spark.table("gold.yearly").filter("year >= 2021").count() == 2
     spark.sql("DROP DATABASE gold CASCADE")
 
 
