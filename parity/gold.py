@@ -153,8 +153,9 @@ def country_fact(spark: SparkSession, d: str) -> DataFrame:
            hdx_sev, mpm, ext_pov, peak_population_phase3plus
     FROM measured"""))
 def host_pressure_indices(spark: SparkSession, d: str) -> DataFrame:
-    hosts = gold.host_aggregates(gold.displacement(*routes(spark, d)))
-    return _rounded(gold.host_pressure_indices(hosts, _facts(spark, d)))
+    """As in the lakehouse, the routes and the facts are written before the next step reads them."""
+    hosts = gold.host_aggregates(checkpointed(gold.displacement(*routes(spark, d))))
+    return _rounded(gold.host_pressure_indices(hosts, checkpointed(_facts(spark, d))))
 
 
 AID_VIEWS = (

@@ -20,6 +20,7 @@ from panelkit.operators import (
     union_distinct,
 )
 from panelkit.plans import gold
+from panelkit.sources import checkpointed
 from parity.registry import query
 from parity.views import (
     cents,
@@ -95,7 +96,8 @@ HOSTS_SQL = f"""
 
 @query(sql=with_ctes("population", "solutions", body=f"{HOSTS_SQL} SELECT * FROM hosts"))
 def host_aggregates(spark: SparkSession, d: str) -> DataFrame:
-    return gold.host_aggregates(gold.displacement(*routes(spark, d)))
+    """The routes are used three times over, so they are written first, as in the lakehouse."""
+    return gold.host_aggregates(checkpointed(gold.displacement(*routes(spark, d))))
 
 
 @query(sql=with_ctes("population", "solutions", body="""
