@@ -57,6 +57,20 @@ def json_props(spark: SparkSession, d: str) -> DataFrame:
     return parse_json_records(events.select(text.alias("value")), schema, {"id": "event_id", "props.k": "k"})
 
 
+@query(sql="""
+    SELECT doc_id, replace(text, '''', '*') AS text, replace(source, '''', '*') AS source, n_chars
+    FROM documents""")
+def json_compat(spark: SparkSession, d: str) -> DataFrame:
+    """Whole documents through the older rewriting: apostrophes become asterisks, numbers lose quotes."""
+    record = F.struct(
+        F.col("doc_id").cast("string").alias("id"), "text", "source", F.col("n_chars").cast("string").alias("n")
+    )
+    messages = table(spark, d, "documents").select(F.to_json(record).alias("value"))
+    schema = StructType.fromDDL("id BIGINT, text STRING, source STRING, n BIGINT")
+    fields = {"id": "doc_id", "text": "text", "source": "source", "n": "n_chars"}
+    return parse_json_records(messages, schema, fields, compat=True)
+
+
 @query(sql=EVENT_SQL)
 def unwrap_pages(spark: SparkSession, d: str) -> DataFrame:
     """Events packed into API pages of at most 50, in the four shapes of answer, and unpacked."""

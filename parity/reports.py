@@ -155,3 +155,10 @@ def rf_evaluation(spark: SparkSession, d: str) -> DataFrame:
     """Precision, recall and F1 per tier on the two held-out years."""
     run = forest.run_forest(_suppliers(spark, d), SPEC)
     return classification_report(run.test_predictions, "label", "prediction", [0.0, 1.0, 2.0, 3.0])
+
+
+@query()
+def rf_importances(spark: SparkSession, d: str) -> DataFrame:
+    """What the forest goes by, most important first."""
+    run = forest.run_forest(_suppliers(spark, d), SPEC)
+    return forest.importances(run.model, SPEC)
