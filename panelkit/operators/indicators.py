@@ -138,8 +138,9 @@ def minmax_score(
     )
 
     def score(out: str, c: str) -> Column:
-        low, high = F.col(f"_min_{c}"), F.col(f"_max_{c}")
-        position = F.try_divide((F.col(c) - low).cast("double"), (high - low).cast("double"))
+        # As doubles, since the difference of two integers may not fit their type.
+        value, low, high = (F.col(name).cast("double") for name in (c, f"_min_{c}", f"_max_{c}"))
+        position = F.try_divide(value - low, high - low)
         return F.round(1 - position if out in inverted else position, digits)
 
     return (

@@ -49,7 +49,11 @@ def enrich(df: DataFrame, dimensions: Iterable[DataFrame], keys: Sequence[str])
 
 
 def semi_filter(df: DataFrame, allowed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in another frame. Duplicates there neither matter nor multiply rows."""
+    """Rows whose key occurs in another frame.
+
+    Duplicates there neither matter nor multiply rows. Better leave them in: removing them first
+    is one more shuffle, and keeps adaptive execution from splitting a key with many rows here.
+    """
     return df.join(allowed.select(*keys), list(keys), "left_semi")
 
 

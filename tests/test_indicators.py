@@ -83,6 +83,11 @@ def test_score_without_spread_or_value_is_null(frame):
     ]
 
 
+def test_score_of_extreme_integers(frame):
+    df = frame("y INT, v BIGINT", (1, -(2**63)), (1, 0), (1, 2**63 - 1))
+    assert rows(op.minmax_score(df, "y", {"s": "v"}).select("s"), "s") == [(0.0,), (0.5,), (1.0,)]
+
+
 def test_risk_profile_counts_known_dimensions(frame):
     df = frame("k STRING, y INT, hi INT, lo DOUBLE", ("a", 1, 10, 1.0), ("b", 1, 20, None), ("c", 1, None, 3.0))
     profile = op.risk_profile(df, "k", "y", {"hi": True, "lo": False})

@@ -4,6 +4,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit import operators as op
 from tests.conftest import rows
@@ -66,3 +67,42 @@ def test_semi_filter_keeps_every_row_of_the_hot_key(skewed, frame):
     data, df = skewed
     wanted = frame("k INT", (0,), (0,), (5,))
     assert op.semi_filter(df, wanted, ["k"]).count() == sum(r[0] in (0, 5) for r in data)
+
+
+@pytest.fixture
+def eager_splitting(spark):
+    """Thresholds low enough for the small frame to count as skewed, and no broadcast to avoid it."""
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "25KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("operator", ["at_max_level", "semi_filter", "enrich", "minmax_score"])
+def test_a_hot_key_is_split_over_tasks(spark, eager_splitting, operator):
+    numbers = spark.range(200_000, numPartitions=8)
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    df = numbers.select(
+        hot.alias("k"), (F.col("id") % 2).alias("level"), (F.col("id") % 1000).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    dimension = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("d"))
+    result = {
+        "at_max_level": lambda: op.at_max_level(df, ["k"], "level"),
+        "semi_filter": lambda: op.semi_filter(df, dimension, ["k"]),
+        "enrich": lambda: op.enrich(df, [dimension], ["k"]),
+        "minmax_score": lambda: op.minmax_score(df, "k", {"s": "v"}),
+    }[operator]()
+    execution = result._jdf.queryExecution()
+    assert execution.toRdd().count() > 0
+    final = execution.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin(skew=true)" in final
