@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,19 @@ from pyspark.sql import functions as F
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers that start on this machine import the package from where it lies.
+
+    On a cluster the package is installed or shipped as usual; then this changes nothing.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelkit.llm.common import table
 from panelkit.llm.exact_dedup import exact_duplicates
 from panelkit.llm.packing import packed_documents
+from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.token_files import encoded_documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,5 +37,9 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op5_token_files)}
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op5_token_files, op7_simhash)}
 ORACLES = {"op1_exact_dedup": OP1_SQL}
