@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.llm.common import table
 from panelkit.llm.exact_dedup import exact_duplicates
+from panelkit.llm.language import predicted_languages
 from panelkit.llm.packing import packed_documents
 from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.token_files import encoded_documents
+from panelkit.llm.warc import archived_pages
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
@@ -29,6 +32,11 @@ FROM texts WINDOW same AS (PARTITION BY text_sha256)
 """
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = predicted_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), TOKENIZER, CAPACITY)
 
@@ -37,9 +45,27 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archived_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op5_token_files, op7_simhash)}
-ORACLES = {"op1_exact_dedup": OP1_SQL}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash)}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
