@@ -14,11 +14,10 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str
 
     Texts are equal if they are identical after each run of ASCII white space became one space;
     of equal texts the row with the smallest id stays. Rows are grouped by a 128-bit hash of the
-    text (``hashed``, another one only in tests). Texts themselves move only for hashes that occur
-    more than once: those are grouped by hash *and* text, which compares bytes, and each task sends
-    one row per distinct text, so a text held by a third of all rows costs one row per task. A hash
-    that stands for several texts (a collision) makes one class per text, and rows find theirs by the
-    SHA-256 that is returned anyway.
+    text (``hashed``, another one only in tests) *and* the text, which compares bytes inside the groups; each
+    task sends one row per distinct text, so a text held by a third of all rows costs one row per task.
+    A hash that stands for several texts (a collision) makes one class per text, and rows find theirs by
+    the SHA-256 that is returned anyway. Only classes of more than one row are kept and joined back.
 
     NULL text is the empty text. NULL ids never stay where a group has another id; a group with
     NULL ids only has ``keep_id`` NULL and keeps its rows. Rows repeated with the same id and text share
@@ -29,12 +28,10 @@ def exact_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str
     rows = checkpointed(
         texts.select("_id", F.unhex(hashed("_text")).alias("_hash"), F.unhex(F.sha2("_text", 256)).alias("_sha"))
     )
-    repeated = rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
-    hashed_texts = texts.withColumn("_hash", F.unhex(hashed("_text")))
     classes = checkpointed(
-        hashed_texts.join(repeated, "_hash", "left_semi")
-        .groupBy("_hash", "_text")
+        texts.groupBy(F.unhex(hashed("_text")).alias("_hash"), "_text")
         .agg(F.count(F.lit(1)).alias("_size"), F.min("_id").alias("_first"))
+        .filter("_size > 1")
         .withColumn("_sha", F.unhex(F.sha2("_text", 256)))
         .drop("_text")
     )
