@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.common import table
 from panelkit.llm.exact_dedup import exact_duplicates
+from panelkit.llm.html_text import extracted_pages
 from panelkit.llm.language import predicted_languages
 from panelkit.llm.packing import packed_documents
 from panelkit.llm.simhash import near_duplicates
@@ -67,5 +68,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash)}
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted_pages(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op9_html_text)}
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
