@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import table
+from panelkit.llm.decontamination import contaminated
 from panelkit.llm.exact_dedup import exact_duplicates
 from panelkit.llm.html_text import extracted_pages
 from panelkit.llm.language import predicted_languages
@@ -68,9 +69,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "item_id", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op9_html_text)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op8_decontamination, op9_html_text)}
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
