@@ -24,8 +24,8 @@ CELLS = 1 << 17
 SWITCH = 8.0
 #: A script belongs to a language if it writes this share of its letters.
 SCRIPT_SHARE = 0.01
-#: Numbers of letters times languages that are scored at a time.
-SCORED = 8_000_000
+#: Characters times languages that are scored at a time.
+SCORED = 4_000_000
 NONE = "und"
 
 #: First and last code points of scripts, from the Unicode blocks.
@@ -128,11 +128,14 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
         for batch in batches:
             texts = pa.table({"text": batch.column("text"), "lang": batch.column("lang")}).to_pandas()
             for lang, own in texts.groupby("lang")["text"]:
-                words = words_of(list(own))
-                cells, n = np.unique(words.cells, return_counts=True)
-                scripts = np.bincount(words.script, weights=words.letters, minlength=len(SCRIPTS) + 1).astype(np.int64)
-                what = np.concatenate([cells, -1 - np.arange(len(scripts))])
-                many = np.concatenate([n, scripts])
+                cells, scripts = np.zeros(CELLS, np.int64), np.zeros(len(SCRIPTS) + 1, np.int64)
+                for text in own:
+                    words = words_of([text])
+                    np.add.at(cells, words.cells, 1)
+                    scripts += np.bincount(words.script, weights=words.letters, minlength=len(scripts)).astype(np.int64)
+                seen = np.flatnonzero(cells)
+                what = np.concatenate([seen, -1 - np.arange(len(scripts))])
+                many = np.concatenate([cells[seen], scripts])
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(what), pa.string()), pa.array(what), pa.array(many)], names=["lang", "cell", "n"])
 
     counts = sample.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
@@ -180,26 +183,42 @@ def best_path(scores: np.ndarray, first: np.ndarray, length: np.ndarray, switch:
     return labels
 
 
+def scored_words(texts: list[str], model: Model) -> tuple[Words, np.ndarray]:
+    """The words of the texts (without their letters' cells) and their scores, some texts at a time.
+
+    Languages that do not use the script of a word's first letter are out of the question for the word, unless
+    no language uses it.
+    """
+    found, scores, first = [], [], 0
+    most = SCORED // max(1, len(model.languages))
+    while first < len(texts) and len(model.languages):
+        last, size = first + 1, len(texts[first])
+        while last < len(texts) and size + len(texts[last]) <= most:
+            size += len(texts[last])
+            last += 1
+        words = words_of(texts[first:last])
+        if len(words.first):
+            own = np.add.reduceat(model.scores[words.cells], words.first, axis=0)
+            written = model.scripts[words.script]
+            own[~written & written.any(axis=1)[:, None]] -= 1e6
+            scores.append(own)
+            found.append((words.letters.astype(np.int32), (words.text + first).astype(np.int32), words.start.astype(np.int32), words.end.astype(np.int32)))
+        first = last
+    none = np.zeros(0, np.int32)
+    letters, text, start, end = (np.concatenate(x) for x in zip(*found)) if found else (none,) * 4
+    return Words(none, none, letters, text, start, end, none), np.concatenate(scores) if scores else np.zeros((0, len(model.languages)), np.float32)
+
+
 def label(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
     """Number of the language (-1: none) and score of each text, its words, and their languages."""
     kinds = len(model.languages)
-    words = words_of(texts)
-    if not kinds or not len(words.first):
-        return np.full(len(texts), -1), np.zeros(len(texts)), words, np.zeros(len(words.first), np.int16)
-    scores = np.empty((len(words.first), kinds), np.float32)
-    cuts = np.searchsorted(words.first, np.arange(0, len(words.cells), max(1, SCORED // kinds))).tolist()
-    for a, b in zip(cuts, cuts[1:] + [len(words.first)]):
-        if a < b:
-            begin = words.first[a]
-            end = words.first[b] if b < len(words.first) else len(words.cells)
-            scores[a:b] = np.add.reduceat(model.scores[words.cells[begin:end]], words.first[a:b] - begin, axis=0)
-    written = model.scripts[words.script]
-    outside = ~written & written.any(axis=1)[:, None]
-    scores[outside] -= 1e6
+    words, scores = scored_words(texts, model)
+    if not len(scores):
+        return np.full(len(texts), -1), np.zeros(len(texts)), words, np.zeros(0, np.int16)
     length = np.bincount(words.text, minlength=len(texts))
     has = np.flatnonzero(length)
     path = best_path(scores, (np.cumsum(length) - length)[has], length[has], switch)
-    letters = np.bincount(words.text * kinds + path, weights=words.letters, minlength=len(texts) * kinds).reshape(-1, kinds)
+    letters = np.bincount(words.text.astype(np.int64) * kinds + path, weights=words.letters, minlength=len(texts) * kinds).reshape(-1, kinds)
     total = letters.sum(axis=1)
     score = np.where(total > 0, letters.max(axis=1) / np.maximum(1, total), 0.0)
     return np.where(total > 0, letters.argmax(axis=1), -1), score, words, path
@@ -227,8 +246,7 @@ def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
         names = np.array([*shared.value.languages, NONE], object)
         for batch in batches:
             lang, score, words, path = label(_texts(batch.column(1)), shared.value, switch)
-            n = len(path) if len(shared.value.languages) else 0
-            text, path = words.text[:n], path[:n]
+            n, text = len(path), words.text
             begins = np.ones(n, bool)
             begins[1:] = (text[1:] != text[:-1]) | (path[1:] != path[:-1])
             at = np.flatnonzero(begins)
