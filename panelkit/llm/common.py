@@ -30,11 +30,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_or_empty(column: str) -> Column:
     """A text column with NULL read as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
-
-
-def row_key(id_column: str, text_column: str) -> Column:
-    """Identity of a row by its id and text, as ids may repeat or be NULL.
-
-    Rows that agree in both are copies of each other in every respect an operator looks at.
-    """
-    return F.md5(F.concat_ws("\x00", F.coalesce(F.col(id_column).cast("string"), F.lit("null")), text_or_empty(text_column)))

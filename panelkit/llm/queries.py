@@ -11,6 +11,7 @@ from panelkit.llm.decontamination import contaminated
 from panelkit.llm.exact_dedup import exact_duplicates
 from panelkit.llm.html_text import extracted_pages
 from panelkit.llm.language import predicted_languages
+from panelkit.llm.line_dedup import without_recurring_lines
 from panelkit.llm.packing import packed_documents
 from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.token_files import encoded_documents
@@ -78,5 +79,10 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op8_decontamination, op9_html_text)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_dropped")
+    return found.select("doc_id", "n_dropped", F.sha2("text", 256).alias("kept_sha256"), F.octet_length("text").alias("n_bytes"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup)}
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
