@@ -234,7 +234,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
                     yield from _read_range(file, part["offset"], part["lengths"])
 
     found = archives.select("address").mapInArrow(ranges, "address string, offset long, lengths array<long>")
-    return found.repartition(F.col("address"), F.col("offset")).mapInArrow(
+    many, size = archives.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    return found.repartition(max(1, many + (size or 0) // TASK_BYTES), "address", "offset").mapInArrow(
         records, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     )
 
