@@ -14,6 +14,7 @@ from panelkit.llm.language import predicted_languages
 from panelkit.llm.line_dedup import without_recurring_lines
 from panelkit.llm.packing import packed_documents
 from panelkit.llm.simhash import near_duplicates
+from panelkit.llm.substring_dedup import without_repeats
 from panelkit.llm.token_files import encoded_documents
 from panelkit.llm.warc import archived_pages
 
@@ -44,6 +45,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(table(spark, sf_dir, "documents"), TOKENIZER, CAPACITY)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -84,5 +90,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_dropped", F.sha2("text", 256).alias("kept_sha256"), F.octet_length("text").alias("n_bytes"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_language, op3_best_fit_packing, op5_token_files, op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_language, op3_best_fit_packing, op4_substring_dedup, op5_token_files,
+        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup,
+    )
+}
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
