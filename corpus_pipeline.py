@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import reach_workers, table
+from panelkit.llm.common import free_name, reach_workers, table
 from panelkit.llm.decontamination import decontaminated
 from panelkit.llm.language import fit, held_out, recognised
 from panelkit.llm.line_dedup import without_recurring_lines
@@ -28,8 +28,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur across documents; ``n_chars`` follows the text."""
     reach_workers(spark)
-    found = without_recurring_lines(docs, count="_dropped")
-    size = F.when(F.col("_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    dropped = free_name(docs, "n_dropped")
+    found = without_recurring_lines(docs, count=dropped)
+    size = F.when(F.col(dropped) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.withColumn("n_chars", size).select(docs.columns)
 
 

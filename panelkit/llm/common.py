@@ -30,3 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_or_empty(column: str) -> Column:
     """A text column with NULL read as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front as long as the frame has a column called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -133,24 +133,25 @@ def without_recurring_lines(df: DataFrame, id_column: str = "doc_id", text_colum
     leave shreds here. NULL text stays NULL; rows that repeat count as documents of their own; an empty
     table stays empty. ``count`` names a column that then gets the number of lines dropped (none may have that name).
     """
-    drops = recurring_lines(df, id_column, text_column).select(F.col("id").alias("_drop_id"), F.col("text_hash").alias("_drop_hash"), F.col("dropped").alias("_drop"))
-    same = F.col(id_column).eqNullSafe(F.col("_drop_id")) & (F.xxhash64(text_or_empty(text_column)) == F.col("_drop_hash"))
-    joined = df.join(drops, same, "left").drop("_drop_id", "_drop_hash")
+    drops = recurring_lines(df, id_column, text_column)
+    # The row travels as one struct, so that its columns may have any names.
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_column).alias("own_id"), F.xxhash64(text_or_empty(text_column)).alias("own_hash"))
+    joined = rows.join(drops, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left").select("row", "dropped")
     at, kinds = df.columns.index(text_column), df.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, dropped = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
+            columns, dropped = batch.column("row").flatten(), batch.column("dropped").to_pylist()
+            texts = columns[at].to_pylist()
             for i, gone in enumerate(dropped):
                 if gone:
                     gone = set(gone)
                     texts[i] = "\n".join([line for k, line in enumerate(texts[i].split("\n")) if k not in gone])
-            columns = batch.columns[:-1]
             columns[at] = pa.array(texts, columns[at].type)
             if count:
                 columns.append(pa.array([len(gone or ()) for gone in dropped], pa.int64()))
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
 
-    names = [f"c{k}" for k in range(len(kinds) + bool(count))]
-    schema = ", ".join(f"{n} {t}" for n, t in zip(names, [f.dataType.simpleString() for f in kinds] + ["bigint"] * bool(count)))
+    types = [f.dataType.simpleString() for f in kinds] + ["bigint"] * bool(count)
+    schema = ", ".join(f"c{k} {t}" for k, t in enumerate(types))
     return joined.mapInArrow(cut, schema).toDF(*kinds.names, *([count] if count else []))

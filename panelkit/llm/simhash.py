@@ -199,4 +199,4 @@ def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_colum
     """The rows of the smallest id of each component; all columns stay. Rows with NULL id stay only alone."""
     kept = near_duplicates(df, id_column, text_column).filter(F.col(id_column).eqNullSafe(F.col("component_id")))
     kept = checkpointed(kept.select(F.col(id_column).alias("_kept")).distinct())
-    return df.join(kept, F.col(id_column).eqNullSafe(F.col("_kept")), "left_semi")
+    return df.join(kept, df[id_column].eqNullSafe(kept["_kept"]), "left_semi")

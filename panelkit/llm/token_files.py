@@ -197,7 +197,7 @@ def look_up(files: DataFrame, keys: DataFrame, id_column: str = "doc_id") -> Dat
         F.broadcast(files.select("address", "first_key", "last_key")), F.col("id").between(F.col("first_key"), F.col("last_key"))
     )
 
-    def read(key, table: pa.Table) -> pa.Table:
+    def read(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         source, found, ids = TokenFile(key[0].as_py()), [], []
         wanted = table.column("id").to_numpy()
         for k, first, count in zip(wanted, *source.find(wanted)):

@@ -100,9 +100,9 @@ class ZipDirectory:
         self._file, size = file, file.size()
         tail_at = max(0, size - self._END_SIZE - 0xFFFF)
         tail = file.read_at(size - tail_at, tail_at)
-        at = tail.rfind(self._END)
+        at = tail.rfind(self._END, 0, max(0, len(tail) - self._END_SIZE + len(self._END)))
         while at >= 0 and at + self._END_SIZE + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
-            at = tail.rfind(self._END, 0, at)
+            at = tail.rfind(self._END, 0, at)  # found in the comment behind the record
         if at < 0:
             raise ValueError("no ZIP directory here")
         count, length, start = struct.unpack_from("<HII", tail, at + 10)
