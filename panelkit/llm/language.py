@@ -183,47 +183,61 @@ def best_path(scores: np.ndarray, first: np.ndarray, length: np.ndarray, switch:
     return labels
 
 
-def scored_words(texts: list[str], model: Model) -> tuple[Words, np.ndarray]:
-    """The words of the texts (without their letters' cells) and their scores, some texts at a time.
-
-    Languages that do not use the script of a word's first letter are out of the question for the word, unless
-    no language uses it.
-    """
-    found, scores, first = [], [], 0
-    most = SCORED // max(1, len(model.languages))
-    while first < len(texts) and len(model.languages):
-        last, size = first + 1, len(texts[first])
-        while last < len(texts) and size + len(texts[last]) <= most:
-            size += len(texts[last])
-            last += 1
-        words = words_of(texts[first:last])
-        if len(words.first):
-            own = np.add.reduceat(model.scores[words.cells], words.first, axis=0)
-            written = model.scripts[words.script]
-            own[~written & written.any(axis=1)[:, None]] -= 1e6
-            scores.append(own)
-            found.append((words.letters.astype(np.int32), (words.text + first).astype(np.int32), words.start.astype(np.int32), words.end.astype(np.int32)))
-        first = last
-    none = np.zeros(0, np.int32)
-    letters, text, start, end = (np.concatenate(x) for x in zip(*found)) if found else (none,) * 4
-    return Words(none, none, letters, text, start, end, none), np.concatenate(scores) if scores else np.zeros((0, len(model.languages)), np.float32)
-
-
-def label(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
-    """Number of the language (-1: none) and score of each text, its words, and their languages."""
+def _label_some(texts: list[str], model: Model, switch: float) -> tuple[np.ndarray, np.ndarray, Words, np.ndarray]:
     kinds = len(model.languages)
-    words, scores = scored_words(texts, model)
-    if not len(scores):
+    words = words_of(texts)
+    if not kinds or not len(words.first):
         return np.full(len(texts), -1), np.zeros(len(texts)), words, np.zeros(0, np.int16)
+    scores = np.add.reduceat(model.scores[words.cells], words.first, axis=0)
+    written = model.scripts[words.script]
+    # Languages not written in a word's script are out of the question, unless no language is.
+    scores[~written & written.any(axis=1)[:, None]] -= 1e6
     length = np.bincount(words.text, minlength=len(texts))
     has = np.flatnonzero(length)
     path = best_path(scores, (np.cumsum(length) - length)[has], length[has], switch)
-    letters = np.bincount(words.text.astype(np.int64) * kinds + path, weights=words.letters, minlength=len(texts) * kinds).reshape(-1, kinds)
+    letters = np.bincount(words.text * kinds + path, weights=words.letters, minlength=len(texts) * kinds).reshape(-1, kinds)
     total = letters.sum(axis=1)
     score = np.where(total > 0, letters.max(axis=1) / np.maximum(1, total), 0.0)
     return np.where(total > 0, letters.argmax(axis=1), -1), score, words, path
 
 
+@dataclass(frozen=True)
+class Labels:
+    language: np.ndarray  # number of each text's language, -1: none
+    score: np.ndarray
+    spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each text: starts, ends, languages
+
+
+def label(texts: list[str], model: Model, switch: float = SWITCH, spans: bool = True) -> Labels:
+    """Languages, scores and spans of texts, taken in order of their length, as many at a time as memory allows.
+
+    Texts of about the same length share their Viterbi steps, so taking them in that order costs few.
+    """
+    language, score = np.full(len(texts), -1), np.zeros(len(texts))
+    none = np.zeros(0, np.int64)
+    found = [(none, none, none)] * len(texts)
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    most = SCORED // max(1, len(model.languages))
+    first = 0
+    while first < len(order):
+        last, size = first + 1, len(texts[order[first]])
+        while last < len(order) and size + len(texts[order[last]]) <= most:
+            size += len(texts[order[last]])
+            last += 1
+        own = order[first:last]
+        language[own], score[own], words, path = _label_some([texts[i] for i in own], model, switch)
+        if spans and len(path):
+            begins = np.ones(len(path), bool)
+            begins[1:] = (words.text[1:] != words.text[:-1]) | (path[1:] != path[:-1])
+            at = np.flatnonzero(begins)
+            ends = np.append(at[1:], len(path)) - 1
+            cut = np.searchsorted(words.text[at], np.arange(len(own) + 1))
+            for i, a, b in zip(own, cut[:-1].tolist(), cut[1:].tolist()):
+                found[i] = (words.start[at[a:b]], words.end[ends[a:b]], path[at[a:b]])
+        first = last
+    return Labels(language, score, found)
+
+
 def _texts(column: pa.Array) -> list[str]:
     return [text or "" for text in column.to_pylist()]
 
@@ -245,18 +259,12 @@ def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, NONE], object)
         for batch in batches:
-            lang, score, words, path = label(_texts(batch.column(1)), shared.value, switch)
-            n, text = len(path), words.text
-            begins = np.ones(n, bool)
-            begins[1:] = (text[1:] != text[:-1]) | (path[1:] != path[:-1])
-            at = np.flatnonzero(begins)
-            last = np.append(at[1:], n)[: len(at)] - 1
-            spans = pa.StructArray.from_arrays(
-                [pa.array(words.start[at], pa.int32()), pa.array(words.end[last], pa.int32()), pa.array(names[path[at]], pa.string())], fields=list(_SPAN)
-            )
-            offsets = np.searchsorted(text[at], np.arange(batch.num_rows + 1))
+            found = label(_texts(batch.column(1)), shared.value, switch)
+            start, end, path = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*found.spans)) or [()] * 3))
+            spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(names[path.astype(np.int64)], pa.string())], fields=list(_SPAN))
+            offsets = np.cumsum([0, *(len(x[0]) for x in found.spans)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[lang], pa.string()), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
+                [batch.column(0), pa.array(names[found.language], pa.string()), pa.array(found.score), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
                 names=["id", "lang_pred", "score", "spans"],
             )
 
@@ -273,8 +281,8 @@ def recognised(df: DataFrame, model: Model, text_column: str = "text", least: fl
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score, _, _ = label(_texts(batch.column(at)), shared.value, switch)
-            yield batch.filter(pa.array((lang >= 0) & (score >= least)))
+            found = label(_texts(batch.column(at)), shared.value, switch, spans=False)
+            yield batch.filter(pa.array((found.language >= 0) & (found.score >= least)))
 
     return df.mapInArrow(each, df.schema)
 

@@ -62,8 +62,8 @@ def test_long_text_and_parts(docs, model, monkeypatch):
     text = "the cat and the dog are here " * 20_000
     whole = identify(docs([(1, text), (2, "le chien")]), model).collect()
     monkeypatch.setattr(language, "SCORED", 10)
-    labels, scores, _, _ = language.label([text, "le chien"], model)
-    assert [r.lang_pred for r in whole] == [model.languages[i] for i in labels] == ["en", "fr"]
+    found = language.label([text, "le chien"], model)
+    assert [r.lang_pred for r in whole] == [model.languages[i] for i in found.language] == ["en", "fr"]
     assert [len(r.spans) for r in whole] == [1, 1]
 
 
