@@ -81,7 +81,7 @@ def refresh_aid(store: TableStore) -> None:
     store.overwrite(gold.risk_profile(aid), "gold", "risk_profile")
 
 
-def refresh_all(store: TableStore, since=None, mode: str = "replace") -> None:
+def refresh_all(store: TableStore, since=None, mode: str = "merge") -> None:
     """Silver and gold from whatever bronze holds."""
     refresh_all_silver(store, since, mode)
     refresh_features(store)

@@ -29,21 +29,21 @@ def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     return rows
 
 
-def refresh_silver(store: TableStore, feed: FeedSpec, since=None, mode: str = "replace") -> None:
+def refresh_silver(store: TableStore, feed: FeedSpec, since=None, mode: str = "merge") -> None:
     """Bring a feed's silver table up to date with what arrived since a time (default: today).
 
-    ``mode="replace"`` lets the batch replace the years it touches, ``"merge"`` keeps older keys
-    of those years.
+    ``mode="merge"`` keeps older keys of the years the batch touches, ``"replace"`` lets the batch
+    replace those years.
     """
     bronze = read_since(store.read("bronze", feed.table, feed.bronze_schema), since=since)
-    store.upsert(refine(bronze, feed), "silver", feed.table, mode=mode, keys=_table_keys(feed))
+    store.upsert(refine(bronze, feed), "silver", feed.table, mode=mode, keys=_table_keys(feed), schema=feed.silver_schema)
 
 
 def _table_keys(feed: FeedSpec) -> tuple[str, ...]:
     return feed.keys if "year" in feed.keys or feed.year_rule == "none" else (*feed.keys, "year")
 
 
-def refresh_all_silver(store: TableStore, since=None, mode: str = "replace") -> None:
+def refresh_all_silver(store: TableStore, since=None, mode: str = "merge") -> None:
     """Every feed that has bronze data."""
     for feed in FEEDS.values():
         if store.exists("bronze", feed.table):

@@ -1,8 +1,13 @@
-"""Parquet tables: layered store, partition-wise overwrite, slice replacement, checkpoints."""
+"""Parquet tables: layered store with versions, partition-wise writes, intermediate tables.
+
+A table that is replaced as a whole keeps each version in a folder of its own. Which one counts is told by the
+name of a small marker file, written when the version is complete; nothing is renamed, and
+the version before stays for readers that are still at it until the next one is published.
+"""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
@@ -14,46 +19,119 @@ from pyspark.sql.types import StructType
 
 from panelkit.operators.cleaning import latest_by
 
+_VERSIONS = "_versions"
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
-    Taken from ``spark.checkpoint.dir`` of the session. Only where neither that nor a checkpoint
-    directory is set and Spark runs on one machine, as in a test, a temporary folder is made and
-    set for the session; a cluster's executors would not see each other's files there.
+    The checkpoint directory that the session has set, else ``spark.checkpoint.dir``. Where neither is set it
+    lies in the warehouse, which all executors share, and is set for the session.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="panelkit-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(folder)
     return folder
 
 
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of an address."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
+_frames: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _delete_frames() -> None:
+    """Intermediate tables of this application go with it."""
+    for path, spark in _frames.items():
+        try:
+            if spark.sparkContext._jsc is not None:
+                delete_folder(spark, path)
+        except Exception:  # the session's JVM may be gone already
+            return
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the frame to the shared folder once and go on from the written table.
 
     For results that are small next to what they are computed from and are used more than once.
     Written as Parquet, so later steps still read only the columns they need, and lost executors
-    cost a read rather than the computation.
+    cost a read rather than the computation. ``release`` deletes it; else it goes when the application ends.
     """
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/frame-{uuid4().hex}"
+    _frames[path] = df.sparkSession
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Delete the files of a ``checkpointed`` frame that nothing will read any more."""
+    folders = {name.rpartition("/")[0].rpartition("/")[2] for name in df.inputFiles()}
+    for path in [p for p in _frames if p.rpartition("/")[2] in folders]:
+        delete_folder(_frames.pop(path), path)
+
+
 def between_years(df: DataFrame, first: int, last: int, column: str = "year") -> DataFrame:
     """Rows of a closed range of years; prunes partitions of tables partitioned by year."""
     return df.filter(F.col(column).between(first, last))
 
 
+def current_path(spark: SparkSession, path: str) -> str:
+    """Where a table's rows are: in its newest published version, else in the folder itself."""
+    names = _published(spark, path)
+    return f"{path.rstrip('/')}/{names[-1].partition('.')[2]}" if names else path
+
+
+def _published(spark: SparkSession, path: str) -> list[str]:
+    """Markers of the published versions, ``<number>.<folder>``, oldest first."""
+    files, where = _files(spark, f"{path.rstrip('/')}/{_VERSIONS}")
+    if not files.exists(where):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(where))
+    return sorted(n for n in names if n[0].isdigit())
+
+
+def _publish(spark: SparkSession, path: str, folder: str) -> None:
+    """Make a complete version the current one; of the earlier ones only the last stays."""
+    root, names = path.rstrip("/"), _published(spark, path)
+    number = int(names[-1].partition(".")[0]) + 1 if names else 1
+    files, marker = _files(spark, f"{root}/{_VERSIONS}/{number:012d}.{folder}")
+    files.create(marker, False).close()
+    for name in names[:-1]:
+        delete_folder(spark, f"{root}/{name.partition('.')[2]}")
+        delete_folder(spark, f"{root}/{_VERSIONS}/{name}")
+
+
 def _columns_at(spark: SparkSession, path: str) -> list[str] | None:
+    """Columns of a table, None if there is none; a table that cannot be read is an error."""
+    path = current_path(spark, path)
+    files, where = _files(spark, path)
+    if not files.exists(where):
+        return None
     try:
         return spark.read.parquet(path).columns
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA" and not _has_data(files, where):
+            return None
+        raise
+
+
+def _has_data(files, where) -> bool:
+    found = files.listFiles(where, True)
+    while found.hasNext():
+        if not found.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -66,71 +144,90 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table, schema included. The new files are complete before the old ones go."""
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    staging, retired = (f"{path}__{kind}_{uuid4().hex}" for kind in ("new", "old"))
-    _rebalanced(df, partition_by).write.partitionBy(*partition_by).parquet(staging)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    target, new, old = hadoop_path(path), hadoop_path(staging), hadoop_path(retired)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.rename(target, old)
-    if not files.rename(new, target):
-        raise OSError(f"could not move {staging} to {path}")
-    files.delete(old, True)
+    """Replace a table, schema included, by a new version; a write that fails leaves the old one."""
+    folder = f"v-{uuid4().hex}"
+    _rebalanced(df, partition_by).write.partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
+    _publish(df.sparkSession, path, folder)
+
+
+def _touched(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """The rows of a table in the partitions that a batch touches.
+
+    The bounds of the batch prune the scan when it is planned, its distinct values at run time.
+    NULL is a partition of its own, read only if the batch has it.
+    """
+    low, high, unknown = batch.agg(F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())).first()
+    inside = F.col(partition).between(F.lit(low), F.lit(high))
+    values = batch.filter(inside).select(F.col(partition).alias("_touched")).distinct()
+    known = old.filter(inside).join(values, F.col(partition) == F.col("_touched"), "left_semi")
+    return known.unionByName(old.filter(F.col(partition).isNull())) if unknown else known
 
 
 def upsert_partitions(
     df: DataFrame,
     path: str,
     partition: str = "year",
-    mode: str = "replace",
+    mode: str = "merge",
     keys: Sequence[str] = (),
     order: str = "ingested_at",
+    schema: StructType | None = None,
 ) -> None:
     """Write a batch over the partitions it touches and leave all others alone.
 
-    ``replace`` gives a touched partition exactly the rows of the batch; ``merge`` keeps the
-    newest version per key of old and new rows. Without the partition column the table is
-    replaced as a whole. A batch without rows changes nothing. The years are never collected:
-    Spark's dynamic partition overwrite takes them from the data. Rows whose year is NULL have a
-    partition of their own.
+    ``merge`` keeps the newest version per key of old and new rows, also where there is no table yet;
+    ``replace`` gives a touched partition exactly the rows of the batch, so that keys missing there go.
+    Without the partition column the whole table is merged or replaced. A batch without rows changes
+    nothing in a partitioned table. Rows whose partition value is NULL have a partition of their own. ``schema`` is
+    that of the table; without it the footers of its files are opened to find columns added over time.
+    The batch is computed once; partitions are swapped by Spark's commit when all of them are written.
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
+    if mode == "merge" and not keys:
+        raise ValueError("merging needs the keys that tell rows apart")
     spark = df.sparkSession
-    if partition not in df.columns:
-        overwrite_table(df, path)
-        return
     existing = _columns_at(spark, path)
-    if existing is not None and partition not in existing:
-        overwrite_table(df, path, [partition])
-        return
-    if mode == "merge" and existing is not None:
-        old = spark.read.option("mergeSchema", "true").parquet(path)
-        old = old.withColumn(partition, F.col(partition).cast(df.schema[partition].dataType))
-        touched = df.select(partition).distinct().withColumnRenamed(partition, "_touched")
-        same = old[partition].eqNullSafe(touched["_touched"])
-        kept = old.join(touched, same, "left_semi")
-        df = latest_by(kept.unionByName(df, allowMissingColumns=True), keys, order)
-    (
-        _rebalanced(df, [partition])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    partitioned = partition in df.columns
+    if existing is not None and partitioned and partition not in existing:
+        existing = None  # an unpartitioned table gives way to a partitioned one
+    batch = None
+    if mode == "merge":
+        batch = df = checkpointed(latest_by(df, keys, order))
+        if existing is not None:
+            reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+            old = reader.parquet(current_path(spark, path))
+            if partitioned:
+                old = old.withColumn(partition, F.col(partition).cast(df.schema[partition].dataType))
+                old = _touched(old, df, partition)
+            df = latest_by(old.unionByName(df, allowMissingColumns=True), keys, order)
+    if not partitioned or existing is None:
+        overwrite_table(df, path, [partition] if partitioned else [])
+    else:
+        _write_partitions(df, current_path(spark, path), partition)
+    if batch is not None:
+        release(batch)
+
+
+def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
+    writer = _rebalanced(df, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
 
 
 def replace_slice(df: DataFrame, path: str, column: str, value: str | bool | int) -> None:
     """Replace the rows of one partition value by the given rows; running it again changes nothing.
 
-    An empty frame leaves the slice empty.
+    The rows are computed and written aside first, so they may come from the slice itself, and a failure leaves
+    the slice as it was. An empty frame leaves it empty.
     """
-    text = str(value).lower() if isinstance(value, bool) else str(value)
-    rows = df.filter(F.col(column) == value).drop(column)
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={text}")
+    spark = df.sparkSession
+    rows = checkpointed(df.filter(F.col(column) == value))
+    where = current_path(spark, path)
+    if rows.isEmpty():
+        text = str(value).lower() if isinstance(value, bool) else str(value)
+        delete_folder(spark, f"{where.rstrip('/')}/{column}={text}")
+    else:
+        _write_partitions(rows, where, column)
+    release(rows)
 
 
 @dataclass(frozen=True)
@@ -154,7 +251,7 @@ class TableStore:
         ``types`` sets the type of partition columns where their folder names do not tell.
         """
         reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
-        table = reader.parquet(self.path(layer, name))
+        table = reader.parquet(current_path(self.spark, self.path(layer, name)))
         return table.withColumns({c: F.col(c).cast(t) for c, t in types.items()}) if types else table
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -172,12 +269,15 @@ class TableStore:
         )
 
     def ensure_table(self, layer: str, name: str) -> None:
-        """Enter the table in the catalog unless it is there already; make all its partitions known."""
+        """Enter the table's current version in the catalog, with all its partitions.
+
+        The entry holds no data: it is made anew, so that it has the columns of the version.
+        """
         self.ensure_database(layer)
         qualified = f"`{layer}`.`{name}`"
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {qualified} USING parquet LOCATION '{self.path(layer, name)}'"
-        )
+        location = current_path(self.spark, self.path(layer, name))
+        self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{location}'")
         if any(column.isPartition for column in self.spark.catalog.listColumns(qualified)):
             self.spark.catalog.recoverPartitions(qualified)
         self.spark.catalog.refreshTable(qualified)

@@ -215,10 +215,9 @@ def partition_upsert(spark: SparkSession, d: str) -> DataFrame:
     """All orders by year, then the urgent ones from 2000 on written over the years they touch."""
     orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
     store = _scratch(spark)
-    store.upsert(orders, "silver", "orders")
-    store.upsert(
-        orders.filter("o_orderpriority = '1-URGENT' AND o_orderdate >= DATE'2000-01-01'"), "silver", "orders"
-    )
+    store.upsert(orders, "silver", "orders", mode="replace")
+    urgent = orders.filter("o_orderpriority = '1-URGENT' AND o_orderdate >= DATE'2000-01-01'")
+    store.upsert(urgent, "silver", "orders", mode="replace")
     return store.read("silver", "orders").select("o_custkey", "o_orderkey", "year", "o_totalprice")
 
 
@@ -232,7 +231,7 @@ def partition_merge(spark: SparkSession, d: str) -> DataFrame:
     events = table(spark, d, "events").withColumn("day", F.dayofmonth("ts"))
     newest = latest_by(events, ["user_id", "event_type", "day"], "ts", ["event_id"])
     store = _scratch(spark)
-    store.upsert(events.filter("day <= 20"), "silver", "events", partition="day")
+    store.upsert(events.filter("day <= 20"), "silver", "events", partition="day", mode="replace")
     store.upsert(
         newest.filter("day > 10"), "silver", "events", partition="day", mode="merge",
         keys=["user_id", "event_type", "day"], order="ts",
@@ -262,6 +261,36 @@ def forecast_slice(spark: SparkSession, d: str) -> DataFrame:
     return store.read("gold", "orders", is_forecast="boolean")
 
 
+@query(sql="""
+    SELECT user_id, event_type, event_id, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS v FROM events)
+    WHERE v = 1""")
+def merge_into_new_table(spark: SparkSession, d: str) -> DataFrame:
+    """Events merged by key where there is no table yet, then the last week again: one row per key."""
+    # Ties of the time go to the larger id, as the order is one column.
+    events = table(spark, d, "events").withColumn("version", F.struct("ts", "event_id"))
+    store, by = _scratch(spark), {"keys": ["user_id", "event_type"], "order": "version"}
+    store.upsert(events, "silver", "events", **by)
+    store.upsert(events.filter("ts >= TIMESTAMP'2024-01-24'"), "silver", "events", **by)
+    return store.read("silver", "events").select("user_id", "event_type", "event_id", "value")
+
+
+@query(sql=with_ctes("customer_year", body="""
+    SELECT o_custkey, year, n_orders, false AS is_forecast FROM customer_year
+    UNION ALL
+    SELECT o_custkey, CAST(year + 1 AS INT), n_orders + 2, true FROM customer_year"""))
+def replace_slice_from_itself(spark: SparkSession, d: str) -> DataFrame:
+    """A forecast slice revised twice, each time from what the slice held before."""
+    history = customer_year(spark, d).select("o_custkey", "year", "n_orders", F.lit(False).alias("is_forecast"))
+    ahead = history.withColumn("year", F.col("year") + 1).withColumn("is_forecast", F.lit(True))
+    store = _scratch(spark)
+    store.overwrite(history.unionByName(ahead), "gold", "orders", ["is_forecast"])
+    for _ in range(2):
+        own = store.read("gold", "orders", is_forecast="boolean").filter("is_forecast")
+        store.replace_slice(own.withColumn("n_orders", F.col("n_orders") + 1), "gold", "orders", "is_forecast", True)
+    return store.read("gold", "orders", is_forecast="boolean")
+
+
 @query(sql=with_ctes("nation_year", body="""
     SELECT location_code, max(amount_cents) AS best_cents, arg_max(year, (amount_cents, year)) AS best_year
     FROM nation_year GROUP BY location_code HAVING count(*) > 1"""))
