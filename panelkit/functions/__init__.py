@@ -12,7 +12,7 @@ from panelkit.functions.measures import (
     log_index,
     per_capita,
     ratio,
-    status_metric,
+    preferred_max,
 )
 from panelkit.functions.text import null_if, strict_date
 
@@ -31,7 +31,7 @@ __all__ = [
     "null_if",
     "per_capita",
     "ratio",
-    "status_metric",
+    "preferred_max",
     "strict_date",
     "tier",
 ]

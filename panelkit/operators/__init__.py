@@ -43,11 +43,10 @@ from panelkit.operators.reports import (
     distribution,
     macro_f1,
     quality_report,
+    summarise,
     top,
-    trend_summary,
-    validation_summary,
 )
 from panelkit.operators.series import lag_value, lead_value, moving_avg, naive_projection, yoy_growth
-from panelkit.operators.trend import backtest, fit_ols, long_form, trend_forecast
+from panelkit.operators.trend import backtest, fit_ols, fit_quality, long_form, trend_forecast
 
 __all__ = [name for name in dir() if not name.startswith("_")]

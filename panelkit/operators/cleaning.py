@@ -58,13 +58,17 @@ def latest_value(
 ) -> DataFrame:
     """Values of the newest row per key, all taken from the same row; an unknown time is the oldest.
 
-    A maximum over a struct, so every map task reduces a key to one row before the shuffle.
+    The newest time per key comes from a hash aggregation, which combines before the shuffle, and goes back by
+    a semi join that adaptive execution splits. Only rows of the newest time, mostly one per key, are then
+    compared as a whole (by ``tiebreak``, then by value), which takes a sort.
     """
-    when = F.coalesce(F.col(ts), F.lit(oldest).cast(df.schema[ts].dataType)).alias("_ts")
-    newest = F.max(F.struct(when, *[F.col(c) for c in tiebreak], *[F.col(v).alias(f"_v_{v}") for v in values]))
-    return df.groupBy(*keys).agg(newest.alias("_newest")).select(
-        *keys, *[F.col(f"_newest._v_{v}").alias(v) for v in values]
-    )
+    when = F.coalesce(F.col(ts), F.lit(oldest).cast(df.schema[ts].dataType))
+    rows = df.select(*keys, *[c for c in dict.fromkeys([*tiebreak, *values]) if c not in keys], when.alias("_ts"))
+    newest = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_ts").alias("_newest"))
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(newest[f"_k_{k}"]) for k in keys])
+    tied = rows.join(newest, same & (rows["_ts"] == newest["_newest"]), "left_semi")
+    best = F.max(F.struct(*[F.col(c) for c in tiebreak], *[F.col(v).alias(f"_v_{v}") for v in values]))
+    return tied.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best._v_{v}").alias(v) for v in values])
 
 
 def date_parts(df: DataFrame, column: str, pattern: str | None = ISO_PATTERN) -> DataFrame:

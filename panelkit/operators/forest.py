@@ -33,7 +33,9 @@ class ForestSpec:
     max_depth: int = 6
     min_instances: int = 5
     seed: int = 42
-    partitions: int | None = None
+    #: Partitions of the training rows. The bootstrap samples depend on it, so it is a value of the model like
+    #: the seed and not of the cluster: the same rows give the same forest anywhere.
+    partitions: int = 16
 
 
 def lead_label(df: DataFrame, spec: ForestSpec) -> DataFrame:
@@ -87,11 +89,10 @@ def add_class_weights(df: DataFrame, spec: ForestSpec, label: str = "label") ->
 def fit_forest(train: DataFrame, spec: ForestSpec) -> RandomForestClassificationModel:
     """Grow the forest. Rows are partitioned and ordered by key, so the same data and the same
     number of partitions give the same bootstrap samples on every run."""
-    partitions = spec.partitions or train.sparkSession.sparkContext.defaultParallelism
     ordered = (
         add_class_weights(train, spec)
         .select(spec.entity, spec.period, "features", "label", "class_weight")
-        .repartition(partitions, spec.entity)
+        .repartition(spec.partitions, spec.entity)
         .sortWithinPartitions(spec.entity, spec.period)
     )
     forest = RandomForestClassifier(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions import conditional_sum, count_known, status_metric
+from panelkit.functions import conditional_sum, count_known, preferred_max
 from panelkit.operators.cleaning import latest_value
 from panelkit.operators.series import lag_value
 
@@ -63,15 +63,19 @@ def needs_metrics(
     category: str,
     value: str,
     statuses: Mapping[str, str],
+    total: str = "total",
 ) -> DataFrame:
-    """One column per population status, each preferring the total category.
+    """Largest value per population status: of the total category, or else of rows without a category.
 
     ``statuses`` maps output columns to status codes.
     """
-    return df.groupBy(*keys).agg(*[
-        status_metric(F.col(status), code, F.col(category), F.col(value)).alias(out)
-        for out, code in statuses.items()
-    ])
+    name = F.col(category)
+    unnamed = F.coalesce(name, F.lit("")) == ""
+    columns = []
+    for out, code in statuses.items():
+        own = F.col(status) == code
+        columns.append(preferred_max(F.col(value), own & (name == total), own & unnamed).alias(out))
+    return df.groupBy(*keys).agg(*columns)
 
 
 def response_gaps(df: DataFrame, needed: str, targeted: str, reached: str) -> DataFrame:

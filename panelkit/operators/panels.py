@@ -17,8 +17,9 @@ def outer_panel(sources: Sequence[DataFrame], keys: Sequence[str], anchors: Sequ
 
     Done as one union and one aggregation: a single shuffle with map-side combine however many
     sources there are, where a chain of outer joins shuffles the growing side again each time.
-    Keys with a NULL part match nothing, as in a join. With ``anchors`` (positions of sources),
-    only keys found in one of those are kept, which makes the others left joins.
+    Keys with a NULL part match nothing, as in a join: each such row stays by itself. A key that a source holds
+    twice is an error, found by counts in the same aggregation. With ``anchors`` (positions of
+    sources), only keys found in one of those are kept, which makes the others left joins.
     """
     values = [[c for c in s.columns if c not in keys] for s in sources]
     names = [c for cols in values for c in cols]
@@ -29,17 +30,22 @@ def outer_panel(sources: Sequence[DataFrame], keys: Sequence[str], anchors: Sequ
         s.select(
             *keys,
             F.when(no_match, F.lit(i)).alias("_alone"),
+            F.when(no_match, F.monotonically_increasing_id()).alias("_row"),
             F.lit(i in anchors).alias("_anchor"),
+            F.lit(1).alias(f"_in_{i}"),
             *cols,
         )
         for i, (s, cols) in enumerate(zip(sources, values))
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    panel = stacked.groupBy(*keys, "_alone").agg(
-        F.bool_or("_anchor").alias("_anchor"), *[F.max(c).alias(c) for c in names]
+    panel = stacked.groupBy(*keys, "_alone", "_row").agg(
+        F.bool_or("_anchor").alias("_anchor"),
+        *[F.sum(f"_in_{i}").alias(f"_in_{i}") for i in range(len(sources))],
+        *[F.max(c).alias(c) for c in names],
     )
-    if anchors:
-        panel = panel.filter("_anchor")
+    repeated = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_in_{i}"), F.lit(0)) > 1 for i in range(len(sources))])
+    error = F.raise_error(F.concat(F.lit("a source of the panel repeats the key "), F.to_json(F.struct(*keys))))
+    panel = panel.filter(F.when(repeated, error.cast("boolean")).otherwise(F.col("_anchor") if anchors else F.lit(True)))
     return panel.select(*keys, *names)
 
 
@@ -89,20 +95,31 @@ def densify(
 
 
 def averages_panel(
-    sources: Sequence[tuple[DataFrame, Mapping[str, str]]], keys: Sequence[str]
+    sources: Sequence[tuple[DataFrame, Mapping[str, str | tuple[str, str]]]], keys: Sequence[str]
 ) -> DataFrame:
     """Means of several sources side by side for every key found in any of them.
 
-    ``sources`` pairs a frame with {output column: source column}. Rows with an unknown key are
-    left out. A mean ignores NULL, so the sources can be stacked and averaged in one pass.
+    ``sources`` pairs a frame with {output column: source column}; for rows that stand for several, the
+    source is a pair of columns with their sum and the number of values in it. Rows with an unknown key
+    are left out. A mean ignores NULL, so the sources can be stacked and averaged in one pass.
     """
+
+    def part(out: str, source: str | tuple[str, str]) -> list[Column]:
+        if isinstance(source, str):
+            return [F.col(source).alias(out)]
+        return [F.col(source[0]).cast("double").alias(out), F.col(source[1]).alias(f"_n_{out}")]
+
     rows = [
-        require_not_null(s, keys).select(*keys, *[F.col(c).alias(o) for o, c in cols.items()])
+        require_not_null(s, keys).select(*keys, *[c for o, source in cols.items() for c in part(o, source)])
         for s, cols in sources
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    outputs = [o for _, cols in sources for o in cols]
-    return stacked.groupBy(*keys).agg(*[F.avg(o).alias(o) for o in outputs])
+    means = [
+        (F.avg(o) if isinstance(source, str) else F.try_divide(F.sum(o), F.sum(f"_n_{o}"))).alias(o)
+        for _, cols in sources
+        for o, source in cols.items()
+    ]
+    return stacked.groupBy(*keys).agg(*means)
 
 
 def sum_with_labels(

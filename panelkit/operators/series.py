@@ -1,7 +1,7 @@
 """Operators along the time axis of a panel.
 
-Every operator here expects one row per entity and period (aggregate first), so a window
-partition never holds more rows than there are periods, whatever the size of the raw data.
+Every operator here demands one row per entity and period (aggregate first) and fails otherwise, so a
+window partition never holds more rows than there are periods, whatever the size of the raw data.
 All operators of a chain use the same partitioning and order: one shuffle, one sort.
 """
 
@@ -17,6 +17,15 @@ def _along(keys: Sequence[str], order: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(order)
 
 
+def _single(keys: Sequence[str], order: str, value: Column) -> Column:
+    """The value, or an error where the series has several rows of one period.
+
+    Looks at the neighbour in the window that is there anyway.
+    """
+    repeated = F.lag(order).over(_along(keys, order)) == F.col(order)
+    return F.when(repeated, F.raise_error(F.lit(f"a series holds several rows per {order}"))).otherwise(value)
+
+
 def _is_next(keys: Sequence[str], order: str, n: int = 1) -> Column:
     """Whether the row n places back is exactly n periods back (NULL at the start of a series)."""
     return F.col(order) - F.lag(order, n).over(_along(keys, order)) == n
@@ -35,14 +44,15 @@ def lag_value(
     value = F.lag(column, n).over(_along(keys, order))
     if guard_gap:
         value = F.when(_is_next(keys, order, n), value)
-    return df.withColumn(out or f"{column}_lag{n}", value)
+    return df.withColumn(out or f"{column}_lag{n}", _single(keys, order, value))
 
 
 def lead_value(
     df: DataFrame, keys: Sequence[str], order: str, column: str, n: int = 1, out: str | None = None
 ) -> DataFrame:
     """Value n rows ahead."""
-    return df.withColumn(out or f"{column}_lead{n}", F.lead(column, n).over(_along(keys, order)))
+    value = F.lead(column, n).over(_along(keys, order))
+    return df.withColumn(out or f"{column}_lead{n}", _single(keys, order, value))
 
 
 def moving_avg(
@@ -56,7 +66,8 @@ def moving_avg(
 ) -> DataFrame:
     """Mean over the last ``span`` periods by value of the period, so gaps shorten the window."""
     mean = F.avg(column).over(_along(keys, order).rangeBetween(-(span - 1), 0))
-    return df.withColumn(out or f"{column}_avg{span}", mean if digits is None else F.round(mean, digits))
+    mean = mean if digits is None else F.round(mean, digits)
+    return df.withColumn(out or f"{column}_avg{span}", _single(keys, order, mean))
 
 
 def yoy_growth(
@@ -79,7 +90,7 @@ def yoy_growth(
     along = _along(keys, order)
     base = F.col(lag_out)
     grown = df.withColumns({
-        lag_out: F.lag(column, 1).over(along),
+        lag_out: _single(keys, order, F.lag(column, 1).over(along)),
         "_next": _is_next(keys, order),
     }).withColumn(
         growth_out,

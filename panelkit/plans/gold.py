@@ -39,7 +39,7 @@ from panelkit.operators.panels import averages_panel, densify, outer_panel
 from panelkit.operators.series import lag_value, naive_projection, yoy_growth
 from panelkit.operators.trend import backtest
 from panelkit.operators.trend import trend_forecast as _trend_forecast
-from panelkit.sources.tables import between_years, checkpointed
+from panelkit.sources.tables import between_years
 
 PLACE_YEAR = ["location_code", "year"]
 STOCKS = ("refugees", "asylum_seekers", "oip", "idps")
@@ -52,6 +52,12 @@ CONFLICT_FEATURES = {
     "civilian_targeting_fatalities": ("civilian_targeting", "fatalities"),
     "non_violent_events": ("demonstration", "events"),
 }
+POVERTY_RATES = {
+    "mpi": "mpi",
+    "hdx_head": "headcount_ratio",
+    "hdx_vuln": "vulnerable_to_poverty",
+    "hdx_sev": "in_severe_poverty",
+}
 CRISIS_PHASES = ("3", "3+", "4", "5")
 NEED_STATUSES = {
     "population_affected": "AFF",
@@ -70,6 +76,21 @@ TREND_VARIABLES = (
     "internal_idps", "total_displacement_burden", "funding_coverage_pct", "conflict_events_total",
 )
 BACKTEST_VARIABLES = ("internal_idps", "total_displacement_burden", "conflict_events_total")
+# What the reports say about fits and their validation, per variable.
+TREND_SUMMARY = {
+    "entities": ("rows", "*"),
+    "mean_observations": ("mean", "n_observations", 1),
+    "r_squared_mean": ("mean", "r_squared", 3),
+    "r_squared_min": ("min", "r_squared", 3),
+    "r_squared_max": ("max", "r_squared", 3),
+}
+VALIDATION_SUMMARY = {
+    "entities": ("rows", "*"),
+    "wins": ("true", "beats_naive"),
+    "win_rate_pct": ("true_pct", "beats_naive", 1),
+    "regression_mape": ("mean", "regression_mape", 1),
+    "naive_mape": ("mean", "naive_mape", 1),
+}
 # Whether a high value is the worse one.
 RISK_DIRECTIONS = {
     "internal_idps": True,
@@ -99,8 +120,13 @@ def conflict_features(conflict_events: DataFrame) -> DataFrame:
     return category_features(conflict_events, PLACE_YEAR, "admin_level", "event_type", CONFLICT_FEATURES)
 
 
-def poverty_features(povertyrate: DataFrame, mpm: DataFrame, extreme_poverty: DataFrame) -> DataFrame:
-    """National poverty measures of three sources."""
+def poverty_features(
+    povertyrate: DataFrame, mpm: DataFrame, extreme_poverty: DataFrame, counted: bool = False
+) -> DataFrame:
+    """National poverty measures of three sources.
+
+    With ``counted`` the rates come summed up, each with the number of its values in a column ``<rate>_n``.
+    """
 
     def yearly(df: DataFrame) -> DataFrame:
         return df.withColumn("year", F.col("year").cast("int"))
@@ -109,12 +135,7 @@ def poverty_features(povertyrate: DataFrame, mpm: DataFrame, extreme_poverty: Da
         [
             (
                 yearly(povertyrate.filter("admin_level = 0")),
-                {
-                    "mpi": "mpi",
-                    "hdx_head": "headcount_ratio",
-                    "hdx_vuln": "vulnerable_to_poverty",
-                    "hdx_sev": "in_severe_poverty",
-                },
+                {out: (rate, f"{rate}_n") if counted else rate for out, rate in POVERTY_RATES.items()},
             ),
             (yearly(mpm), {"mpm": "mpm_value"}),
             (yearly(extreme_poverty), {"ext_pov": "extreme_poverty_value"}),
@@ -316,17 +337,18 @@ def hosted_flows(population: DataFrame, solutions: DataFrame) -> DataFrame:
     return flow_balance(joined, ["location_code"], "year", "stock_hosted", "tracked_outflow")
 
 
-def scored_needs(needs: DataFrame) -> DataFrame:
-    """People in need, targeted and reached, the gaps, and the gaps' rank within the year."""
+def needs_gaps(needs: DataFrame) -> DataFrame:
+    """People in need, targeted and reached, and the gaps between them."""
     national = needs.filter((F.col("sector_code") == "Intersectoral") & (F.col("admin_level") == 0))
     metrics = needs_metrics(
         national, PLACE_YEAR, "population_status", "category", "population", NEED_STATUSES
     )
-    gaps = response_gaps(metrics, "population_in_need", "population_targeted", "population_reached")
-    # The scores use the gaps twice; written once, the needs are read once.
-    return minmax_score(
-        checkpointed(gaps), "year", {"score_gap_absolute": "aid_gap", "score_gap_ratio": "aid_gap_ratio"}, 3
-    )
+    return response_gaps(metrics, "population_in_need", "population_targeted", "population_reached")
+
+
+def scored_needs(gaps: DataFrame) -> DataFrame:
+    """The gaps with their rank within the year. They are read twice: write them first if needs are many."""
+    return minmax_score(gaps, "year", {"score_gap_absolute": "aid_gap", "score_gap_ratio": "aid_gap_ratio"}, 3)
 
 
 def conflict_totals(conflict_events: DataFrame) -> DataFrame:
@@ -356,7 +378,7 @@ def funding_outside_appeals(funding: DataFrame) -> DataFrame:
 def aid_demand(
     population: DataFrame,
     solutions: DataFrame,
-    needs: DataFrame,
+    gaps: DataFrame,
     conflict_events: DataFrame,
     foodsecurity: DataFrame,
     funding: DataFrame,
@@ -370,12 +392,12 @@ def aid_demand(
     """Everything about a country-year with displaced people: trend, flows, needs, funding, risk.
 
     The keys are those with internal or hosted displaced; the other blocks are looked up. Years
-    are cut at the end, as earlier ones are needed for the lags.
+    are cut at the end, as earlier ones are needed for the lags. ``gaps`` are those of ``needs_gaps``.
     """
     population = require_not_null(population, ["coo_iso", "coa_iso", "year"])
     solutions = require_not_null(solutions, ["coo_iso", "coa_iso", "year"])
-    needs, conflict_events, foodsecurity = (
-        require_not_null(df, PLACE_YEAR) for df in (needs, conflict_events, foodsecurity)
+    gaps, conflict_events, foodsecurity = (
+        require_not_null(df, PLACE_YEAR) for df in (gaps, conflict_events, foodsecurity)
     )
     funding = require_not_null(funding, [*PLACE_YEAR, "appeal_code"])
 
@@ -391,7 +413,7 @@ def aid_demand(
         [
             internal_displacement(population),
             hosted_flows(population, solutions),
-            scored_needs(needs),
+            scored_needs(gaps),
             conflict_totals(conflict_events),
             food_crisis(foodsecurity),
             appeals,

@@ -10,7 +10,7 @@ from panelkit.operators.forest import ForestRun, ForestSpec
 from panelkit.plans import gold
 from panelkit.plans.silver import refresh_all_silver
 from panelkit.sources.feeds import FEEDS
-from panelkit.sources.tables import TableStore
+from panelkit.sources.tables import TableStore, checkpointed, release
 from panelkit.streaming.ingest import ingest_feed
 
 PRESSURE_TABLE = "gold_host_pressure_indices"
@@ -72,9 +72,10 @@ def refresh_aid(store: TableStore) -> None:
         "population", "solutions", "humanitarian_needs", "conflict_events", "foodsecurity", "funding",
         "worldbank_gdp", "worldbank_mpm", "worldbank_extreme_poverty", "worldbank_population",
     )
-    store.overwrite(
-        gold.aid_demand(*[_silver(store, t) for t in tables]), "gold", "aid_demand_analysis"
-    )
+    population, solutions, needs, *others = (_silver(store, t) for t in tables)
+    gaps = checkpointed(gold.needs_gaps(needs))
+    store.overwrite(gold.aid_demand(population, solutions, gaps, *others), "gold", "aid_demand_analysis")
+    release(gaps)
     aid = store.read("gold", "aid_demand_analysis")
     store.overwrite(gold.trend_forecast(aid), "gold", "trend_forecast")
     store.overwrite(gold.model_validation(aid), "gold", "model_validation")

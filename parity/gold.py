@@ -16,7 +16,9 @@ from parity.views import (
     foodsecurity,
     funding,
     location,
+    nation_year,
     needs,
+    place_reports,
     povertyrate,
     routes,
     wb_extreme_poverty,
@@ -101,13 +103,17 @@ ROUNDED_SQL = f"""
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
+    """Lines and orders are read once each for the features, once more for the appeals."""
+    reports, yearly = checkpointed(place_reports(spark, d)), checkpointed(nation_year(spark, d))
     return gold.country_fact(
-        gold.conflict_features(conflict_events(spark, d)),
-        gold.poverty_features(povertyrate(spark, d), wb_mpm(spark, d), wb_extreme_poverty(spark, d)),
-        gold.food_security_features(foodsecurity(spark, d)),
+        gold.conflict_features(conflict_events(spark, d, reports)),
+        gold.poverty_features(
+            povertyrate(spark, d, reports), wb_mpm(spark, d, reports), wb_extreme_poverty(spark, d, reports), counted=True
+        ),
+        gold.food_security_features(foodsecurity(spark, d, reports)),
         gold.funding_features(funding(spark, d)),
-        wb_population(spark, d),
-        wb_gdp(spark, d),
+        wb_population(spark, d, yearly),
+        wb_gdp(spark, d, yearly),
         location(spark, d),
     )
 
@@ -224,10 +230,13 @@ AID_SQL = f"""
 
 
 def _aid(spark: SparkSession, d: str) -> DataFrame:
+    """Reports, yearly sums and appeals are each written once for the blocks that read them."""
+    reports, yearly = checkpointed(place_reports(spark, d)), checkpointed(nation_year(spark, d))
+    appeals = funding(spark, d).select("location_code", "year", "appeal_code", "ingested_at", "requirements_usd", "funding_usd")
     return gold.aid_demand(
-        *routes(spark, d), needs(spark, d), conflict_events(spark, d),
-        foodsecurity(spark, d), funding(spark, d), wb_gdp(spark, d), wb_mpm(spark, d),
-        wb_extreme_poverty(spark, d), wb_population(spark, d), first_year=1996, last_year=2001,
+        *routes(spark, d), checkpointed(gold.needs_gaps(needs(spark, d, reports))), conflict_events(spark, d, reports),
+        foodsecurity(spark, d, reports), checkpointed(appeals), wb_gdp(spark, d, yearly), wb_mpm(spark, d, reports),
+        wb_extreme_poverty(spark, d, reports), wb_population(spark, d, yearly), first_year=1996, last_year=2001,
     )
 
 

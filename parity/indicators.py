@@ -30,6 +30,7 @@ from panelkit.operators import (
     yoy_growth,
 )
 from panelkit.plans import gold
+from panelkit.sources import checkpointed
 from parity.registry import query, rnd
 from parity.views import (
     cents,
@@ -39,6 +40,7 @@ from parity.views import (
     funding,
     nation_year,
     needs,
+    place_reports,
     povertyrate,
     table,
     wb_extreme_poverty,
@@ -177,9 +179,16 @@ POVERTY_SQL = """
                       FROM wb_extreme_poverty GROUP BY 1, 2) USING (location_code, year))"""
 
 
+def _poverty(spark: SparkSession, d: str) -> DataFrame:
+    reports = checkpointed(place_reports(spark, d))
+    return gold.poverty_features(
+        povertyrate(spark, d, reports), wb_mpm(spark, d, reports), wb_extreme_poverty(spark, d, reports), counted=True
+    )
+
+
 @query(sql=with_ctes("povertyrate", "wb_mpm", "wb_extreme_poverty", body=f"{POVERTY_SQL} SELECT * FROM poverty"))
 def poverty_avg(spark: SparkSession, d: str) -> DataFrame:
-    return gold.poverty_features(povertyrate(spark, d), wb_mpm(spark, d), wb_extreme_poverty(spark, d))
+    return _poverty(spark, d)
 
 
 @query(sql=with_ctes("foodsecurity", body="""
@@ -239,7 +248,7 @@ NEEDS_SQL = f"""
 
 @query(sql=with_ctes("needs", body=f"{NEEDS_SQL} SELECT * FROM scored"))
 def needs_fallback(spark: SparkSession, d: str) -> DataFrame:
-    return gold.scored_needs(needs(spark, d))
+    return gold.scored_needs(checkpointed(gold.needs_gaps(needs(spark, d))))
 
 
 @query(name="minmax_score", sql=with_ctes("customer_year", body=f"""
@@ -350,20 +359,20 @@ def top_orders(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql="""
     WITH bought AS (SELECT c_nationkey AS k, CAST(year(o_orderdate) AS INT) AS year, count(*) AS hosted
-                    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2),
+                    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
     people AS (SELECT c_nationkey AS k, count(*) AS population FROM customer GROUP BY 1),
     sold AS (SELECT s_nationkey AS k, CAST(year(l_shipdate) AS INT) AS year, count(*) AS internal
-             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_tax = 0 AND l_discount = 0 GROUP BY 1, 2),
+             FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
     joined AS (SELECT k, year, internal, hosted, coalesce(internal, 0) + coalesce(hosted, 0) AS burden
                FROM bought FULL JOIN sold USING (k, year))
     SELECT joined.*, {per_1000} AS per_1000 FROM joined LEFT JOIN people USING (k)""".format(
         per_1000=rnd("burden * 1e3 / population", 3)))
 def burden(spark: SparkSession, d: str) -> DataFrame:
     customers = table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
-    bought = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").join(
+    bought = table(spark, d, "orders").join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     ).groupBy("k", F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("hosted"))
-    sold = table(spark, d, "lineitem").filter("l_tax = 0 AND l_discount = 0").join(
+    sold = table(spark, d, "lineitem").join(
         table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
     ).groupBy(F.col("s_nationkey").alias("k"), F.year("l_shipdate").alias("year")).agg(
         F.count(F.lit(1)).alias("internal")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +42,23 @@ def funding_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql="""
-    SELECT quality, count(*) FILTER (toxic = 0) AS predicted_0, count(*) FILTER (toxic = 1) AS predicted_1
+    SELECT quality, count(*) FILTER (toxic = 0) AS predicted_0, count(*) FILTER (toxic = 1) AS predicted_1,
+           count(*) FILTER (toxic IS NULL OR toxic NOT IN (0, 1)) AS predicted_other
     FROM labels GROUP BY quality""")
 def crosstab(spark: SparkSession, d: str) -> DataFrame:
     return confusion(table(spark, d, "labels"), "quality", "toxic", [0, 1])
 
 
+@query(sql="""
+    SELECT o_orderstatus, count(*) FILTER (o_orderpriority = '1-URGENT') AS "predicted_1-URGENT",
+           count(*) FILTER (o_orderpriority = '5-LOW') AS "predicted_5-LOW",
+           count(*) FILTER (o_orderpriority IS NULL OR o_orderpriority NOT IN ('1-URGENT', '5-LOW')) AS predicted_other
+    FROM orders GROUP BY o_orderstatus""")
+def crosstab_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """Text labels, most rows outside them."""
+    return confusion(table(spark, d, "orders"), "o_orderstatus", "o_orderpriority", ["1-URGENT", "5-LOW"])
+
+
 REPORT_SQL = """
     WITH classes AS (SELECT unnest([0, 1, 2]) AS label),
     counted AS (
@@ -142,23 +155,81 @@ def class_weights(spark: SparkSession, d: str) -> DataFrame:
     return forest.class_weights(lead_label(spark, d).filter("label IS NOT NULL"), "label")
 
 
-# No SQL: how the trees come out depends on the bootstrap samples.
-@query()
+@query(sql=f"""{SUPPLIERS_SQL},
+    sold AS (
+      SELECT l_suppkey AS supplier, CAST(year(l_shipdate) AS INT) AS year, CAST(sum(l_quantity) AS BIGINT) AS quantity,
+             count(*) > 80 AS is_busy, count(*) FILTER (l_returnflag = 'R') AS n_returned
+      FROM lineitem GROUP BY 1, 2),
+    grown AS (SELECT *, lag(quantity) OVER (PARTITION BY supplier ORDER BY year) AS before FROM sold)
+    SELECT supplier, year, label, CAST(is_busy AS DOUBLE) AS is_busy,
+           {rnd("coalesce(CASE WHEN before IS NOT NULL THEN (quantity - before) / nullif(before, 0) END, -1)", 9)} AS growth,
+           n_returned = 0 AS skipped
+    FROM labelled JOIN grown USING (supplier, year)""")
+def feature_prep(spark: SparkSession, d: str) -> DataFrame:
+    """Flags as numbers, growth filled, and rows without a returned line skipped for want of a mean discount."""
+    spec = replace(SPEC, filled=("growth",))
+    prepared = forest.prepare_features(_suppliers(spark, d), spec)
+    kept = forest.assemble(prepared, spec).drop("features").withColumn("skipped", F.lit(False))
+    both = kept.unionByName(forest.skipped_rows(prepared, spec).withColumn("skipped", F.lit(True)))
+    return both.select("supplier", "year", "label", "is_busy", F.round("growth", 9).alias("growth"), "skipped")
+
+
+@query(sql="""
+    SELECT l_suppkey AS supplier, CAST(max(year(l_shipdate)) + 1 AS INT) AS forecast_period, true AS tier_is_known,
+           true AS confidence_is_possible
+    FROM lineitem GROUP BY 1 HAVING max(year(l_shipdate)) = (SELECT max(year(l_shipdate)) FROM lineitem)""")
 def rf_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """Next year's tier of every supplier active in the latest year, with its confidence."""
+    """Next year's tier of every supplier active in the latest year.
+
+    What the trees say depends on their samples; that every supplier gets one of the tiers, with a
+    confidence that the best of four can have, does not.
+    """
     run = forest.run_forest(_suppliers(spark, d), SPEC)
-    return run.forecast.select("supplier", "forecast_period", "predicted_tier", "prediction_confidence")
+    confidence = F.col("prediction_confidence").between(1 / len(SPEC.labels), 1)
+    return run.forecast.select(
+        "supplier", "forecast_period", F.col("predicted_tier").isin(*SPEC.labels).alias("tier_is_known"),
+        confidence.alias("confidence_is_possible"),
+    )
+
+
+# A table whose next tier follows from one feature, so that any sound forest gives the same answers.
+PHASES = ForestSpec(
+    entity="supplier", period="year", tier="phase_tier", features=("phase", "constant"), num_trees=20, labels=SPEC.labels,
+)
+PHASES_SQL = """
+    WITH phases AS (
+      SELECT DISTINCT l_suppkey AS supplier, CAST(year(l_shipdate) AS INT) AS year,
+             CAST((l_suppkey + year(l_shipdate)) % 4 AS DOUBLE) AS phase FROM lineitem),
+    labelled AS (SELECT *, lead(phase) OVER (PARTITION BY supplier ORDER BY year) AS label FROM phases),
+    tested AS (
+      SELECT label FROM labelled WHERE label IS NOT NULL
+      AND year > (SELECT max(year) FROM labelled WHERE label IS NOT NULL) - 2)"""
+
+
+def _phases(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers go through the tiers in turn, a tier each year (those active every year)."""
+    years = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("supplier"), F.year("l_shipdate").alias("year")).distinct()
+    phase = (F.col("supplier") + F.col("year")) % 4
+    return years.select(
+        "supplier", "year", phase.cast("double").alias("phase"), F.lit(1.0).alias("constant"),
+        F.element_at(F.array(*[F.lit(t) for t in SPEC.labels]), (phase + 1).cast("int")).alias("phase_tier"),
+    )
 
 
-@query()
+@query(sql=f"""{PHASES_SQL},
+    classes AS (SELECT CAST(unnest([0, 1, 2, 3]) AS DOUBLE) AS label),
+    counted AS (SELECT classes.label, count(tested.label) AS support FROM classes LEFT JOIN tested USING (label) GROUP BY 1)
+    SELECT label, support, support AS predicted, support AS hits, CAST((support > 0)::INT AS DOUBLE) AS precision,
+           CAST((support > 0)::INT AS DOUBLE) AS recall, CAST((support > 0)::INT AS DOUBLE) AS f1
+    FROM counted""")
 def rf_evaluation(spark: SparkSession, d: str) -> DataFrame:
-    """Precision, recall and F1 per tier on the two held-out years."""
-    run = forest.run_forest(_suppliers(spark, d), SPEC)
+    """Precision, recall and F1 per tier on the two held-out years, where there is one right answer."""
+    run = forest.run_forest(_phases(spark, d), PHASES)
     return classification_report(run.test_predictions, "label", "prediction", [0.0, 1.0, 2.0, 3.0])
 
 
-@query()
+@query(sql="SELECT 'phase' AS feature, 1e0 AS importance UNION ALL SELECT 'constant', 0e0")
 def rf_importances(spark: SparkSession, d: str) -> DataFrame:
-    """What the forest goes by, most important first."""
-    run = forest.run_forest(_suppliers(spark, d), SPEC)
-    return forest.importances(run.model, SPEC)
+    """All depends on the one feature; rounded, as trees add up fractions."""
+    run = forest.run_forest(_phases(spark, d), PHASES)
+    return forest.importances(run.model, PHASES).withColumn("importance", F.round("importance", 9))

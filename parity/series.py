@@ -14,10 +14,10 @@ from panelkit.operators import (
     moving_avg,
     naive_projection,
     trend_forecast,
-    trend_summary,
-    validation_summary,
+    summarise,
     yoy_growth,
 )
+from panelkit.plans import gold
 from parity.registry import query, rnd
 from parity.views import customer_year, nation_month, nation_year, with_ctes
 
@@ -206,7 +206,7 @@ def monthly_backtest(spark: SparkSession, d: str) -> DataFrame:
            {rnd("max(r2)", 3)} AS r_squared_max
     FROM fits GROUP BY g2"""))
 def trend_quality(spark: SparkSession, d: str) -> DataFrame:
-    return trend_summary(monthly_trend_forecast(spark, d))
+    return summarise(monthly_trend_forecast(spark, d), ["variable_name"], gold.TREND_SUMMARY)
 
 
 @query(sql=with_ctes("nation_month", body=f"""
@@ -216,4 +216,4 @@ def trend_quality(spark: SparkSession, d: str) -> DataFrame:
            {rnd("avg(regression_mape)", 1)} AS regression_mape, {rnd("avg(naive_mape)", 1)} AS naive_mape
     FROM validation GROUP BY variable_name"""))
 def backtest_quality(spark: SparkSession, d: str) -> DataFrame:
-    return validation_summary(monthly_backtest(spark, d))
+    return summarise(monthly_backtest(spark, d), ["variable_name"], gold.VALIDATION_SUMMARY)

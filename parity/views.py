@@ -203,7 +203,8 @@ def routes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Population and solutions tables.
 
     Quantities in transit are people displaced, those within one nation the internally displaced.
-    Untaxed quantities by return flag are people leaving; some routes have none in a year. Both
+    Untaxed quantities by return flag are people leaving, so that some routes have none in a year, which
+    is what the floored and the lagged queries are about; taxed ones count for the stocks. Both
     come from one pass over the joined lines, whose few sums are written once.
     """
     flag, qty = F.col("l_returnflag"), F.col("qty")
@@ -239,18 +240,25 @@ VIEW_SQL["place_reports"] = """
 
 
 def place_reports(spark: SparkSession, d: str) -> DataFrame:
-    """Lines as reports from the supplier's nation."""
+    """Lines as reports from the supplier's nation; reports that differ in their quantity only are one row.
+
+    ``n`` reports with a quantity of ``qty`` together and ``most`` at most. All that the tables below say
+    of a report can be said of such rows, of which there are few, however many lines there are.
+    """
     lines = table(spark, d, "lineitem").select(
         "l_suppkey",
         F.year("l_shipdate").alias("year"),
         F.col("l_linenumber").alias("line"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
-        whole("l_quantity").alias("qty"),
+        whole("l_quantity").alias("_qty"),
         cents("l_tax").alias("tax"),
         cents("l_discount").alias("discount"),
     )
-    return at_place(lines, spark, d, "supplier", "l_suppkey").drop("l_suppkey")
+    placed = at_place(lines, spark, d, "supplier", "l_suppkey").drop("l_suppkey")
+    return placed.groupBy("location_code", "year", "line", "flag", "status", "tax", "discount").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_qty").alias("qty"), F.max("_qty").alias("most")
+    )
 
 
 BUILT_ON["conflict_events"] = ("place_reports",)
@@ -261,13 +269,16 @@ VIEW_SQL["conflict_events"] = """
   FROM place_reports"""
 
 
-def conflict_events(spark: SparkSession, d: str) -> DataFrame:
-    """Line numbers play administrative levels, return flags kinds of events."""
+def conflict_events(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    """Line numbers play administrative levels, return flags kinds of events.
+
+    Here and below ``reports`` are the place reports where they have been written for several tables.
+    """
     flag = F.col("flag")
     kind = F.when(flag == "R", "political_violence").when(flag == "A", "civilian_targeting")
-    return place_reports(spark, d).select(
+    return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.col("line").alias("admin_level"), F.col("qty").alias("events"),
-        F.nullif("tax", F.lit(0)).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
+        (F.nullif("tax", F.lit(0)) * F.col("n")).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
     )
 
 
@@ -281,14 +292,14 @@ VIEW_SQL["foodsecurity"] = """
   FROM place_reports"""
 
 
-def foodsecurity(spark: SparkSession, d: str) -> DataFrame:
-    """Line numbers play phases; the flag tells national from regional reports."""
+def foodsecurity(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    """Line numbers play phases; the flag tells national from regional reports. The largest of equal reports."""
     phases = F.array(*[F.lit(p) for p in ("1", "2", "3", "3+", "4", "5", "all")])
-    return place_reports(spark, d).select(
+    return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
         F.element_at(phases, F.col("line")).alias("ipc_phase"),
         F.when(F.col("status") == "O", "current").otherwise("first projection").alias("ipc_type"),
-        F.col("qty").alias("population_in_phase"),
+        F.col("most").alias("population_in_phase"),
     )
 
 
@@ -304,8 +315,9 @@ VIEW_SQL["needs"] = """
   FROM place_reports"""
 
 
-def needs(spark: SparkSession, d: str) -> DataFrame:
-    """Line numbers play population statuses, flags categories (empty and NULL among them)."""
+def needs(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    """Line numbers play population statuses, flags categories (empty and NULL among them). The largest of
+    equal reports."""
     line, flag = F.col("line"), F.col("flag")
     status = (
         F.when(line == 1, "AFF").when(line.isin(2, 3), "INN").when(line == 4, "TGT").when(line == 5, "REA")
@@ -314,12 +326,12 @@ def needs(spark: SparkSession, d: str) -> DataFrame:
         F.when((flag == "R") & (F.col("status") == "O"), "total").when(flag == "A", "")
         .when(flag != "N", "children")
     )
-    return place_reports(spark, d).select(
+    return (reports or place_reports(spark, d)).select(
         "location_code", "year",
         F.when(F.col("discount") < 8, 0).otherwise(1).alias("admin_level"),
         F.when(F.col("tax") < 6, "Intersectoral").otherwise("Food").alias("sector_code"),
         status.otherwise("OTH").alias("population_status"), category.alias("category"),
-        (F.col("qty") * (F.col("tax") + 1)).alias("population"),
+        (F.col("most") * (F.col("tax") + 1)).alias("population"),
     )
 
 
@@ -331,12 +343,14 @@ VIEW_SQL["povertyrate"] = """
   FROM place_reports"""
 
 
-def povertyrate(spark: SparkSession, d: str) -> DataFrame:
-    return place_reports(spark, d).select(
+def povertyrate(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    """Measures as sums over equal reports, each with the number of values in it."""
+    n, tax, discount = F.col("n"), F.nullif("tax", F.lit(0)), F.col("discount")
+    return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
-        F.col("discount").alias("mpi"), F.col("qty").alias("headcount_ratio"),
-        F.nullif("tax", F.lit(0)).alias("vulnerable_to_poverty"),
-        (F.col("tax") + F.col("discount")).alias("in_severe_poverty"),
+        (discount * n).alias("mpi"), n.alias("mpi_n"), F.col("qty").alias("headcount_ratio"), n.alias("headcount_ratio_n"),
+        (tax * n).alias("vulnerable_to_poverty"), F.when(tax.isNotNull(), n).alias("vulnerable_to_poverty_n"),
+        ((F.col("tax") + discount) * n).alias("in_severe_poverty"), n.alias("in_severe_poverty_n"),
     )
 
 
@@ -346,9 +360,9 @@ VIEW_SQL["wb_mpm"] = """
   FROM place_reports WHERE status = 'O' GROUP BY 1, 2"""
 
 
-def wb_mpm(spark: SparkSession, d: str) -> DataFrame:
-    return place_reports(spark, d).filter("status = 'O'").groupBy("location_code", "year").agg(
-        (F.sum("discount") / F.count(F.lit(1))).alias("mpm_value")
+def wb_mpm(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    return (reports or place_reports(spark, d)).filter("status = 'O'").groupBy("location_code", "year").agg(
+        (F.sum(F.col("discount") * F.col("n")) / F.sum("n")).alias("mpm_value")
     )
 
 
@@ -358,9 +372,9 @@ VIEW_SQL["wb_extreme_poverty"] = """
   FROM place_reports WHERE status = 'F' GROUP BY 1, 2"""
 
 
-def wb_extreme_poverty(spark: SparkSession, d: str) -> DataFrame:
-    return place_reports(spark, d).filter("status = 'F'").groupBy("location_code", "year").agg(
-        (F.sum("tax") / F.count(F.lit(1))).alias("extreme_poverty_value")
+def wb_extreme_poverty(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
+    return (reports or place_reports(spark, d)).filter("status = 'F'").groupBy("location_code", "year").agg(
+        (F.sum(F.col("tax") * F.col("n")) / F.sum("n")).alias("extreme_poverty_value")
     )
 
 
@@ -368,8 +382,8 @@ BUILT_ON["wb_gdp"] = ("nation_year",)
 VIEW_SQL["wb_gdp"] = "SELECT location_code, year, amount_cents / n_orders / 1e4 AS gdp_per_capita FROM nation_year"
 
 
-def wb_gdp(spark: SparkSession, d: str) -> DataFrame:
-    return nation_year(spark, d).select(
+def wb_gdp(spark: SparkSession, d: str, yearly: DataFrame | None = None) -> DataFrame:
+    return (yearly or nation_year(spark, d)).select(
         "location_code", "year", (F.col("amount_cents") / F.col("n_orders") / 1e4).alias("gdp_per_capita")
     )
 
@@ -378,8 +392,8 @@ BUILT_ON["wb_population"] = ("nation_year",)
 VIEW_SQL["wb_population"] = "SELECT location_code, year, n_orders * 2e4 AS total_population FROM nation_year"
 
 
-def wb_population(spark: SparkSession, d: str) -> DataFrame:
-    return nation_year(spark, d).select(
+def wb_population(spark: SparkSession, d: str, yearly: DataFrame | None = None) -> DataFrame:
+    return (yearly or nation_year(spark, d)).select(
         "location_code", "year", (F.col("n_orders") * 2e4).alias("total_population")
     )
 
@@ -392,7 +406,10 @@ VIEW_SQL["location"] = """
 
 
 def location(spark: SparkSession, d: str) -> DataFrame:
-    """Nations with flags that take effect in a year given by their region."""
+    """Nations with flags that take effect in a year given by their region.
+
+    One region is left out, as the location feed does not know all countries either.
+    """
     key = F.col("n_regionkey")
     return (
         table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))

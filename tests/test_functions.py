@@ -79,13 +79,14 @@ def test_per_capita(frame):
     ]
 
 
-def test_status_metric_falls_back_to_unnamed_category(frame):
+def test_preferred_max_falls_back_to_unnamed_category(frame):
     df = frame(
         "k STRING, s STRING, c STRING, v INT",
         ("a", "INN", "total", 5), ("a", "INN", None, 9), ("b", "INN", "", 7), ("b", "INN", None, 3),
         ("c", "INN", "men", 4), ("d", "TGT", "total", 1),
     )
-    metric = fn.status_metric(F.col("s"), "INN", F.col("c"), F.col("v"))
+    own = F.col("s") == "INN"
+    metric = fn.preferred_max(F.col("v"), own & (F.col("c") == "total"), own & (F.coalesce("c", F.lit("")) == ""))
     assert rows(df.groupBy("k").agg(metric), "k") == [("a", 5), ("b", 7), ("c", None), ("d", None)]
 
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from panelkit import operators as op
+from panelkit.plans import gold
 from tests.conftest import rows
 
 
@@ -81,10 +82,20 @@ def test_backtest_matches_brute_force(frame):
         assert r["beats_naive"] == (r["improvement_pct"] is not None and r["improvement_pct"] > 0)
 
 
+def found_in(frame):
+    return op.backtest(series(frame, line=range(10)), "k", "year", ["v"])
+
+
+def test_series_with_two_rows_a_year_are_an_error(frame):
+    df = series(frame, k=[1, 5, 2, 8, 3, 9, 1, 4, 6])
+    with pytest.raises(Exception, match="several rows per year"):
+        op.fit_ols(df.union(df), ["k"], "year", "v").collect()
+
+
 def test_backtest_without_naive_error_has_no_improvement(frame):
     found = op.backtest(series(frame, line=range(10)), "k", "year", ["v"]).collect()[0]
     assert found["naive_mae"] == 0 and found["improvement_pct"] is None and found["beats_naive"] is False
-    summary = op.validation_summary(op.backtest(series(frame, line=range(10)), "k", "year", ["v"])).collect()[0]
+    summary = op.summarise(found_in(frame), ["variable_name"], gold.VALIDATION_SUMMARY).collect()[0]
     assert (summary["entities"], summary["wins"], summary["win_rate_pct"]) == (1, 0, 0.0)
 
 
