@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Rows that go to a Python worker at a time, unless the session was started with another number.
+BATCH_ROWS = 2_000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers that start on this machine import the package from where it lies.
+    """Prepare the session for operators that work on texts in Python.
 
-    On a cluster the package is installed or shipped as usual; then this changes nothing.
+    Batches get fewer rows than Spark's default, as texts are long. Workers that start on this machine can import
+    the package from where it lies; on a cluster it is installed or shipped as usual, and this changes nothing.
     """
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(":")
     if root not in paths:

@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ SWITCH = 8.0
 #: A script belongs to a language if it writes this share of its letters.
 SCRIPT_SHARE = 0.01
 #: Characters times languages that are scored at a time.
-SCORED = 4_000_000
+SCORED = 2_000_000
 NONE = "und"
 
 #: First and last code points of scripts, from the Unicode blocks.
@@ -60,9 +61,9 @@ SCRIPTS = {
 @lru_cache(maxsize=1)
 def _characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it is a letter, its lower case (where that is one character), its script (0: another)."""
-    points = [chr(i) for i in range(0x110000)]
+    lower = np.arange(0x110000, dtype="<u4")
+    points = lower.tobytes().decode("utf-32-le", "surrogatepass")
     letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
-    lower = np.arange(len(points), dtype=np.uint32)
     for i in np.flatnonzero(letter).tolist():
         if len(folded := points[i].lower()) == 1:
             lower[i] = ord(folded)
@@ -155,9 +156,23 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
 def best_path(scores: np.ndarray, first: np.ndarray, length: np.ndarray, switch: float) -> np.ndarray:
     """The language of each word on the best path of each text (Viterbi), for many texts step by step.
 
-    ``scores``: words by languages; text ``i`` has ``length[i]`` words from ``first[i]``, one at least.
-    Texts in order of their length take each step together, so that a step costs a few array operations.
+    ``scores``: words by languages; text ``i`` has ``length[i]`` words from ``first[i]``, one at least. What came
+    before gives a word's languages a lead of ``switch`` at most. Where a word's best language leads by twice
+    that, all paths go through it, so texts are cut there: the next word starts with the same lead for it.
+    The parts, in order of their length, take each step together, so that a step costs a few array operations.
     """
+    if scores.shape[1] > 1:
+        ranked = np.partition(scores, -2, axis=1)
+        last = np.zeros(len(scores), bool)
+        last[first + length - 1] = True
+        cut = np.flatnonzero((ranked[:, -1] - ranked[:, -2] >= 2 * switch) & ~last)
+        scores = scores.copy()
+        lead = np.full((len(cut), scores.shape[1]), -switch, scores.dtype)
+        lead[np.arange(len(cut)), scores[cut].argmax(axis=1)] = 0
+        scores[cut + 1] += lead
+        ends = np.flatnonzero(last)
+        first = np.sort(np.concatenate([first, cut + 1]))
+        length = np.sort(np.concatenate([ends, cut])) - first + 1
     order = np.argsort(-length, kind="stable")
     first, length = first[order], length[order]
     came = np.zeros(scores.shape, np.int16)
@@ -208,24 +223,22 @@ class Labels:
     spans: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # of each text: starts, ends, languages
 
 
-def label(texts: list[str], model: Model, switch: float = SWITCH, spans: bool = True) -> Labels:
-    """Languages, scores and spans of texts, taken in order of their length, as many at a time as memory allows.
-
-    Texts of about the same length share their Viterbi steps, so taking them in that order costs few.
-    """
+def label(texts: pa.Array, model: Model, switch: float = SWITCH, spans: bool = True) -> Labels:
+    """Languages, scores and spans of texts (NULL: empty), some at a time."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
     language, score = np.full(len(texts), -1), np.zeros(len(texts))
     none = np.zeros(0, np.int64)
     found = [(none, none, none)] * len(texts)
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     most = SCORED // max(1, len(model.languages))
     first = 0
-    while first < len(order):
-        last, size = first + 1, len(texts[order[first]])
-        while last < len(order) and size + len(texts[order[last]]) <= most:
-            size += len(texts[order[last]])
+    while first < len(sizes):
+        last, size = first + 1, sizes[first]
+        while last < len(sizes) and size + sizes[last] <= most:
+            size += sizes[last]
             last += 1
-        own = order[first:last]
-        language[own], score[own], words, path = _label_some([texts[i] for i in own], model, switch)
+        own = range(first, last)
+        some = [text or "" for text in texts.slice(first, last - first).to_pylist()]
+        language[first:last], score[first:last], words, path = _label_some(some, model, switch)
         if spans and len(path):
             begins = np.ones(len(path), bool)
             begins[1:] = (words.text[1:] != words.text[:-1]) | (path[1:] != path[:-1])
@@ -238,10 +251,6 @@ def label(texts: list[str], model: Model, switch: float = SWITCH, spans: bool =
     return Labels(language, score, found)
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [text or "" for text in column.to_pylist()]
-
-
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
 
@@ -259,7 +268,7 @@ def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, NONE], object)
         for batch in batches:
-            found = label(_texts(batch.column(1)), shared.value, switch)
+            found = label(batch.column(1), shared.value, switch)
             start, end, path = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*found.spans)) or [()] * 3))
             spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(names[path.astype(np.int64)], pa.string())], fields=list(_SPAN))
             offsets = np.cumsum([0, *(len(x[0]) for x in found.spans)])
@@ -281,7 +290,7 @@ def recognised(df: DataFrame, model: Model, text_column: str = "text", least: fl
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = label(_texts(batch.column(at)), shared.value, switch, spans=False)
+            found = label(batch.column(at), shared.value, switch, spans=False)
             yield batch.filter(pa.array((found.language >= 0) & (found.score >= least)))
 
     return df.mapInArrow(each, df.schema)

@@ -27,7 +27,7 @@ _RUNS = re.compile(r"[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f]+|[0-9\xb2\xb
 class WordIds(dict):
     """Word -> ids as little-endian unsigned 32-bit bytes; emptied when it holds ``most`` words."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000):
         super().__init__()
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
