@@ -63,7 +63,7 @@ def test_needs_gaps_and_scores(frame):
         need("D", "AFF", 5),
     )
     columns = ["population_in_need", "aid_gap", "aid_gap_ratio", "response_gap", "score_gap_absolute", "score_gap_ratio"]
-    assert rows(gold.scored_needs(needs).select("location_code", *columns), "location_code") == [
+    assert rows(gold.scored_needs(gold.needs_gaps(needs)).select("location_code", *columns), "location_code") == [
         ("A", 100, 60, 2.5, None, 1.0, 1.0),
         ("B", 50, 50, None, 30, 0.75, None),
         ("C", 80, 20, 1.333, None, 0.0, 0.0),
@@ -131,4 +131,4 @@ def test_classification_report_matches_counts(frame):
         (0.0, 4, 5, 3, 0.6667), (1.0, 4, 3, 2, 0.5714), (2.0, 0, 0, 0, 0.0),
     ]
     assert rows(op.macro_f1(report).select(F.round("macro_f1", 4))) == [(0.4127,)]
-    assert rows(op.confusion(df, "a", "p", [0, 1]), "a") == [(0.0, 3, 1), (1.0, 2, 2)]
+    assert rows(op.confusion(df, "a", "p", [0, 1]), "a") == [(0.0, 3, 1, 0), (1.0, 2, 2, 0)]
