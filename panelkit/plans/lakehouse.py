@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-
-from panelkit.operators.forest import ForestRun, ForestSpec
+from pyspark.sql import functions as F
+
+from panelkit.functions import decode_tier
+from panelkit.operators.forest import ForestRun, ForestSpec, importances
+from panelkit.operators.reports import (
+    classification_report,
+    confusion,
+    coverage_report,
+    distribution,
+    macro_f1,
+    quality_report,
+    summarise,
+)
 from panelkit.plans import gold
+from panelkit.plans.quarantine import refresh_quarantine
 from panelkit.plans.silver import refresh_all_silver
 from panelkit.sources.feeds import FEEDS
 from panelkit.sources.tables import TableStore, checkpointed, release
-from panelkit.streaming.ingest import ingest_feed
+from panelkit.streaming.ingest import start_ingest
 
 PRESSURE_TABLE = "gold_host_pressure_indices"
 BY_TABLE = {feed.table: feed for feed in FEEDS.values()}
 
 
 def refresh_bronze(store: TableStore, source: str, options: Mapping[str, Mapping[str, str]]) -> None:
-    """Ingest what is new for each feed named in ``options`` (feed topic to source options)."""
-    for topic, source_options in options.items():
-        ingest_feed(store, FEEDS[topic], source, source_options)
+    """Ingest what is new for each feed named in ``options`` (feed topic to source options), all at once."""
+    running = [start_ingest(store, FEEDS[topic], source, own) for topic, own in options.items()]
+    for query in running:
+        query.awaitTermination()
 
 
 def _silver(store: TableStore, name: str) -> DataFrame:
     return store.read("silver", name, BY_TABLE[name].silver_schema)
 
 
+def _publish(
+    store: TableStore, name: str, df: DataFrame, partition_by: Sequence[str] = (), layer: str = "gold"
+) -> DataFrame:
+    """Write a table, enter it in the catalog and read it back with the schema it was written with."""
+    schema = df.schema
+    store.overwrite(df, layer, name, partition_by)
+    store.ensure_table(layer, name)
+    return store.read(layer, name, None if partition_by else schema)
+
+
 def refresh_features(store: TableStore) -> None:
     """Feature tables, country facts and host pressure; each is written once and read back."""
 
@@ -34,8 +57,7 @@ def refresh_features(store: TableStore) -> None:
         return _silver(store, name)
 
     def publish(name, df, partition_by=()):
-        store.overwrite(df, "gold", name, partition_by)
-        return store.read("gold", name)
+        return _publish(store, name, df, partition_by)
 
     conflict = publish("gold_conflict_features", gold.conflict_features(silver("conflict_events")))
     poverty = publish(
@@ -63,6 +85,7 @@ def refresh_pressure_forecast(store: TableStore, spec: ForestSpec = gold.PRESSUR
     indices = store.read("gold", PRESSURE_TABLE, is_forecast="boolean")
     run, rows = gold.pressure_forecast(indices, spec)
     store.replace_slice(rows, "gold", PRESSURE_TABLE, "is_forecast", True)
+    store.ensure_table("gold", PRESSURE_TABLE)
     return run
 
 
@@ -74,17 +97,47 @@ def refresh_aid(store: TableStore) -> None:
     )
     population, solutions, needs, *others = (_silver(store, t) for t in tables)
     gaps = checkpointed(gold.needs_gaps(needs))
-    store.overwrite(gold.aid_demand(population, solutions, gaps, *others), "gold", "aid_demand_analysis")
+    aid = _publish(store, "aid_demand_analysis", gold.aid_demand(population, solutions, gaps, *others))
     release(gaps)
-    aid = store.read("gold", "aid_demand_analysis")
-    store.overwrite(gold.trend_forecast(aid), "gold", "trend_forecast")
-    store.overwrite(gold.model_validation(aid), "gold", "model_validation")
-    store.overwrite(gold.risk_profile(aid), "gold", "risk_profile")
-
-
-def refresh_all(store: TableStore, since=None, mode: str = "merge") -> None:
-    """Silver and gold from whatever bronze holds."""
-    refresh_all_silver(store, since, mode)
+    _publish(store, "trend_forecast", gold.trend_forecast(aid))
+    _publish(store, "model_validation", gold.model_validation(aid))
+    _publish(store, "risk_profile", gold.risk_profile(aid))
+
+
+def refresh_reports(store: TableStore, run: ForestRun | None = None, spec: ForestSpec = gold.PRESSURE_FOREST) -> None:
+    """What the tables hold and how good the models are, as tables of the layer ``reports``."""
+
+    def publish(name, df):
+        _publish(store, name, df, layer="reports")
+
+    facts, aid = store.read("gold", "gold_country_fact"), store.read("gold", "aid_demand_analysis")
+    publish("country_fact_coverage", coverage_report(facts, [c for c in facts.columns if c not in gold.PLACE_YEAR]))
+    publish("aid_quality", quality_report(aid, "location_code", "year", list(gold.RISK_DIRECTIONS)))
+    indices = store.read("gold", PRESSURE_TABLE, is_forecast="boolean").filter(~F.col("is_forecast"))
+    for column in ("pressure_per_capita_tier", "pressure_per_gdp_per_capita_tier", "funding_gap_tier"):
+        publish(f"{column}_distribution", distribution(indices, column))
+    publish("trend_quality", summarise(store.read("gold", "trend_forecast"), ["variable_name"], gold.TREND_SUMMARY))
+    publish("validation_quality", summarise(store.read("gold", "model_validation"), ["variable_name"], gold.VALIDATION_SUMMARY))
+    if run is not None:
+        labels = [float(i) for i in range(len(spec.labels))]
+        tested = checkpointed(run.test_predictions.select("label", "prediction", spec.tier, "predicted_tier"))
+        report = classification_report(tested, "label", "prediction", labels)
+        publish("pressure_classification", report)
+        publish("pressure_macro_f1", macro_f1(report))
+        actual = tested.withColumn("actual_tier", decode_tier(F.col("label"), spec.labels))
+        publish("pressure_confusion", confusion(actual, "actual_tier", "predicted_tier", spec.labels))
+        publish("pressure_importances", importances(run.model, spec))
+        release(tested)
+
+
+def refresh_all(store: TableStore, since=None, mode: str = "merge", years: tuple[int, int] | None = None) -> None:
+    """Silver, gold, reports and quarantine from whatever bronze holds.
+
+    ``years`` (first and last) limits the rows that go to silver, as for a backfill.
+    """
+    refresh_all_silver(store, since, mode, years)
     refresh_features(store)
-    refresh_pressure_forecast(store)
+    run = refresh_pressure_forecast(store)
     refresh_aid(store)
+    refresh_reports(store, run)
+    refresh_quarantine(store, since, (PRESSURE_TABLE, gold.PRESSURE_FOREST))

@@ -11,14 +11,14 @@ from panelkit.operators.cleaning import (
     null_if_cast,
     require_not_null,
 )
-from panelkit.sources.feeds import FEEDS, FeedSpec
+from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON, FeedSpec
 from panelkit.sources.records import read_since
-from panelkit.sources.tables import TableStore
+from panelkit.sources.tables import TableStore, between_years
 
 
 def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     """The silver rows of a batch of bronze rows."""
-    rows = bronze
+    rows = bronze.drop(BAD_RECORD, INGESTED_ON)
     if feed.placeholder_ints:
         rows = null_if_cast(rows, feed.placeholder_ints, "int")
     rows = latest_by(require_not_null(rows, feed.not_null), feed.keys, "ingested_at")
@@ -29,22 +29,32 @@ def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     return rows
 
 
-def refresh_silver(store: TableStore, feed: FeedSpec, since=None, mode: str = "merge") -> None:
+def refresh_silver(
+    store: TableStore, feed: FeedSpec, since=None, mode: str = "merge", years: tuple[int, int] | None = None
+) -> None:
     """Bring a feed's silver table up to date with what arrived since a time (default: today).
 
     ``mode="merge"`` keeps older keys of the years the batch touches, ``"replace"`` lets the batch
-    replace those years.
+    replace those years. ``years`` (first and last) takes only rows of those, as for a backfill. The table is
+    entered in the catalog.
     """
     bronze = read_since(store.read("bronze", feed.table, feed.bronze_schema), since=since)
-    store.upsert(refine(bronze, feed), "silver", feed.table, mode=mode, keys=_table_keys(feed), schema=feed.silver_schema)
+    rows = refine(bronze, feed)
+    if years and "year" in rows.columns:
+        rows = between_years(rows, *years)
+    store.upsert(rows, "silver", feed.table, mode=mode, keys=_table_keys(feed), schema=feed.silver_schema)
+    if store.exists("silver", feed.table):
+        store.ensure_table("silver", feed.table)
 
 
 def _table_keys(feed: FeedSpec) -> tuple[str, ...]:
     return feed.keys if "year" in feed.keys or feed.year_rule == "none" else (*feed.keys, "year")
 
 
-def refresh_all_silver(store: TableStore, since=None, mode: str = "merge") -> None:
+def refresh_all_silver(
+    store: TableStore, since=None, mode: str = "merge", years: tuple[int, int] | None = None
+) -> None:
     """Every feed that has bronze data."""
     for feed in FEEDS.values():
         if store.exists("bronze", feed.table):
-            refresh_silver(store, feed, since, mode)
+            refresh_silver(store, feed, since, mode, years)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from panelkit.sources.feeds import type_at
+from panelkit.sources.feeds import INGESTED_AT, INGESTED_ON, type_at
 
 # The fields of an API answer that may hold its records, in order of preference.
 RECORD_FIELDS = ("items", "results", "data")
@@ -112,10 +112,14 @@ def stamp_ingested(df: DataFrame, out: str = "ingested_at") -> DataFrame:
     return df.withColumn(out, F.current_timestamp())
 
 
-def read_since(df: DataFrame, ts: str = "ingested_at", since: date | datetime | str | None = None) -> DataFrame:
+def read_since(
+    df: DataFrame, ts: str = INGESTED_AT, since: date | datetime | str | None = None, day: str = INGESTED_ON
+) -> DataFrame:
     """Rows ingested at or after a time, by default since the start of the current day.
 
-    The stored column is compared as it is, so the condition reaches the Parquet statistics.
+    The stored column is compared as it is, so the condition reaches the Parquet statistics. Where the table is
+    partitioned by the ``day`` of it, earlier days are not even listed.
     """
     start = F.current_date() if since is None else F.lit(since)
-    return df.filter(F.col(ts) >= start.cast(df.schema[ts].dataType))
+    recent = df.filter(F.col(ts) >= start.cast(df.schema[ts].dataType))
+    return recent.filter(F.col(day) >= start.cast("timestamp").cast("date")) if day in df.columns else recent

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelkit.sources.feeds import FeedSpec
+from panelkit.sources.feeds import BAD_RECORD, INGESTED_AT, INGESTED_ON, FeedSpec
 from panelkit.sources.records import parse_json_records, stamp_ingested
 from panelkit.sources.tables import TableStore
 
@@ -31,29 +32,31 @@ def read_stream(spark: SparkSession, source: str, options: Mapping[str, str], sc
 
 
 def parse_stream(messages: DataFrame, feed: FeedSpec, compat: bool = False) -> DataFrame:
-    """Messages of a feed as typed, renamed, stamped rows."""
-    return stamp_ingested(parse_json_records(messages, feed.schema, feed.mapping, compat=compat))
+    """Messages of a feed as typed, renamed, stamped rows; the text of records that are no JSON is kept."""
+    return stamp_ingested(parse_json_records(messages, feed.schema, feed.mapping, compat=compat, raw_out=BAD_RECORD))
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything not yet processed to a Parquet table, then stop."""
+    """Append everything not yet processed to a Parquet table, then stop.
+
+    Stamped rows are partitioned by the day they came, so that reading what is new opens no older file.
+    """
+    by_day = [INGESTED_ON] if INGESTED_AT in df.columns else []
+    rows = df.withColumn(INGESTED_ON, F.to_date(INGESTED_AT)) if by_day else df
     return (
-        df.writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy(*by_day)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
     )
 
 
-def ingest_feed(
-    store: TableStore,
-    feed: FeedSpec,
-    source: str,
-    options: Mapping[str, str],
-    compat: bool = False,
-) -> None:
-    """Bring a feed's bronze table up to date and wait until that is done.
+def start_ingest(
+    store: TableStore, feed: FeedSpec, source: str, options: Mapping[str, str], compat: bool = False
+) -> StreamingQuery:
+    """Start to bring a feed's bronze table up to date.
 
     For Kafka the feed's topic is subscribed unless the options name another.
     """
@@ -61,4 +64,11 @@ def ingest_feed(
         options = {"subscribe": feed.topic, **options}
     rows = parse_stream(read_stream(store.spark, source, options), feed, compat)
     checkpoint = f"{store.root.rstrip('/')}/checkpoints/bronze/{feed.table}"
-    append_stream(rows, store.path("bronze", feed.table), checkpoint).awaitTermination()
+    return append_stream(rows, store.path("bronze", feed.table), checkpoint)
+
+
+def ingest_feed(
+    store: TableStore, feed: FeedSpec, source: str, options: Mapping[str, str], compat: bool = False
+) -> None:
+    """Bring a feed's bronze table up to date and wait until that is done."""
+    start_ingest(store, feed, source, options, compat).awaitTermination()

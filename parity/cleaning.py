@@ -17,6 +17,7 @@ from panelkit.operators import (
     null_if_cast,
     one_per_key,
     require_not_null,
+    unparsed_periods,
 )
 from panelkit.sources import (
     TableStore,
@@ -25,6 +26,7 @@ from panelkit.sources import (
     parse_json_records,
     read_since,
     stamp_ingested,
+    unreadable_pages,
     unwrap_records,
 )
 from panelkit.streaming import append_stream, read_stream
@@ -98,12 +100,56 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     rows = stamp_ingested(parse_json_records(messages, StructType.fromDDL(EVENT_DDL), EVENT_FIELDS))
     store = _scratch(spark)
     append_stream(rows, store.path("bronze", "events"), f"{store.root}/checkpoint").awaitTermination()
-    return store.read("bronze", "events").drop("ingested_at")
+    return store.read("bronze", "events").drop("ingested_at", "ingested_on")
 
 
 @query(sql="SELECT event_id, user_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-15'")
 def incremental_since(spark: SparkSession, d: str) -> DataFrame:
-    return read_since(table(spark, d, "events"), "ts", "2024-01-15").select("event_id", "user_id", "value")
+    """Events appended to a raw table as if they had come at their time, and those of its later days read."""
+    events = table(spark, d, "events")
+    source = read_stream(spark, "parquet", {"path": f"{d}/events.parque[t]"}, events.schema)
+    stamped = source.select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ingested_at"))
+    store = _scratch(spark)
+    append_stream(stamped, store.path("bronze", "events"), f"{store.root}/checkpoint").awaitTermination()
+    return read_since(store.read("bronze", "events"), since="2024-01-15").select("event_id", "user_id", "value")
+
+
+@query(sql="""
+    SELECT event_id, CAST(NULL AS VARCHAR) AS bad_record FROM events WHERE event_id % 7 <> 0
+    UNION ALL
+    SELECT NULL, '{"id": "' || event_id || '", "who' FROM events WHERE event_id % 7 = 0""")
+def bad_json(spark: SparkSession, d: str) -> DataFrame:
+    """Every seventh message is cut short: kept and set aside are together what was read."""
+    broken = F.concat(F.lit('{"id": "'), F.col("event_id"), F.lit('", "who'))
+    text = F.when(F.col("event_id") % 7 == 0, broken).otherwise(_event_json())
+    messages = table(spark, d, "events").select(text.alias("value"))
+    found = parse_json_records(messages, StructType.fromDDL(EVENT_DDL), EVENT_FIELDS, raw_out="bad_record")
+    return found.select("event_id", "bad_record")
+
+
+@query(sql=with_ctes("funding", body="SELECT o_orderkey, reference_period_end IS NULL AS is_unparsed FROM funding"))
+def unparsed_appeals(spark: SparkSession, d: str) -> DataFrame:
+    """Appeals that no year can be given to, and all others."""
+    appeals = funding(spark, d).select("o_orderkey", "reference_period_start", "reference_period_end")
+    period = ("reference_period_start", "reference_period_end")
+    placed = explode_years(appeals, *period).select("o_orderkey").distinct().withColumn("is_unparsed", F.lit(False))
+    return placed.unionByName(unparsed_periods(appeals, *period).select("o_orderkey", F.lit(True).alias("is_unparsed")))
+
+
+@query(sql="SELECT event_id, event_id % 5 IN (3, 4) AS is_unreadable FROM events")
+def unreadable_answers(spark: SparkSession, d: str) -> DataFrame:
+    """API pages of one record each, some of them no JSON or without a list of records."""
+    events = table(spark, d, "events").select("event_id", _event_json().alias("record"))
+    kind = F.col("event_id") % 5
+    body = (
+        F.when(kind == 3, F.concat(F.lit('{"items": 5, "id": '), F.col("event_id"), F.lit("}")))
+        .when(kind == 4, F.concat(F.lit("<html>"), F.col("event_id")))
+        .otherwise(F.concat(F.lit('{"items": ['), F.col("record"), F.lit("]}")))
+    )
+    pages = events.select(body.alias("body"))
+    read = parse_json_records(unwrap_records(pages, "body"), StructType.fromDDL(EVENT_DDL), EVENT_FIELDS)
+    lost = unreadable_pages(pages, "body").select(F.regexp_extract("body", r"(\d+)}?$", 1).cast("bigint").alias("event_id"))
+    return read.select("event_id", F.lit(False).alias("is_unreadable")).unionByName(lost.withColumn("is_unreadable", F.lit(True)))
 
 
 @query(sql=with_ctes("nation_year", body="""
@@ -291,6 +337,17 @@ def replace_slice_from_itself(spark: SparkSession, d: str) -> DataFrame:
     return store.read("gold", "orders", is_forecast="boolean")
 
 
+@query(sql=with_ctes("nation_year", body="SELECT location_code, year, n_orders + 1 AS n_orders FROM nation_year"))
+def catalog_table(spark: SparkSession, d: str) -> DataFrame:
+    """A partitioned table in the catalog that has been replaced once, read by its name."""
+    store, layer = _scratch(spark), f"lake_{uuid4().hex}"
+    yearly = nation_year(spark, d).select("location_code", "year", "n_orders")
+    for added in (0, 1):
+        store.overwrite(yearly.withColumn("n_orders", F.col("n_orders") + added), layer, "nation_year", ["year"])
+        store.ensure_table(layer, "nation_year")
+    return spark.table(f"{layer}.nation_year").select("location_code", "year", "n_orders")
+
+
 @query(sql=with_ctes("nation_year", body="""
     SELECT location_code, max(amount_cents) AS best_cents, arg_max(year, (amount_cents, year)) AS best_year
     FROM nation_year GROUP BY location_code HAVING count(*) > 1"""))

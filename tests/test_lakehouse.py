@@ -104,18 +104,49 @@ def lake(spark, tmp_path_factory):
     for topic, records in messages().items():
         inbox = folder / topic
         inbox.mkdir()
-        (inbox / "1.json").write_text("\n".join(json.dumps(r) for r in records))
+        lines = [json.dumps(r) for r in records] + (['{"cut": "short'] if topic == "funding" else [])
+        (inbox / "1.json").write_text("\n".join(lines))
         options[topic] = {"path": str(inbox)}
     lakehouse.refresh_bronze(store, "text", options)
     lakehouse.refresh_all_silver(store, since="2000-01-01")
     lakehouse.refresh_features(store)
     small = ForestSpec(**{**gold.PRESSURE_FOREST.__dict__, "num_trees": 5, "min_instances": 1, "partitions": 1})
     lakehouse.refresh_pressure_forecast(store, small)
-    lakehouse.refresh_pressure_forecast(store, small)
+    run = lakehouse.refresh_pressure_forecast(store, small)
     lakehouse.refresh_aid(store)
+    lakehouse.refresh_reports(store, run, small)
+    for _ in range(2):
+        lakehouse.refresh_quarantine(store, "2000-01-01", (lakehouse.PRESSURE_TABLE, small))
     return store
 
 
+def test_every_table_is_in_the_catalog(lake, spark):
+    for layer, names in (
+        ("silver", ["population", "funding", "sector"]),
+        ("gold", ["gold_country_fact", "gold_displacement", "gold_host_pressure_indices", "aid_demand_analysis", "risk_profile"]),
+        ("reports", ["country_fact_coverage", "funding_gap_tier_distribution", "trend_quality", "pressure_classification", "pressure_confusion", "pressure_macro_f1"]),
+    ):
+        for name in names:
+            assert spark.table(f"{layer}.{name}").count() == lake.read(layer, name).count() > 0, name
+
+
+def test_nothing_is_lost_without_notice(lake):
+    found = lake.read("quarantine", "rejected")
+    bad = found.filter("source = 'funding.bad_json'")
+    assert [json.loads(r.record) for r in bad.collect()] == [{"bad_record": '{"cut": "short'}]
+    bronze = lake.read("bronze", "funding", FEEDS["funding"].bronze_schema)
+    assert bronze.filter("bad_record IS NULL").count() + bad.count() == len(messages()["funding"]) + 1
+    assert found.groupBy("source", "record").count().filter("count > 1").count() == 0
+
+
+def test_bronze_is_read_by_the_day_of_ingestion(lake):
+    from panelkit.sources import read_since
+
+    bronze = lake.read("bronze", "population", FEEDS["population"].bronze_schema)
+    plan = read_since(bronze)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingested_on" in plan
+
+
 def test_silver_holds_one_row_per_key(lake):
     for feed in FEEDS.values():
         table = lake.read("silver", feed.table)
