@@ -73,7 +73,7 @@ FROM firsts
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import text_or_empty
 from panelkit.llm.components import components
 from panelkit.sources.tables import checkpointed
 
@@ -42,17 +43,19 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Id and ``fingerprint`` (the 64 bits as a long) of each row; NULL text is empty."""
+    """Id, ``text_hash`` (64 bits that with the id tell rows apart) and ``fingerprint`` (its 64 bits as a long) of each
+    row; NULL text is empty."""
     id_type = df.schema[id_column].dataType.simpleString()
+    text = text_or_empty(text_column)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(text.as_py() or b"") for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["id", "fingerprint"])
+            found = [fingerprint(text.as_py()) for text in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.array(found, np.uint64).view(np.int64))], names=["id", "text_hash", "fingerprint"])
 
     return (
-        df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").cast("binary").alias("text"))
-        .mapInArrow(each, f"id {id_type}, fingerprint long")
+        df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+        .mapInArrow(each, f"id {id_type}, text_hash long, fingerprint long")
         .withColumnRenamed("id", id_column)
     )
 
@@ -177,7 +180,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], values: list[str
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: id, ``fingerprint`` (16 hex digits), ``component_id``.
+    """One row per input row: id, ``text_hash``, ``fingerprint`` (16 hex digits), ``component_id``.
 
     Fingerprints link if at most ``RADIUS`` bits differ; the component is named by the smallest id that
     is reachable over links. Trees see distinct fingerprints only, so copies cost nothing there. Texts
@@ -192,11 +195,16 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     named = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
     named = checkpointed(rooted.join(named, "root").select("fingerprint", "component_id"))
     joined = rows.join(named, "fingerprint")
-    return joined.select(id_column, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    return joined.select(id_column, "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component; all columns stay. Rows with NULL id stay only alone."""
-    kept = near_duplicates(df, id_column, text_column).filter(F.col(id_column).eqNullSafe(F.col("component_id")))
-    kept = checkpointed(kept.select(F.col(id_column).alias("_kept")).distinct())
-    return df.join(kept, df[id_column].eqNullSafe(kept["_kept"]), "left_semi")
+    """The rows of the smallest id of each component; all columns stay. Rows with NULL id stay only alone.
+
+    The rows that go are the fewer, so they are what the texts are joined with.
+    """
+    found = near_duplicates(df, id_column, text_column)
+    gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(id_column, "text_hash").distinct()
+    gone = checkpointed(gone.toDF("id", "text_hash"))
+    same = df[id_column].eqNullSafe(gone["id"]) & (F.xxhash64(F.coalesce(df[text_column].cast("string"), F.lit(""))) == gone["text_hash"])
+    return df.join(gone, same, "left_anti")

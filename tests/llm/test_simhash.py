@@ -99,10 +99,12 @@ def test_components_of_a_long_path_and_a_star(spark):
 
 
 def test_one_document_of_each_group_stays(docs):
-    rows = [(3, "a b c d e"), (2, "a b c d e"), (9, "quite another text is here"), (4, None), (5, "")]
+    rows = [(3, "a b c d e"), (2, "a b c d e"), (9, "quite another text is here"), (4, None), (5, ""), (None, "a b c d e"), (None, "without an id")]
     df = docs(rows)
     kept = without_near_duplicates(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 9]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(2, "a b c d e"), (4, None), (9, "quite another text is here"), (None, "without an id")], key=str
+    )
     assert without_near_duplicates(docs([])).count() == 0
     assert kept.select(F.max("n")).first()[0] == 1
