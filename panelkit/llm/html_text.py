@@ -78,6 +78,8 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
     header = (tag == "header" or "header" in names) and not parent.labelled and tag not in ("html", "body", *LABELS)
     dropped = parent.dropped or tag in DROPPED or bool(other) or header
     labelled = parent.labelled or (tag == label or label == "main" and bool(names & {"main", "articlebody"})) and not dropped
+    if tag == "a":  # links count wherever they are, as menus are full of them
+        return Element(tag, parent.features | {tag}, labelled, dropped)
     if not dropped and (tag in BLOCKS or names):
         own = {tag} if tag in BLOCKS and tag not in LABELS else set()
         return Element(tag, parent.features | own | {f".{n}" for n in names if n not in LABELS}, labelled, dropped)
