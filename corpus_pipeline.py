@@ -20,7 +20,7 @@ from panelkit.sources.tables import checkpointed
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; without letters, or with no language for half of them, they go."""
+    """Documents whose text has a language; without letters, or with none for three tenths of them, they go."""
     reach_workers(spark)
     return recognised(docs, fit(docs.filter(~held_out())))
 

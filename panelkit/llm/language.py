@@ -27,6 +27,9 @@ SWITCH = 8.0
 SCRIPT_SHARE = 0.01
 #: Characters times languages that are scored at a time.
 SCORED = 2_000_000
+#: Share of a text's letters that its language has to hold for the text to be recognised. Texts of two or three
+#: languages are; only medleys are not.
+LEAST_SHARE = 0.3
 NONE = "und"
 
 #: First and last code points of scripts, from the Unicode blocks.
@@ -284,7 +287,7 @@ def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
     )
 
 
-def recognised(df: DataFrame, model: Model, text_column: str = "text", least: float = 0.5, switch: float = SWITCH) -> DataFrame:
+def recognised(df: DataFrame, model: Model, text_column: str = "text", least: float = LEAST_SHARE, switch: float = SWITCH) -> DataFrame:
     """The rows, with all their columns, whose text has a language that holds at least ``least`` of its letters."""
     shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_column)
 

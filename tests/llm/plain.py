@@ -12,7 +12,7 @@ from tests.llm.test_simhash import plain_fingerprint
 
 
 def language(rows, benchmark):
-    """On these tables every text with a letter has a language for half of it."""
+    """On these tables every text with a letter has a language for three tenths of it."""
     return [r for r in rows if r["text"] and any(c.isalpha() for c in r["text"])]
 
 
