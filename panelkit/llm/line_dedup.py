@@ -136,7 +136,7 @@ def without_recurring_lines(df: DataFrame, id_column: str = "doc_id", text_colum
     drops = recurring_lines(df, id_column, text_column)
     # The row travels as one struct, so that its columns may have any names.
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_column).alias("own_id"), F.xxhash64(text_or_empty(text_column)).alias("own_hash"))
-    joined = rows.join(drops, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left").select("row", "dropped")
+    joined = rows.join(drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left").select("row", "dropped")
     at, kinds = df.columns.index(text_column), df.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -201,10 +201,11 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
 def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of the smallest id of each component; all columns stay. Rows with NULL id stay only alone.
 
-    The rows that go are the fewer, so they are what the texts are joined with.
+    The rows that go are the fewer, so they are what the texts are joined with. Their number has no bound, so
+    they are never broadcast: the join is a sort-merge join at any size, which adaptive execution can split.
     """
     found = near_duplicates(df, id_column, text_column)
     gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(id_column, "text_hash").distinct()
     gone = checkpointed(gone.toDF("id", "text_hash"))
     same = df[id_column].eqNullSafe(gone["id"]) & (F.xxhash64(F.coalesce(df[text_column].cast("string"), F.lit(""))) == gone["text_hash"])
-    return df.join(gone, same, "left_anti")
+    return df.join(gone.hint("merge"), same, "left_anti")
