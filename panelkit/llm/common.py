@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space as the query contracts define it.
@@ -40,6 +40,24 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def sampled(rows: DataFrame, most: int, id_column: str, *groups: str) -> DataFrame:
+    """Ids (and groups) of at most ``most`` rows per group: those whose hashed ids are smallest.
+
+    Counts come first. They set how small a hash has to be for four times as many rows to be expected, so that
+    no task ever ranks many more, however large a group is. NULL ids are left out.
+    """
+    ids = rows.select(id_column, *groups).filter(F.col(id_column).isNotNull())
+    ids = ids.withColumn("_hash", F.pmod(F.xxhash64(id_column), F.lit(1 << 40)))
+    sizes = ids.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    if groups:
+        ids = ids.join(sizes, list(groups))
+    else:
+        ids = ids.withColumn("_n", F.lit(sizes.first()[0]))
+    few = ids.filter(F.col("_hash").cast("double") * F.col("_n") <= 4.0 * most * (1 << 40))
+    order = Window.partitionBy(*groups).orderBy("_hash", id_column)
+    return few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most).select(id_column, *groups)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with underscores in front as long as the frame has a column called so."""
     taken = {c.lower() for c in df.columns}

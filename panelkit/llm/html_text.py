@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import sampled
+
 #: Labelled pages that weights are learned from (those with the smallest hashed id), at most.
 SAMPLE_PAGES = 2_000
 #: Features that the model keeps, those seen in most pages first.
@@ -205,9 +207,9 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
     few counts of their own. Without labelled pages those decide.
     """
     source = F.col(html_column).cast("string")
-    labelled = pages.filter(F.lower(source).rlike(r"<(article|main)[\s>/]")).select(F.col(id_column).alias("id"), source.alias("html"))
-    chosen = labelled.select("id").filter("id IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(rows)
-    sample = labelled.join(F.broadcast(chosen.distinct()), "id", "left_semi")
+    labelled = pages.filter(source.rlike(r"(?i)<(article|main)[\s>/]")).select(F.col(id_column).alias("id"), source.alias("html"))
+    chosen = sampled(labelled, rows, "id").distinct()
+    sample = labelled.join(F.broadcast(chosen), "id", "left_semi")  # at most ``rows`` ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside, pages_with = Counter(), Counter(), Counter()

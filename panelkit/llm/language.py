@@ -14,9 +14,11 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import sampled
+
 #: Labelled rows per language that are learned from (those with the smallest hashed id), at most.
 SAMPLE_ROWS = 2_000
 #: Letter triples are hashed into so many cells; the model is a table of languages by cells.
@@ -124,9 +126,8 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """
     given = labelled.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(lang_column).cast("string").alias("lang"))
     given = given.dropna()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = given.select("id", "lang").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= rows)
-    sample = given.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"])
+    chosen = sampled(given, rows, "id", "lang").distinct()
+    sample = given.join(F.broadcast(chosen), ["id", "lang"])  # at most ``rows`` ids per language
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

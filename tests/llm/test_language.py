@@ -94,3 +94,13 @@ def test_held_out_accuracy(docs, sample):
 
 def test_model_is_a_plain_value():
     assert Model(("a",), np.zeros((1, 1)), np.ones((1, 1), bool)).languages == ("a",)
+
+
+def test_samples_are_bounded_and_alike_for_any_split(spark):
+    from panelkit.llm.common import sampled
+
+    df = spark.range(5000).selectExpr("id", "IF(id % 10 = 0, 'a', 'b') AS lang")
+    one, many = (sampled(df.repartition(n), 50, "id", "lang").groupBy("lang").agg({"id": "sum", "*": "count"}).collect() for n in (1, 40))
+    assert sorted(one) == sorted(many) and {r.lang: r["count(1)"] for r in one} == {"a": 50, "b": 50}
+    assert sampled(df, 10**6, "id", "lang").count() == 5000
+    assert sampled(df, 20, "id").count() == 20 and sampled(df.limit(0), 20, "id").count() == 0
