@@ -30,7 +30,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     reach_workers(spark)
     dropped = free_name(docs, "n_dropped")
     found = without_recurring_lines(docs, count=dropped)
-    size = F.when(F.col(dropped) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    size = F.when(
+        F.col(dropped) > 0, F.length("text")
+    ).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.withColumn("n_chars", size).select(docs.columns)
 
 

@@ -138,7 +138,9 @@ class Benchmark:
         starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
         runs = np.unique(np.searchsorted(starts, hits, "right") - 1)
         runs = runs[runs >= 0]
-        places = np.concatenate([np.arange(starts[r], ends[r] + 1) for r in runs.tolist()]) if len(runs) else np.zeros(0, np.int64)
+        places = np.concatenate(
+            [np.arange(starts[r], ends[r] + 1) for r in runs.tolist()]
+        ) if len(runs) else np.zeros(0, np.int64)
         near = np.append(values, np.uint64(0))[places].tolist()
         best: tuple[float, int | None] = (0.0, None)
         found = []
@@ -146,23 +148,35 @@ class Benchmark:
             item_id, item = self.items[number]
             own = tiles(item, near, self.least)
             share = sum(length for _, _, length in own) / len(item)
-            if share > best[0] or share == best[0] and own and (best[1] is None or item_id is not None and item_id < best[1]):
+            if share > best[0] or share == best[0] and own and (
+                best[1] is None or item_id is not None and item_id < best[1]
+            ):
                 best = (share, item_id)
             found += [(item_id, a, int(places[b]), length) for a, b, length in own]
         return best[1], best[0], found
 
 
-def blocks(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", least: int = LEAST_WORDS) -> list[Broadcast]:
+def blocks(
+    benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", least: int = LEAST_WORDS
+) -> list[Broadcast]:
     """The benchmark as broadcast blocks of about ``BLOCK_BYTES`` of text each."""
     spark = benchmark.sparkSession
-    rows = benchmark.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")).dropna(subset=["text"])
+    rows = benchmark.select(
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")
+    ).dropna(subset=["text"])
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     many = size // BLOCK_BYTES + 1
     block = F.pmod(F.xxhash64("id", "text"), F.lit(many))
-    return [spark.sparkContext.broadcast(Benchmark([tuple(r) for r in rows.filter(block == k).orderBy("id", "text").collect()], least)) for k in range(many)]
+    return [
+        spark.sparkContext.broadcast(
+            Benchmark([tuple(r) for r in rows.filter(block == k).orderBy("id", "text").collect()], least)
+        ) for k in range(many)
+    ]
 
 
-_TILE = pa.struct([("item_id", pa.int64()), ("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())])
+_TILE = pa.struct(
+    [("item_id", pa.int64()), ("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())]
+)
 _FOUND = "item_id long, coverage double, tiles array<struct<item_id: long, item_start: int, doc_start: int, length: int>>"
 
 
@@ -178,7 +192,15 @@ def contaminated(
     """
     id_type = df.schema[id_column].dataType.simpleString()
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    rows = rows.withColumns({"item_id": F.lit(None).cast("long"), "coverage": F.lit(0.0), "tiles": F.expr("CAST(array() AS array<struct<item_id: bigint, item_start: int, doc_start: int, length: int>>)")})
+    rows = rows.withColumns(
+        {
+            "item_id": F.lit(None).cast("long"),
+            "coverage": F.lit(0.0),
+            "tiles": F.expr(
+                "CAST(array() AS array<struct<item_id: bigint, item_start: int, doc_start: int, length: int>>)"
+            )
+        }
+    )
     for block in blocks(benchmark):
 
         def look(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
@@ -190,22 +212,38 @@ def contaminated(
                         item_ids[i], shares[i] = item_id, share
                     tiled[i] = tiled[i] + [dict(zip(("item_id", "item_start", "doc_start", "length"), t)) for t in own]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(item_ids, pa.int64()), pa.array(shares, pa.float64()), pa.array(tiled, pa.list_(_TILE))],
+                    [
+                        batch.column(0),
+                        batch.column(1),
+                        pa.array(item_ids, pa.int64()),
+                        pa.array(shares, pa.float64()),
+                        pa.array(tiled, pa.list_(_TILE))
+                    ],
                     names=["id", "text", "item_id", "coverage", "tiles"],
                 )
 
         rows = rows.mapInArrow(look, f"id {id_type}, text string, {_FOUND}")
-    return rows.select(F.col("id").alias(id_column), (F.col("coverage") >= coverage).alias("contaminated"), "item_id", "coverage", "tiles")
+    return rows.select(
+        F.col("id").alias(id_column),
+        (F.col("coverage") >= coverage).alias("contaminated"),
+        "item_id",
+        "coverage",
+        "tiles"
+    )
 
 
-def decontaminated(df: DataFrame, benchmark: DataFrame, text_column: str = "text", coverage: float = COVERAGE) -> DataFrame:
+def decontaminated(
+    df: DataFrame, benchmark: DataFrame, text_column: str = "text", coverage: float = COVERAGE
+) -> DataFrame:
     """The rows, with all their columns, that are not contaminated by any item."""
     at = df.columns.index(text_column)
     for block in blocks(benchmark):
 
         def keep(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([block.value.look(text.as_py())[1] < coverage for text in batch.column(at)], pa.bool_()))
+                yield batch.filter(
+                    pa.array([block.value.look(text.as_py())[1] < coverage for text in batch.column(at)], pa.bool_())
+                )
 
         df = df.mapInArrow(keep, df.schema)
     return df

@@ -79,7 +79,9 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
     other = names & (COMMENT_NAMES if tag == "article" else OTHER_NAMES) if tag not in ("html", "body", "main") else ()
     header = (tag == "header" or "header" in names) and not parent.labelled and tag not in ("html", "body", *LABELS)
     dropped = parent.dropped or tag in DROPPED or bool(other) or header
-    labelled = parent.labelled or (tag == label or label == "main" and bool(names & {"main", "articlebody"})) and not dropped
+    labelled = parent.labelled or (
+        tag == label or label == "main" and bool(names & {"main", "articlebody"})
+    ) and not dropped
     if tag == "a":  # links count wherever they are, as menus are full of them
         return Element(tag, parent.features | {tag}, labelled, dropped)
     if not dropped and (tag in BLOCKS or names):
@@ -90,7 +92,9 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
 
 def pieces_of(source: str) -> tuple[list[Piece], bool]:
     """The pieces of text of a page, and whether the page marks its article itself."""
-    lowered = source.lower() if source.isascii() else re.sub("[A-Z]+", lambda m: m[0].lower(), source)  # keeps all places
+    lowered = source.lower() if source.isascii() else re.sub(
+        "[A-Z]+", lambda m: m[0].lower(), source
+    )  # keeps all places
     label = next((x for x in LABELS if re.search(rf"<{x}[\s>/]", lowered)), None)
     if label is None and re.search(r"role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articlebody\b", lowered):
         label = "main"
@@ -207,7 +211,9 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
     few counts of their own. Without labelled pages those decide.
     """
     source = F.col(html_column).cast("string")
-    labelled = pages.filter(source.rlike(r"(?i)<(article|main)[\s>/]")).select(F.col(id_column).alias("id"), source.alias("html"))
+    labelled = pages.filter(source.rlike(r"(?i)<(article|main)[\s>/]")).select(
+        F.col(id_column).alias("id"), source.alias("html")
+    )
     chosen = sampled(labelled, rows, "id").distinct()
     sample = labelled.join(F.broadcast(chosen), "id", "left_semi")  # at most ``rows`` ids
 
@@ -229,11 +235,26 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
                         seen |= p.element.features
                 pages_with.update(seen)
         names = list({*inside, *outside})
-        yield pa.RecordBatch.from_pydict({"feature": names, "inside": [inside[n] for n in names], "outside": [outside[n] for n in names], "pages": [pages_with[n] for n in names]})
-
-    counts = sample.mapInArrow(count, "feature string, inside long, outside long, pages long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("inside", "outside", "pages")])
-    found = {r.feature: r for r in counts.orderBy(F.desc(F.when(F.col("feature").isin("*", "<>"), F.lit(2**62)).otherwise(F.col("pages"))), "feature").limit(FEATURES + 2).collect()}
-    prior = {f".{n}": (200, 20) for n in MAIN_NAMES} | {n: (400, 40) for n in ("p", "h1", "h2", "h3", "blockquote", "pre")} | {n: (40, 80) for n in ("li", "td", "ul", "table")}
+        yield pa.RecordBatch.from_pydict(
+            {
+                "feature": names,
+                "inside": [inside[n] for n in names],
+                "outside": [outside[n] for n in names],
+                "pages": [pages_with[n] for n in names]
+            }
+        )
+
+    counts = sample.mapInArrow(
+        count, "feature string, inside long, outside long, pages long"
+    ).groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("inside", "outside", "pages")])
+    found = {
+        r.feature: r for r in counts.orderBy(
+            F.desc(F.when(F.col("feature").isin("*", "<>"), F.lit(2**62)).otherwise(F.col("pages"))), "feature"
+        ).limit(FEATURES + 2).collect()
+    }
+    prior = {f".{n}": (200, 20) for n in MAIN_NAMES} | {
+        n: (400, 40) for n in ("p", "h1", "h2", "h3", "blockquote", "pre")
+    } | {n: (40, 80) for n in ("li", "td", "ul", "table")}
     total_in, total_out = (found["*"].inside, found["*"].outside) if "*" in found else (0, 0)
     balance = math.log((total_in + 1) / (total_out + 1)) if total_in and total_out else 0.0
     by_feature = {}
@@ -249,7 +270,9 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
     return Weights(tag=-max(0.2, min(2.0, density / 4)), by_feature=by_feature)
 
 
-def extract(pages: DataFrame, weights: Weights, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+def extract(
+    pages: DataFrame, weights: Weights, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
+) -> DataFrame:
     """Id, url, ``text`` and ``n_chars`` (its code points) of each page; rows stay one to one.
 
     NULL or empty html gives an empty text. Nothing is cut. Repeated rows are read each; other columns are
@@ -262,11 +285,20 @@ def extract(pages: DataFrame, weights: Weights, id_column: str = "page_id", url_
         for batch in batches:
             texts = [main_text(source.as_py(), shared.value) for source in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["id", "url", "text", "n_chars"]
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(texts, pa.string()),
+                    pa.array(map(len, texts), pa.int64())
+                ], names=["id", "url", "text", "n_chars"]
             )
 
     return (
-        pages.select(F.col(id_column).alias("id"), F.col(url_column).alias("url"), F.col(html_column).cast("string").alias("html"))
+        pages.select(
+            F.col(id_column).alias("id"),
+            F.col(url_column).alias("url"),
+            F.col(html_column).cast("string").alias("html")
+        )
         .mapInArrow(each, f"id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
         .withColumnsRenamed({"id": id_column, "url": url_column})
     )

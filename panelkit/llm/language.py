@@ -36,7 +36,15 @@ NONE = "und"
 
 #: First and last code points of scripts, from the Unicode blocks.
 SCRIPTS = {
-    "latin": [(0x41, 0x24F), (0x250, 0x2AF), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFB00, 0xFB06), (0xFF21, 0xFF5A)],
+    "latin": [
+        (0x41, 0x24F),
+        (0x250, 0x2AF),
+        (0x1E00, 0x1EFF),
+        (0x2C60, 0x2C7F),
+        (0xA720, 0xA7FF),
+        (0xFB00, 0xFB06),
+        (0xFF21, 0xFF5A)
+    ],
     "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)],
     "cyrillic": [(0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)],
     "armenian": [(0x530, 0x58F)],
@@ -108,7 +116,15 @@ def words_of(texts: list[str]) -> Words:
     start = places[first] - 1
     text = np.searchsorted(begins, start, "right") - 1
     letters = np.diff(np.append(first, len(places)))
-    return Words((mixed >> np.uint32(15)).astype(np.int64), first, letters, text, start - begins[text], start - begins[text] + letters, script[points[places[first]]])
+    return Words(
+        (mixed >> np.uint32(15)).astype(np.int64),
+        first,
+        letters,
+        text,
+        start - begins[text],
+        start - begins[text] + letters,
+        script[points[places[first]]]
+    )
 
 
 @dataclass(frozen=True)
@@ -118,13 +134,23 @@ class Model:
     scripts: np.ndarray  # scripts by languages: whether the language is written in it
 
 
-def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
+def fit(
+    labelled: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    rows: int = SAMPLE_ROWS
+) -> Model:
     """Learn from at most ``rows`` texts per language; rows with NULL id, text or language are left out.
 
     Triples are counted on Spark. The driver gets one count per language and cell that occurs and
     one per language and script, whatever the size of the input.
     """
-    given = labelled.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"), F.col(lang_column).cast("string").alias("lang"))
+    given = labelled.select(
+        F.col(id_column).alias("id"),
+        F.col(text_column).cast("string").alias("text"),
+        F.col(lang_column).cast("string").alias("lang")
+    )
     given = given.dropna()
     chosen = sampled(given, rows, "id", "lang").distinct()
     sample = given.join(F.broadcast(chosen), ["id", "lang"])  # at most ``rows`` ids per language
@@ -141,9 +167,14 @@ def fit(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 seen = np.flatnonzero(cells)
                 what = np.concatenate([seen, -1 - np.arange(len(scripts))])
                 many = np.concatenate([cells[seen], scripts])
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(what), pa.string()), pa.array(what), pa.array(many)], names=["lang", "cell", "n"])
-
-    counts = sample.mapInArrow(count, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(what), pa.string()), pa.array(what), pa.array(many)],
+                    names=["lang", "cell", "n"]
+                )
+
+    counts = sample.mapInArrow(
+        count, "lang string, cell long, n long"
+    ).groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(counts["lang"].unique()))
     triples, scripts = np.zeros((CELLS, len(languages))), np.zeros((len(SCRIPTS) + 1, len(languages)))
     for k, lang in enumerate(languages):
@@ -214,7 +245,9 @@ def _label_some(texts: list[str], model: Model, switch: float) -> tuple[np.ndarr
     length = np.bincount(words.text, minlength=len(texts))
     has = np.flatnonzero(length)
     path = best_path(scores, (np.cumsum(length) - length)[has], length[has], switch)
-    letters = np.bincount(words.text * kinds + path, weights=words.letters, minlength=len(texts) * kinds).reshape(-1, kinds)
+    letters = np.bincount(
+        words.text * kinds + path, weights=words.letters, minlength=len(texts) * kinds
+    ).reshape(-1, kinds)
     total = letters.sum(axis=1)
     score = np.where(total > 0, letters.max(axis=1) / np.maximum(1, total), 0.0)
     return np.where(total > 0, letters.argmax(axis=1), -1), score, words, path
@@ -258,7 +291,9 @@ def label(texts: pa.Array, model: Model, switch: float = SWITCH, spans: bool = T
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
 
 
-def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", switch: float = SWITCH) -> DataFrame:
+def identify(
+    df: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text", switch: float = SWITCH
+) -> DataFrame:
     """One row per input row: id, ``lang_pred``, ``score``, ``spans``.
 
     ``lang_pred`` is ``und`` and the score 0 for NULL text and text without a letter; else the score is the
@@ -273,22 +308,41 @@ def identify(df: DataFrame, model: Model, id_column: str = "doc_id", text_column
         names = np.array([*shared.value.languages, NONE], object)
         for batch in batches:
             found = label(batch.column(1), shared.value, switch)
-            start, end, path = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*found.spans)) or [()] * 3))
-            spans = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(names[path.astype(np.int64)], pa.string())], fields=list(_SPAN))
+            start, end, path = (
+                np.concatenate(x) if x else np.zeros(0, np.int64) for x in (list(zip(*found.spans)) or [()] * 3)
+            )
+            spans = pa.StructArray.from_arrays(
+                [
+                    pa.array(start, pa.int32()),
+                    pa.array(end, pa.int32()),
+                    pa.array(names[path.astype(np.int64)], pa.string())
+                ],
+                fields=list(_SPAN)
+            )
             offsets = np.cumsum([0, *(len(x[0]) for x in found.spans)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names[found.language], pa.string()), pa.array(found.score), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
+                [
+                    batch.column(0),
+                    pa.array(names[found.language], pa.string()),
+                    pa.array(found.score),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)
+                ],
                 names=["id", "lang_pred", "score", "spans"],
             )
 
     return (
         df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-        .mapInArrow(each, f"id {id_type}, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>")
+        .mapInArrow(
+            each,
+            f"id {id_type}, lang_pred string, score double, spans array<struct<start: int, end: int, lang: string>>"
+        )
         .withColumnRenamed("id", id_column)
     )
 
 
-def recognised(df: DataFrame, model: Model, text_column: str = "text", least: float = LEAST_SHARE, switch: float = SWITCH) -> DataFrame:
+def recognised(
+    df: DataFrame, model: Model, text_column: str = "text", least: float = LEAST_SHARE, switch: float = SWITCH
+) -> DataFrame:
     """The rows, with all their columns, whose text has a language that holds at least ``least`` of its letters."""
     shared, at = df.sparkSession.sparkContext.broadcast(model), df.columns.index(text_column)
 
@@ -305,7 +359,9 @@ def held_out(id_column: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 5 == 0, F.lit(False))
 
 
-def predicted_languages(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> DataFrame:
+def predicted_languages(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang"
+) -> DataFrame:
     """Learn from the rows that are not held out and predict all: id, ``held_out`` and what ``identify`` gives."""
     model = fit(df.filter(~held_out(id_column)), id_column, text_column, lang_column)
     return identify(df, model, id_column, text_column).withColumn("held_out", held_out(id_column))

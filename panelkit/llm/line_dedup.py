@@ -102,10 +102,18 @@ def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
                 names=["id", "text_hash", "leaf", "templates", "fresh", "line", "tokens", "all_tokens"],
             )
 
-    return df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(split, f"id {id_type}, {_LINE}")
-
-
-def recurring_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", documents: int = DOCUMENTS, copy_share: float = COPY_SHARE) -> DataFrame:
+    return df.select(
+        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
+    ).mapInArrow(split, f"id {id_type}, {_LINE}")
+
+
+def recurring_lines(
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    documents: int = DOCUMENTS,
+    copy_share: float = COPY_SHARE
+) -> DataFrame:
     """Lines to drop: ``id``, ``text_hash`` and ``dropped``, their places from 0, for documents that have any.
 
     Level by level: leaves with too few lines cannot hold a template of enough documents, so only the lines of
@@ -113,18 +121,36 @@ def recurring_lines(df: DataFrame, id_column: str = "doc_id", text_column: str =
     templates in joins that adaptive execution splits, so one line in a third of all documents is no harm.
     """
     lines = checkpointed(_lines(df, id_column, text_column))
-    leaves = checkpointed(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents).select("leaf"))
+    leaves = checkpointed(
+        lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents).select("leaf")
+    )
     lines = lines.join(leaves, "leaf", "left_semi")
-    each = lines.select("id", "text_hash", "line", "tokens", "all_tokens", F.explode(F.arrays_zip("templates", "fresh")).alias("t"))
-    each = checkpointed(each.select("id", "text_hash", "line", "tokens", "all_tokens", F.col("t.templates").alias("template"), "t.fresh"))
+    each = lines.select(
+        "id", "text_hash", "line", "tokens", "all_tokens", F.explode(F.arrays_zip("templates", "fresh")).alias("t")
+    )
+    each = checkpointed(
+        each.select(
+            "id", "text_hash", "line", "tokens", "all_tokens", F.col("t.templates").alias("template"), "t.fresh"
+        )
+    )
     recurring = each.filter("fresh").groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
     found = each.join(checkpointed(recurring.select("template")), "template", "left_semi")
-    found = found.groupBy("id", "text_hash", "line").agg(F.first("tokens").alias("tokens"), F.first("all_tokens").alias("all_tokens"))
-    found = found.groupBy("id", "text_hash").agg(F.collect_list("line").alias("dropped"), F.sum("tokens").alias("n"), F.first("all_tokens").alias("of"))
-    return checkpointed(found.filter(F.col("n") <= copy_share * F.col("of")).select("id", "text_hash", F.sort_array("dropped").alias("dropped")))
-
-
-def without_recurring_lines(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", count: str | None = None) -> DataFrame:
+    found = found.groupBy("id", "text_hash", "line").agg(
+        F.first("tokens").alias("tokens"), F.first("all_tokens").alias("all_tokens")
+    )
+    found = found.groupBy("id", "text_hash").agg(
+        F.collect_list("line").alias("dropped"), F.sum("tokens").alias("n"), F.first("all_tokens").alias("of")
+    )
+    return checkpointed(
+        found.filter(F.col("n") <= copy_share * F.col("of")).select(
+            "id", "text_hash", F.sort_array("dropped").alias("dropped")
+        )
+    )
+
+
+def without_recurring_lines(
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", count: str | None = None
+) -> DataFrame:
     """The rows with all their columns and, in ``text_column``, the lines that do not recur.
 
     A line recurs if at least ``DOCUMENTS`` documents have lines of one of its templates. All of its occurrences
@@ -135,8 +161,14 @@ def without_recurring_lines(df: DataFrame, id_column: str = "doc_id", text_colum
     """
     drops = recurring_lines(df, id_column, text_column)
     # The row travels as one struct, so that its columns may have any names.
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_column).alias("own_id"), F.xxhash64(text_or_empty(text_column)).alias("own_hash"))
-    joined = rows.join(drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left").select("row", "dropped")
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(id_column).alias("own_id"),
+        F.xxhash64(text_or_empty(text_column)).alias("own_hash")
+    )
+    joined = rows.join(
+        drops.hint("merge"), F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("text_hash")), "left"
+    ).select("row", "dropped")
     at, kinds = df.columns.index(text_column), df.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,9 @@ from panelkit.sources.tables import checkpointed
 RANKED_TOGETHER = 250_000
 
 
-def token_pieces(df: DataFrame, tokenizer: str, capacity: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def token_pieces(
+    df: DataFrame, tokenizer: str, capacity: int, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
     A document is the ids of its text and the end id; only one longer than ``capacity`` is cut,
@@ -207,7 +209,9 @@ def pack(pieces: DataFrame, capacity: int, *order: str) -> DataFrame:
     return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-def packed_documents(df: DataFrame, tokenizer: str, capacity: int = 4096, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def packed_documents(
+    df: DataFrame, tokenizer: str, capacity: int = 4096, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """Documents cut into pieces and packed into as few sequences as this method finds.
 
     Rows repeated with the same id are packed once each. An empty table gives no rows; NULL ids

@@ -51,7 +51,10 @@ def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.as_py()) for text in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.array(found, np.uint64).view(np.int64))], names=["id", "text_hash", "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(np.array(found, np.uint64).view(np.int64))],
+                names=["id", "text_hash", "fingerprint"]
+            )
 
     return (
         df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
@@ -127,10 +130,19 @@ def near_links(values: DataFrame, column: str = "fingerprint", radius: int = RAD
     """
     edge = [64 * i // blocks for i in range(blocks + 1)]
     masks = [
-        sum(((1 << edge[i + 1]) - (1 << edge[i])) for i in chosen) for chosen in combinations(range(blocks), blocks - radius)
+        sum(
+            ((1 << edge[i + 1]) - (1 << edge[i])) for i in chosen
+        ) for chosen in combinations(range(blocks), blocks - radius)
     ]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col(column).bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed)]))
+    keys = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(i).alias("mask"), F.col(column).bitwiseAND(F.lit(m)).alias("key")) for i,
+                m in enumerate(signed)
+            ]
+        )
+    )
     rows = values.select(F.col(column).alias("value"), keys.alias("_k")).select("value", "_k.mask", "_k.key")
     sizes = rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     sizes = checkpointed(sizes.select("mask", "key", F.ceil(F.col("n") / TREE).cast("int").alias("shards")))
@@ -195,7 +207,9 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     named = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
     named = checkpointed(rooted.join(named, "root").select("fingerprint", "component_id"))
     joined = rows.join(named, "fingerprint")
-    return joined.select(id_column, "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    return joined.select(
+        id_column, "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
+    )
 
 
 def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -207,5 +221,7 @@ def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_colum
     found = near_duplicates(df, id_column, text_column)
     gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(id_column, "text_hash").distinct()
     gone = checkpointed(gone.toDF("id", "text_hash"))
-    same = df[id_column].eqNullSafe(gone["id"]) & (F.xxhash64(F.coalesce(df[text_column].cast("string"), F.lit(""))) == gone["text_hash"])
+    same = df[id_column].eqNullSafe(gone["id"]) & (
+        F.xxhash64(F.coalesce(df[text_column].cast("string"), F.lit(""))) == gone["text_hash"]
+    )
     return df.join(gone.hint("merge"), same, "left_anti")

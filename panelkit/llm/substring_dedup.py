@@ -203,7 +203,9 @@ def repeated_windows(contexts: list[bytes], seed_at: np.ndarray, group: np.ndarr
 def _covered(starts: np.ndarray) -> list[int]:
     """Begin, end, begin, end... of the bytes that windows with sorted starts cover."""
     cut = np.flatnonzero(np.diff(starts) > WINDOW)
-    return np.stack([starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)] + WINDOW], axis=1).ravel().tolist()
+    return np.stack(
+        [starts[np.append(0, cut + 1)], starts[np.append(cut, len(starts) - 1)] + WINDOW], axis=1
+    ).ravel().tolist()
 
 
 def _digest(data: bytes) -> bytes:
@@ -225,7 +227,9 @@ def _compressed(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = text_or_empty(text_column)
-    return df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    return df.select(
+        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text")
+    )
 
 
 def _same_row(left: DataFrame, right: DataFrame):
@@ -253,16 +257,34 @@ def _contexts(df: DataFrame, id_type: str, seeds_only: bool) -> DataFrame:
             where = pa.array(np.concatenate(row))
             columns = [pa.array(np.concatenate(x)) for x in zip(*parts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(where), batch.column("text_hash").take(where), columns[0], pa.array(digests, pa.binary()), columns[1], columns[2].cast(pa.int32()), columns[3].cast(pa.int32())],
+                [
+                    batch.column("id").take(where),
+                    batch.column("text_hash").take(where),
+                    columns[0],
+                    pa.array(digests, pa.binary()),
+                    columns[1],
+                    columns[2].cast(pa.int32()),
+                    columns[3].cast(pa.int32())
+                ],
                 names=["id", "text_hash", "seed", "digest", "first", "size", "seed_at"],
             )
 
     if seeds_only:
         return df.mapInArrow(seeds, "seed long, n long")
-    return df.mapInArrow(contexts, f"id {id_type}, text_hash long, seed long, digest binary, first long, size int, seed_at int")
-
-
-_FETCHED = pa.schema([("seed", pa.int64()), ("digest", pa.binary()), ("contexts", pa.int64()), ("seed_at", pa.int32()), ("context", pa.binary())])
+    return df.mapInArrow(
+        contexts, f"id {id_type}, text_hash long, seed long, digest binary, first long, size int, seed_at int"
+    )
+
+
+_FETCHED = pa.schema(
+    [
+        ("seed", pa.int64()),
+        ("digest", pa.binary()),
+        ("contexts", pa.int64()),
+        ("seed_at", pa.int32()),
+        ("context", pa.binary())
+    ]
+)
 _COVERED = "seed long, digest binary, covered array<int>"
 
 
@@ -274,10 +296,18 @@ def _sorted_groups(contexts: DataFrame) -> DataFrame:
 
         def done(rows: list[tuple]) -> pa.RecordBatch:
             seeds = np.array([r[0] for r in rows], np.int64)
-            windows = repeated_windows([r[3] for r in rows], np.array([r[2] for r in rows], np.int64), np.cumsum(np.append(0, np.diff(seeds) != 0)))
+            windows = repeated_windows(
+                [r[3] for r in rows],
+                np.array([r[2] for r in rows], np.int64),
+                np.cumsum(np.append(0, np.diff(seeds) != 0))
+            )
             hit = [i for i, w in enumerate(windows) if len(w)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(seeds[hit]), pa.array([rows[i][1] for i in hit], pa.binary()), pa.array([_covered(windows[i]) for i in hit], pa.list_(pa.int32()))], names=["seed", "digest", "covered"]
+                [
+                    pa.array(seeds[hit]),
+                    pa.array([rows[i][1] for i in hit], pa.binary()),
+                    pa.array([_covered(windows[i]) for i in hit], pa.list_(pa.int32()))
+                ], names=["seed", "digest", "covered"]
             )
 
         for batch in batches:
@@ -304,16 +334,31 @@ def _digested_groups(contexts: DataFrame) -> DataFrame:
                     start.append(at)
                     digests.append(_digest(data[at : at + WINDOW]))
             where = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("seed").take(where), batch.column("digest").take(where), pa.array(start, pa.int32()), pa.array(digests, pa.binary())], names=["seed", "digest", "start", "window"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("seed").take(where),
+                    batch.column("digest").take(where),
+                    pa.array(start, pa.int32()),
+                    pa.array(digests, pa.binary())
+                ],
+                names=["seed", "digest", "start", "window"]
+            )
 
-    rows = contexts.select("seed", "digest", "context").mapInArrow(windows, "seed long, digest binary, start int, window binary")
+    rows = contexts.select("seed", "digest", "context").mapInArrow(
+        windows, "seed long, digest binary, start int, window binary"
+    )
     shared = checkpointed(rows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window"))
-    starts = rows.join(shared, "window", "left_semi").groupBy("seed", "digest").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    starts = rows.join(shared, "window", "left_semi").groupBy("seed", "digest").agg(
+        F.sort_array(F.collect_list("start")).alias("starts")
+    )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             covered = [_covered(np.array(s, np.int64)) for s in batch.column("starts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("seed"), batch.column("digest"), pa.array(covered, pa.list_(pa.int32()))], names=["seed", "digest", "covered"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("seed"), batch.column("digest"), pa.array(covered, pa.list_(pa.int32()))],
+                names=["seed", "digest", "covered"]
+            )
 
     return starts.mapInArrow(merge, _COVERED)
 
@@ -330,28 +375,43 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text_column: str =
     seeds = _contexts(texts, id_type, True).groupBy("seed").agg(F.sum("n").alias("n")).filter("n > 1").select("seed")
     found = checkpointed(_contexts(texts, id_type, False).join(checkpointed(seeds), "seed", "left_semi"))
     copy = F.struct("id", "text_hash", "first", "size", "seed_at")
-    distinct = checkpointed(found.groupBy("seed", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(copy).alias("copy")))
+    distinct = checkpointed(
+        found.groupBy("seed", "digest").agg(F.count(F.lit(1)).alias("n"), F.min(copy).alias("copy"))
+    )
     sizes = checkpointed(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("contexts")).filter("contexts > 1"))
     fetch = distinct.join(sizes, "seed").select("seed", "digest", "contexts", "copy.*")
-    fetch = fetch.groupBy("id", "text_hash").agg(F.collect_list(F.struct("seed", "digest", "contexts", "first", "size", "seed_at")).alias("wanted"))
+    fetch = fetch.groupBy("id", "text_hash").agg(
+        F.collect_list(F.struct("seed", "digest", "contexts", "first", "size", "seed_at")).alias("wanted")
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             for data, wanted in zip(batch.column("data"), batch.column("wanted").to_pylist()):
                 text = unpacker.decompress(data.as_py())
-                yield pa.RecordBatch.from_pylist([{k: w[k] for k in ("seed", "digest", "contexts", "seed_at")} | {"context": text[w["first"] : w["first"] + w["size"]]} for w in wanted], _FETCHED)
+                yield pa.RecordBatch.from_pylist(
+                    [{k: w[k] for k in ("seed", "digest", "contexts", "seed_at")} | {"context": text[w["first"] : w["first"] + w["size"]]} for w in wanted],
+                    _FETCHED
+                )
 
     packed = _compressed(df, id_column, text_column)
     fetched = packed.join(fetch, _same_row(packed, fetch)).select("data", "wanted")
     # Rows that repeat in id and text would fetch the same bytes again.
-    contexts = fetched.mapInArrow(cut, "seed long, digest binary, contexts long, seed_at int, context binary").dropDuplicates(["seed", "digest"])
+    contexts = fetched.mapInArrow(
+        cut, "seed long, digest binary, contexts long, seed_at int, context binary"
+    ).dropDuplicates(["seed", "digest"])
     contexts = checkpointed(contexts)
     some = _sorted_groups(contexts.filter(F.col("contexts") <= SORTED_TOGETHER))
     many = _digested_groups(contexts.filter(F.col("contexts") > SORTED_TOGETHER))
     whole = distinct.filter("n > 1").select("seed", "digest", F.array(F.lit(0), F.col("copy.size")).alias("covered"))
-    covered = checkpointed(whole.unionByName(some.join(whole.select("seed", "digest"), ["seed", "digest"], "left_anti")).unionByName(many.join(whole.select("seed", "digest"), ["seed", "digest"], "left_anti")))
-    placed = found.join(covered, ["seed", "digest"]).select("id", "text_hash", F.transform("covered", lambda x: x + F.col("first")).alias("spans"))
+    covered = checkpointed(
+        whole.unionByName(
+            some.join(whole.select("seed", "digest"), ["seed", "digest"], "left_anti")
+        ).unionByName(many.join(whole.select("seed", "digest"), ["seed", "digest"], "left_anti"))
+    )
+    placed = found.join(covered, ["seed", "digest"]).select(
+        "id", "text_hash", F.transform("covered", lambda x: x + F.col("first")).alias("spans")
+    )
     return placed.groupBy("id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
@@ -387,6 +447,15 @@ def without_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str =
                 sizes.append(len(text))
                 removed.append(len(text) - len(kept[-1]))
                 counts.append(len(gone))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts)), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("id"),
+                    *(pa.array(x, pa.int64()) for x in (sizes, removed, counts)),
+                    pa.array(kept, pa.binary())
+                ],
+                names=["id", "n_bytes", "n_removed", "n_spans", "kept"]
+            )
 
-    return joined.mapInArrow(remove, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("id", id_column)
+    return joined.mapInArrow(
+        remove, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept binary"
+    ).withColumnRenamed("id", id_column)

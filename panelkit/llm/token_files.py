@@ -65,10 +65,32 @@ class TokenFileWriter:
         entries["fingerprint"][at] = _fingerprints(distinct.view(np.uint64))
         entries["first"][at] = first + self._nulls
         entries["count"][at] = count
-        footer = json.dumps({"width": self._kind.itemsize, "documents": len(keys), "nulls": self._nulls, "levels": [len(x) for x in levels], "entries": len(entries)}).encode()
-        for part in (keys.tobytes(), np.array(self._bounds, "<i8").tobytes(), *(x.tobytes() for x in levels), entries.tobytes(), footer, len(footer).to_bytes(8, "little"), MAGIC):
+        footer = json.dumps(
+            {
+                "width": self._kind.itemsize,
+                "documents": len(keys),
+                "nulls": self._nulls,
+                "levels": [len(x) for x in levels],
+                "entries": len(entries)
+            }
+        ).encode()
+        for part in (
+            keys.tobytes(),
+            np.array(self._bounds, "<i8").tobytes(),
+            *(x.tobytes() for x in levels),
+            entries.tobytes(),
+            footer,
+            len(footer).to_bytes(8, "little"),
+            MAGIC
+        ):
             self._sink.write(part)
-        return {"n_docs": len(keys), "n_ids": self._bounds[-1], "nulls": self._nulls, "first_key": int(given[0]) if len(given) else None, "last_key": int(given[-1]) if len(given) else None}
+        return {
+            "n_docs": len(keys),
+            "n_ids": self._bounds[-1],
+            "nulls": self._nulls,
+            "first_key": int(given[0]) if len(given) else None,
+            "last_key": int(given[-1]) if len(given) else None
+        }
 
 
 class TokenFile:
@@ -125,7 +147,9 @@ class TokenFile:
 _FILES = "address string, n_docs long, n_ids long, nulls long, first_key long, last_key long"
 
 
-def write_token_files(df: DataFrame, tokenizer: str, folder: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def write_token_files(
+    df: DataFrame, tokenizer: str, folder: str | None = None, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
     """Write the documents' ids; returns a row per file with ``base``, the ids in all files before it.
 
     Texts move once, into ranges of ids that are sorted and encoded where they arrive. The list of
@@ -148,15 +172,21 @@ def write_token_files(df: DataFrame, tokenizer: str, folder: str | None = None,
         if writer is not None:
             done = {"address": address} | writer.close()
             sink.close()
-            yield pa.RecordBatch.from_pylist([done], pa.schema([("address", pa.string()), *((k, pa.int64()) for k in list(done)[1:])]))
+            yield pa.RecordBatch.from_pylist(
+                [done], pa.schema([("address", pa.string()), *((k, pa.int64()) for k in list(done)[1:])])
+            )
 
-    written = rows.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first()).mapInArrow(write, _FILES)
+    written = rows.repartitionByRange(
+        files, F.col("id").asc_nulls_first()
+    ).sortWithinPartitions(F.col("id").asc_nulls_first()).mapInArrow(write, _FILES)
     found = sorted(written.collect(), key=lambda r: (r.first_key is not None and not r.nulls, r.first_key or 0))
     base, listed = 0, []
     for row in found:
         listed.append((*row, base))
         base += row.n_ids
-    return spark.createDataFrame(listed, StructType([*written.schema, StructField("base", LongType())])).repartition(max(1, len(listed)))
+    return spark.createDataFrame(
+        listed, StructType([*written.schema, StructField("base", LongType())])
+    ).repartition(max(1, len(listed)))
 
 
 def read_documents(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -180,12 +210,19 @@ def read_documents(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
                     bounds = source.bounds[first : last + 1]
                     crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1] - bounds[0], bounds[1:] - bounds[0])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64(), mask=~given), pa.array(row["base"] + bounds[:-1]), pa.array(np.diff(bounds)), pa.array(crc, pa.int64())],
+                        [
+                            pa.array(keys, pa.int64(), mask=~given),
+                            pa.array(row["base"] + bounds[:-1]),
+                            pa.array(np.diff(bounds)),
+                            pa.array(crc, pa.int64())
+                        ],
                         names=["id", "start", "n_tokens", "ids_crc32"],
                     )
                 source.close()
 
-    return files.mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_column)
+    return files.mapInArrow(
+        read, "id long, start long, n_tokens long, ids_crc32 long"
+    ).withColumnRenamed("id", id_column)
 
 
 def look_up(files: DataFrame, keys: DataFrame, id_column: str = "doc_id") -> DataFrame:
@@ -194,7 +231,9 @@ def look_up(files: DataFrame, keys: DataFrame, id_column: str = "doc_id") -> Dat
     Keys find their file by its first and last key, then their documents in constant time each.
     """
     near = keys.select(F.col(id_column).cast("long").alias("id")).join(
-        F.broadcast(files.select("address", "first_key", "last_key")), F.col("id").between(F.col("first_key"), F.col("last_key"))
+        F.broadcast(
+            files.select("address", "first_key", "last_key")
+        ), F.col("id").between(F.col("first_key"), F.col("last_key"))
     )
 
     def read(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -207,7 +246,9 @@ def look_up(files: DataFrame, keys: DataFrame, id_column: str = "doc_id") -> Dat
         source.close()
         return pa.table({"id": pa.array(found, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64()))})
 
-    return near.select("address", "id").groupBy("address").applyInArrow(read, "id long, ids array<long>").withColumnRenamed("id", id_column)
+    return near.select("address", "id").groupBy("address").applyInArrow(
+        read, "id long, ids array<long>"
+    ).withColumnRenamed("id", id_column)
 
 
 def encoded_documents(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

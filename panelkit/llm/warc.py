@@ -31,7 +31,9 @@ TASK_BYTES, READ_BYTES = 64 << 20, 8 << 20
 _DATE = "2000-01-01T00:00:00Z"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: int | None) -> bytes:
+def record(
+    page_id: int | None, url: str | None, payload: bytes | None, digest: str, size: int, refers_to: int | None
+) -> bytes:
     """A WARC record; a revisit (``refers_to`` given) has the response's header only."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     revisit = refers_to is not None
@@ -176,7 +178,13 @@ def _write_archive(address_of, batches: Iterator[pa.RecordBatch]) -> dict | None
     return {"address": address, "records": len(index), "bytes": at}
 
 
-def write_archives(pages: DataFrame, folder: str | None = None, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+def write_archives(
+    pages: DataFrame,
+    folder: str | None = None,
+    id_column: str = "page_id",
+    url_column: str = "url",
+    html_column: str = "html"
+) -> DataFrame:
     """Write a record per page and return a row per archive: ``address``, ``records``, ``bytes``.
 
     Payloads are compared by SHA-256. Of those with the same digest and at least ``LEAST_REVISIT`` bytes the
@@ -186,14 +194,22 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_column: str =
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "archives")
     payload = text_or_empty(html_column).cast("binary")
-    rows = pages.select(F.col(id_column).cast("long").alias("page_id"), F.col(url_column).cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(
+        F.col(id_column).cast("long").alias("page_id"),
+        F.col(url_column).cast("string").alias("url"),
+        payload.alias("payload")
+    )
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
-    responses = rows.filter(F.col("size") >= LEAST_REVISIT).groupBy("digest").agg(F.min("page_id").alias("response"), F.count(F.lit(1)).alias("n"))
+    responses = rows.filter(F.col("size") >= LEAST_REVISIT).groupBy("digest").agg(
+        F.min("page_id").alias("response"), F.count(F.lit(1)).alias("n")
+    )
     responses = checkpointed(responses.filter("n > 1").drop("n"))
     linked = rows.join(responses, "digest", "left")
     refers_to = F.when(~F.col("response").eqNullSafe(F.col("page_id")), F.col("response"))
     linked = linked.select(
-        "page_id", "url", F.when(refers_to.isNull(), F.col("payload")).alias("payload"), "digest", "size", refers_to.alias("refers_to")
+        "page_id", "url", F.when(
+            refers_to.isNull(), F.col("payload")
+        ).alias("payload"), "digest", "size", refers_to.alias("refers_to")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +272,17 @@ def _read_range(file, offset: int, lengths: list[int]) -> Iterator[pa.RecordBatc
             kind = found.headers["WARC-Type"]
             if kind == "response" and hashlib.sha256(found.payload).hexdigest() != digest:
                 raise ValueError(f"payload of page {found.page_id} does not have its digest")
-            rows.append((found.page_id, found.headers.get("WARC-Target-URI"), int(found.http["Content-Length"]), digest, kind, found.refers_to, found.payload if kind == "response" else None))
+            rows.append(
+                (
+                    found.page_id,
+                    found.headers.get("WARC-Target-URI"),
+                    int(found.http["Content-Length"]),
+                    digest,
+                    kind,
+                    found.refers_to,
+                    found.payload if kind == "response" else None
+                )
+            )
             at += length
         columns = zip(*rows)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)

@@ -21,7 +21,9 @@ _ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 #: white space, and each character is its own normal form.
 _PLAIN = re.compile(r"[!-&(-;=-~\xa1-\u017f]+")
 #: Runs that the tokenizer separates, in lower case: letters, single digits, anything else.
-_RUNS = re.compile(r"[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z0-9\xaa\xb5\xba\xb2\xb3\xb9\xbc-\xbe\xc0-\xd6\xd8-\xf6\xf8-\u017f]+")
+_RUNS = re.compile(
+    r"[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^a-z0-9\xaa\xb5\xba\xb2\xb3\xb9\xbc-\xbe\xc0-\xd6\xd8-\xf6\xf8-\u017f]+"
+)
 
 
 class WordIds(dict):

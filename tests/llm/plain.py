@@ -46,7 +46,11 @@ def decontamination(rows, benchmark):
             numbers = {w: k + 1 for k, w in enumerate(dict.fromkeys(item))}
             text = [numbers.get(w, 0) for w in own]
             if len(set(text)) > 5 and sum(map(bool, text)) >= 0.8 * len(item):
-                bad |= sum(n for _, _, n in plain_tiles([numbers[w] for w in item], [t for k, t in enumerate(text) if t or text[k - 1]], 5)) >= 0.8 * len(item)
+                bad |= sum(
+                    n for _,
+                    _,
+                    n in plain_tiles([numbers[w] for w in item], [t for k, t in enumerate(text) if t or text[k - 1]], 5)
+                ) >= 0.8 * len(item)
         if not bad:
             found.append(r)
     return found

@@ -41,11 +41,22 @@ def test_tiles_as_brute_force():
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
 PARTS = ITEM.split()
 ROWS = [
-    (1, f"before {ITEM} after"), (2, "before " + " ".join(PARTS[8:]) + " between " + " ".join(PARTS[:8]) + " after"), (3, " ".join(PARTS[:7])),
-    (4, None), (5, ""), (6, ITEM.upper().replace(" ", ", ")), (7, "nothing of it " * 5000 + ITEM), (8, " x ".join(PARTS)), (None, ITEM), (1, f"before {ITEM} after"),
+    (1, f"before {ITEM} after"), (
+        2, "before " + " ".join(PARTS[8:]) + " between " + " ".join(PARTS[:8]) + " after"
+    ), (3, " ".join(PARTS[:7])),
+    (4, None), (5, ""), (
+        6, ITEM.upper().replace(" ", ", ")
+    ), (7, "nothing of it " * 5000 + ITEM), (8, " x ".join(PARTS)), (None, ITEM), (1, f"before {ITEM} after"),
     (9, "one two three four five six"), (10, " ".join(PARTS[:6]) + " edit " + " ".join(PARTS[7:])),
 ]
-BENCH = [(7, ITEM), (3, "one two three four five six"), (5, "too few words"), (6, None), (8, ITEM), (None, "some other item of words here")]
+BENCH = [
+    (7, ITEM),
+    (3, "one two three four five six"),
+    (5, "too few words"),
+    (6, None),
+    (8, ITEM),
+    (None, "some other item of words here")
+]
 
 
 def bench(spark, rows=BENCH):
@@ -73,7 +84,10 @@ def brute(rows, items):
 @pytest.mark.parametrize("size", [16 << 20, 60])
 def test_as_brute_force_in_one_block_and_in_many(spark, docs, monkeypatch, size):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
-    got = sorted(((r.doc_id, r.contaminated, r.item_id, round(r.coverage, 9)) for r in contaminated(docs(ROWS), bench(spark)).collect()), key=str)
+    got = sorted(
+        ((r.doc_id, r.contaminated, r.item_id, round(r.coverage, 9)) for r in contaminated(docs(ROWS), bench(spark)).collect()),
+        key=str
+    )
     assert got == brute(ROWS, [b for b in BENCH if b[0] is not None])
     kept = decontaminated(docs(ROWS), bench(spark))
     assert kept.columns == docs(ROWS).columns

@@ -40,7 +40,13 @@ def test_colliding_hashes_are_told_apart_by_bytes(docs):
 def test_empty_table_and_schema(docs):
     found = exact_duplicates(docs([]))
     assert found.count() == 0
-    assert found.dtypes == [("doc_id", "bigint"), ("keep_id", "bigint"), ("group_size", "bigint"), ("kept", "boolean"), ("text_sha256", "string")]
+    assert found.dtypes == [
+        ("doc_id", "bigint"),
+        ("keep_id", "bigint"),
+        ("group_size", "bigint"),
+        ("kept", "boolean"),
+        ("text_sha256", "string")
+    ]
 
 
 def test_no_python_in_the_plan(docs):

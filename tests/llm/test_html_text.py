@@ -31,10 +31,20 @@ def test_driver_pages(spark, sample):
 OTHER = [
     ("<body><header><h1>Site</h1><nav><a>x</a></nav></header><div class='content'><h2>Hi &amp; you</h2><p>This is the  first para&nbsp;graph with many words.<p>A <a>link</a> here and quite a few words.<div class=ad-box>Buy now</div><p>third one of the text</p><form><input><p>Name</form></div><div id=comments><p>nice post really good stuff</div><footer>&copy; x</footer>",
      "Hi & you\nThis is the first para graph with many words.\nA link here and quite a few words.\nthird one of the text"),
-    ("<article><h1>T</h1>one<br>two<aside>no</aside><section class='reader-comments'><article class=comment>bad</article></section> three</article><div class='cookie-notice'><p>we use cookies</p></div>", "T\none\ntwo\nthree"),
-    ("<main><div class=sidebar>links</div><p>yes <script>var t='</p>'</script>it<style>p{}</style> is</main>", "yes it is"),
-    ("plain text, no tags", "plain text, no tags"), ("<p>open <b>bold & <i>it", "open bold & it"), ("<<>< a < b and 3 > 2", "<<>< a < b and 3 > 2"),
-    ("<a title=\"x>y\">t</a>", "t"), ("", ""), ("<!-- open", ""), ("<script>never closed", ""), ("<p>a few words</p\n><p>and b<", "a few words\nand b<"), ("&lt;p&gt; &#233;&#x41;", "<p> éA"),
+    (
+        "<article><h1>T</h1>one<br>two<aside>no</aside><section class='reader-comments'><article class=comment>bad</article></section> three</article><div class='cookie-notice'><p>we use cookies</p></div>",
+        "T\none\ntwo\nthree"
+    ),
+    (
+        "<main><div class=sidebar>links</div><p>yes <script>var t='</p>'</script>it<style>p{}</style> is</main>",
+        "yes it is"
+    ),
+    ("plain text, no tags", "plain text, no tags"), ("<p>open <b>bold & <i>it", "open bold & it"), (
+        "<<>< a < b and 3 > 2", "<<>< a < b and 3 > 2"
+    ),
+    ("<a title=\"x>y\">t</a>", "t"), ("", ""), ("<!-- open", ""), ("<script>never closed", ""), (
+        "<p>a few words</p\n><p>and b<", "a few words\nand b<"
+    ), ("&lt;p&gt; &#233;&#x41;", "<p> éA"),
 ]
 
 
@@ -58,7 +68,13 @@ def test_best_region_as_brute_force():
 
 
 def test_weights_are_learned_from_labelled_pages(spark):
-    labelled = [(i, "u", "<body><div class='zap'>" + "menu word " * 9 + "</div><article><p>" + "good text " * 20 + "</p></article></body>") for i in range(20)]
+    labelled = [
+        (
+            i,
+            "u",
+            "<body><div class='zap'>" + "menu word " * 9 + "</div><article><p>" + "good text " * 20 + "</p></article></body>"
+        ) for i in range(20)
+    ]
     weights = fit(pages(spark, labelled))
     assert weights.by_feature["p"] > 0 > weights.by_feature[".zap"] and weights.tag < 0
     page = "<body><div class='zap'>" + "menu word " * 9 + "</div><div><p>" + "good text " * 20 + "</p></div></body>"
@@ -66,7 +82,13 @@ def test_weights_are_learned_from_labelled_pages(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(1, None, None), (1, None, None), (None, "u", "<p>x</p>"), (2, "v", "<article>" + "<p>long words here</p>" * 20_000 + "</article>"), (3, "w", "<div>" * 3000 + "deep" + "</div>" * 10)]
+    rows = [
+        (1, None, None),
+        (1, None, None),
+        (None, "u", "<p>x</p>"),
+        (2, "v", "<article>" + "<p>long words here</p>" * 20_000 + "</article>"),
+        (3, "w", "<div>" * 3000 + "deep" + "</div>" * 10)
+    ]
     got = {(r.page_id, r.url): r for r in extract(pages(spark, rows), Weights()).collect()}
     assert got[(1, None)].text == "" and got[(1, None)].n_chars == 0
     assert got[(None, "u")].text == "x"

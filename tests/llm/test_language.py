@@ -16,19 +16,32 @@ def test_best_path_as_brute_force():
         scores = rng.normal(0, rng.choice([1, 3, 9]), (length.sum(), 3)).astype(np.float32)
         path = best_path(scores, first, length, 2.0)
         for a, n in zip(first, length):
-            worth = lambda p: sum(scores[a + i, x] for i, x in enumerate(p)) - 2 * sum(x != y for x, y in zip(p, p[1:]))  # noqa: B023, E731
+            worth = lambda p: sum(
+                scores[a + i, x] for i, x in enumerate(p)
+            ) - 2 * sum(x != y for x, y in zip(p, p[1:]))  # noqa: B023, E731
             assert worth(path[a : a + n]) == pytest.approx(max(map(worth, product(range(3), repeat=int(n)))), abs=1e-4)
 
 
 def test_words_are_runs_of_letters():
     words = words_of(["Ab c1d", "", "é-ж"])
-    assert list(zip(words.text.tolist(), words.start.tolist(), words.end.tolist())) == [(0, 0, 2), (0, 3, 4), (0, 5, 6), (2, 0, 1), (2, 2, 3)]
+    assert list(
+        zip(words.text.tolist(), words.start.tolist(), words.end.tolist())
+    ) == [(0, 0, 2), (0, 3, 4), (0, 5, 6), (2, 0, 1), (2, 2, 3)]
     assert words_of(["ABC"]).cells.tolist() == words_of(["abc"]).cells.tolist()
 
 
 @pytest.fixture(scope="module")
 def model(docs):
-    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog are here", "en"), ("le chat et le chien sont ici", "fr"), ("кот и собака здесь", "ru")] * 20)]
+    rows = [
+        (i, t, lang) for i,
+        (t, lang) in enumerate(
+            [
+                ("the cat and the dog are here", "en"),
+                ("le chat et le chien sont ici", "fr"),
+                ("кот и собака здесь", "ru")
+            ] * 20
+        )
+    ]
     return fit(docs(rows))
 
 
@@ -52,7 +65,9 @@ def test_spans_of_mixed_text(docs, model):
 def test_without_letters_or_model(docs, model):
     rows = [(1, None), (2, ""), (3, "12 !? ٣"), (None, "the dog"), (4, "the dog"), (4, "the dog")]
     got = [(r.doc_id, r.lang_pred, r.score) for r in identify(docs(rows), model).collect()]
-    assert sorted(got, key=str) == sorted([(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0), (None, "en", 1.0), (4, "en", 1.0), (4, "en", 1.0)], key=str)
+    assert sorted(got, key=str) == sorted(
+        [(1, "und", 0.0), (2, "und", 0.0), (3, "und", 0.0), (None, "en", 1.0), (4, "en", 1.0), (4, "en", 1.0)], key=str
+    )
     nothing = fit(docs([(1, None, "en"), (2, "x", None)]))
     assert nothing.languages == ()
     assert [r.lang_pred for r in identify(docs([(1, "the")]), nothing).collect()] == ["und"]
@@ -100,7 +115,11 @@ def test_samples_are_bounded_and_alike_for_any_split(spark):
     from panelkit.llm.common import sampled
 
     df = spark.range(5000).selectExpr("id", "IF(id % 10 = 0, 'a', 'b') AS lang")
-    one, many = (sampled(df.repartition(n), 50, "id", "lang").groupBy("lang").agg({"id": "sum", "*": "count"}).collect() for n in (1, 40))
+    one, many = (
+        sampled(
+            df.repartition(n), 50, "id", "lang"
+        ).groupBy("lang").agg({"id": "sum", "*": "count"}).collect() for n in (1, 40)
+    )
     assert sorted(one) == sorted(many) and {r.lang: r["count(1)"] for r in one} == {"a": 50, "b": 50}
     assert sampled(df, 10**6, "id", "lang").count() == 5000
     assert sampled(df, 20, "id").count() == 20 and sampled(df.limit(0), 20, "id").count() == 0

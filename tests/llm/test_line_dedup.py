@@ -7,11 +7,15 @@ from panelkit.llm.line_dedup import COPY_SHARE, DOCUMENTS, LEAST_TOKENS, templat
 def brute(rows):
     seen = Counter()
     for _, text in rows:
-        seen.update({t for line in (text or "").split("\n") if len(tokens(line)) >= LEAST_TOKENS for t in templates(tokens(line))})
+        seen.update(
+            {t for line in (text or "").split("\n") if len(tokens(line)) >= LEAST_TOKENS for t in templates(tokens(line))}
+        )
     found = []
     for i, text in rows:
         lines = (text or "").split("\n")
-        gone = [len(tokens(x)) >= LEAST_TOKENS and any(seen[t] >= DOCUMENTS for t in templates(tokens(x))) for x in lines]
+        gone = [
+            len(tokens(x)) >= LEAST_TOKENS and any(seen[t] >= DOCUMENTS for t in templates(tokens(x))) for x in lines
+        ]
         sizes = [len(tokens(x)) for x in lines]
         if sum(s for s, g in zip(sizes, gone) if g) > COPY_SHARE * sum(sizes):
             gone = [False] * len(lines)
@@ -32,15 +36,31 @@ def test_templates():
 
 def test_as_brute_force(docs):
     rng = random.Random(3)
-    own = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(1, 12)))
+    own = lambda: " ".join(
+        "".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(1, 12))
+    )
     rows = []
     for i in range(60):
         lines = [own() for _ in range(rng.randint(1, 6))]
-        for line in ("All rights reserved by us.", f"Page {i} of our long report here", f"Posted by {own()[:4]} on our good old site today", "Ok.", ""):
+        for line in (
+            "All rights reserved by us.",
+            f"Page {i} of our long report here",
+            f"Posted by {own()[:4]} on our good old site today",
+            "Ok.",
+            ""
+        ):
             if rng.random() < 0.4:
                 lines.insert(rng.randint(0, len(lines)), line)
         rows.append((i, "\n".join(lines)))
-    rows += [(100 + i, rows[3][1]) for i in range(6)] + [(200, None), (201, ""), (202, "\n\n"), (None, rows[5][1]), (7, rows[8][1]), (7, rows[8][1]), (203, rows[0][1] + "\n" + own() * 20_000)]
+    rows += [(100 + i, rows[3][1]) for i in range(6)] + [
+        (200, None),
+        (201, ""),
+        (202, "\n\n"),
+        (None, rows[5][1]),
+        (7, rows[8][1]),
+        (7, rows[8][1]),
+        (203, rows[0][1] + "\n" + own() * 20_000)
+    ]
     df = docs(rows)
     got = without_recurring_lines(df, count="lines_gone")
     assert got.columns == [*df.columns, "lines_gone"]

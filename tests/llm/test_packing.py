@@ -66,7 +66,9 @@ def test_reduction_keeps_a_best_packing_and_best_fit_is_best_fit():
 def test_word_ids_are_those_of_whole_texts(text):
     words = word_ids(PATH)
     for each in (text, text[:9] + "<|endoftext|>" + text[9:]):
-        assert np.frombuffer(words.encode(each), "<u4").tolist() == Tokenizer.from_file(PATH).encode(each, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode(each), "<u4").tolist() == Tokenizer.from_file(PATH).encode(
+            each, add_special_tokens=False
+        ).ids
 
 
 def check(rows, found, capacity):
@@ -79,7 +81,14 @@ def check(rows, found, capacity):
         wanted.setdefault(i, []).append(tokenizer.encode(text or "", add_special_tokens=False).ids + [1])
     assert set(by_row) == set(wanted)
     for i, documents in wanted.items():
-        pieces = sorted((k // capacity, k, len(ids[k : k + capacity]), zlib.crc32(np.array(ids[k : k + capacity], "<u4").tobytes())) for ids in documents for k in range(0, len(ids), capacity))
+        pieces = sorted(
+            (
+                k // capacity,
+                k,
+                len(ids[k : k + capacity]),
+                zlib.crc32(np.array(ids[k : k + capacity], "<u4").tobytes())
+            ) for ids in documents for k in range(0, len(ids), capacity)
+        )
         assert sorted((r.piece, r.start, r.length, r.ids_crc32) for r in by_row[i]) == pieces
     sequences = {}
     for r in found:
@@ -94,7 +103,15 @@ def check(rows, found, capacity):
 def test_packed_documents(docs, sample, monkeypatch):
     monkeypatch.setattr(packing, "RANKED_TOGETHER", 7)
     rows = [(r["doc_id"], r["text"]) for r in sample("documents")]
-    rows += [(10**6, None), (10**6 + 1, ""), (10**6 + 2, "word " * 3000), (5, "again"), (5, "again"), (None, "no id"), (2**60 + 1, "big id")]
+    rows += [
+        (10**6, None),
+        (10**6 + 1, ""),
+        (10**6 + 2, "word " * 3000),
+        (5, "again"),
+        (5, "again"),
+        (None, "no id"),
+        (2**60 + 1, "big id")
+    ]
     sequences = check(rows, packed_documents(docs(rows), PATH, 512).collect(), 512)
     tokens = sum(n for places in sequences.values() for _, n in places)
     assert len(sequences) <= 1.05 * -(-tokens // 512) + 1

@@ -12,7 +12,12 @@ def stages(spark):
 
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    odd = [(10**6, None, None, None, None), (10**6 + 1, "", "en", "s", 0), (10**6 + 2, "123 !", None, "s", 5), (10**6 + 3, docs.first().text, "en", "s", 9)]
+    odd = [
+        (10**6, None, None, None, None),
+        (10**6 + 1, "", "en", "s", 0),
+        (10**6 + 2, "123 !", None, "s", 5),
+        (10**6 + 3, docs.first().text, "en", "s", 9)
+    ]
     docs, seen = checkpointed(docs.union(spark.createDataFrame(odd, docs.schema))), []
     for name, stage in corpus_pipeline.STAGES:
         made = checkpointed(stage(spark, docs, sf_dir))
@@ -35,7 +40,9 @@ def test_stage_as_plain_python(stages, spark, number):
     rows = [r.asDict() for r in before.collect()]
     got = [r.asDict() for r in after.collect()]
     if name == "packing":
-        assert plain.pieces(rows) == sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got)
+        assert plain.pieces(rows) == sorted(
+            (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got
+        )
         fill = np.bincount([r["sequence_id"] for r in got], weights=[r["length"] for r in got])
         assert fill.max() <= 4096 and fill.min() > 0
         return

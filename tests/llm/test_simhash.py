@@ -42,7 +42,18 @@ def texts(rng):
         for _ in range(rng.randint(0, 2)):
             words[rng.randrange(len(words))] = "edit"
         rows.append((1000 - i, rng.choice([" ", "\n", "  "]).join(words)))
-    return rows + [(1, None), (2, ""), (3, " \t"), (4, "one two"), (5, "ONE two"), (6, "one two"), (None, rows[0][1]), (None, "only null ids here"), (7, "one two"), (7, "one two")]
+    return rows + [
+        (1, None),
+        (2, ""),
+        (3, " \t"),
+        (4, "one two"),
+        (5, "ONE two"),
+        (6, "one two"),
+        (None, rows[0][1]),
+        (None, "only null ids here"),
+        (7, "one two"),
+        (7, "one two")
+    ]
 
 
 def test_fingerprints(spark):
@@ -75,7 +86,11 @@ def test_trees_find_all_within_the_radius():
 def test_links_join_all_pairs_for_any_number_of_blocks(spark, blocks):
     rng = random.Random(blocks)
     seed = [rng.getrandbits(64) for _ in range(20)]
-    values = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for s in seed for _ in range(8)} | {0, 2**64 - 1})
+    values = sorted(
+        {
+            s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for s in seed for _ in range(8)
+        } | {0, 2**64 - 1}
+    )
     signed = [v - 2**64 if v >> 63 else v for v in values]
     df = spark.createDataFrame([(v,) for v in signed], "fingerprint long")
     root = {r.node: r.root for r in components(near_links(df, blocks=blocks)).collect()}
@@ -99,7 +114,15 @@ def test_components_of_a_long_path_and_a_star(spark):
 
 
 def test_one_document_of_each_group_stays(docs):
-    rows = [(3, "a b c d e"), (2, "a b c d e"), (9, "quite another text is here"), (4, None), (5, ""), (None, "a b c d e"), (None, "without an id")]
+    rows = [
+        (3, "a b c d e"),
+        (2, "a b c d e"),
+        (9, "quite another text is here"),
+        (4, None),
+        (5, ""),
+        (None, "a b c d e"),
+        (None, "without an id")
+    ]
     df = docs(rows)
     kept = without_near_duplicates(df)
     assert kept.columns == df.columns

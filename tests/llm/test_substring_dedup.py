@@ -41,7 +41,17 @@ def rows():
             p = rng.choice(passages)
             text += p[rng.randint(0, 40) : len(p) - rng.randint(0, 40)] + some(rng.randint(0, 120))
         found.append((i, text))
-    return found + [(200, "a" * 900), (201, "ab" * 400), (202, None), (203, ""), (204, found[3][1]), (204, found[3][1]), (None, found[5][1]), (205, "a" * 210), (3, found[9][1])]
+    return found + [
+        (200, "a" * 900),
+        (201, "ab" * 400),
+        (202, None),
+        (203, ""),
+        (204, found[3][1]),
+        (204, found[3][1]),
+        (None, found[5][1]),
+        (205, "a" * 210),
+        (3, found[9][1])
+    ]
 
 
 @pytest.mark.parametrize("together", [2048, 3])
@@ -63,7 +73,9 @@ def test_minima_and_suffix_order():
     for _ in range(100):
         n = rng.randint(3, 60)
         width, values = rng.randint(1, min(n, 9)), np.array([rng.randint(0, 5) for _ in range(n)], np.uint64)
-        assert _leftmost_minima(values, width).tolist() == [p + int(np.argmin(values[p : p + width])) for p in range(n - width + 1)]
+        assert _leftmost_minima(values, width).tolist() == [
+            p + int(np.argmin(values[p : p + width])) for p in range(n - width + 1)
+        ]
         symbols = np.array([[rng.randint(0, 2) for _ in range(12)] for _ in range(n)], np.uint16)
         group = np.sort([rng.randint(0, 3) for _ in range(n)])
         order, common = suffix_sorted(symbols, group)

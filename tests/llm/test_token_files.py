@@ -31,7 +31,9 @@ def test_round_trip(docs, sample, monkeypatch):
     start = 0
     for i, text in sorted(rows):
         own = ids(text)
-        assert (found[i].start, found[i].n_tokens, found[i].ids_crc32) == (start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+        assert (found[i].start, found[i].n_tokens, found[i].ids_crc32) == (
+            start, len(own), zlib.crc32(np.array(own, "<u4").tobytes())
+        )
         start += len(own)
     assert len(found) == len(rows)
 
@@ -42,12 +44,16 @@ def test_look_up_by_key(spark, docs, monkeypatch):
     files = write_token_files(docs(rows), PATH)
     keys = spark.createDataFrame([(0,), (9,), (10,), (177,), (10**9,)], "doc_id long")
     got = sorted((r.doc_id, r.ids) for r in look_up(files, keys).collect())
-    assert got == sorted([(0, ids(rows[0][1])), (9, ids(rows[3][1])), (9, ids("the same id again")), (177, ids(rows[59][1]))])
+    assert got == sorted(
+        [(0, ids(rows[0][1])), (9, ids(rows[3][1])), (9, ids("the same id again")), (177, ids(rows[59][1]))]
+    )
 
 
 def test_null_and_repeated_ids_and_empty_table(docs):
     rows = [(None, "b"), (None, "b"), (4, "x"), (4, "x"), (1, "a b c")]
-    found = sorted(((r.doc_id, r.start, r.n_tokens) for r in encoded_documents(docs(rows), PATH).collect()), key=lambda r: r[1])
+    found = sorted(
+        ((r.doc_id, r.start, r.n_tokens) for r in encoded_documents(docs(rows), PATH).collect()), key=lambda r: r[1]
+    )
     assert [r[0] for r in found] == [None, None, 1, 4, 4]
     assert [r[1] for r in found] == [0, *np.cumsum([r[2] for r in found])[:-1]]
     assert read_documents(write_token_files(docs([]), PATH)).count() == 0

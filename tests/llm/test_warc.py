@@ -22,17 +22,29 @@ def brute(rows):
         same = [j for j, _, h in rows if j is not None and (h or "").encode() == data]
         first = min(same, default=None)
         revisit = len(data) >= 100 and first is not None and i != first
-        found.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", first if revisit else None))
+        found.append(
+            (
+                i,
+                len(data),
+                hashlib.sha256(data).hexdigest(),
+                "revisit" if revisit else "response",
+                first if revisit else None
+            )
+        )
     return sorted(found, key=str)
 
 
 def result(df):
-    return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in df.collect()), key=str)
+    return sorted(
+        ((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in df.collect()), key=str
+    )
 
 
 ROWS = [
     (4, "http://a", "é" * 60), (2, "http://b", "é" * 60), (9, None, "é" * 60), (1, "http://c", "short"), (3, "http://d\n", "short"), (5, "", None),
-    (6, "http://e", ""), (7, "http://f", "x" * 99), (8, "http://g", "x" * 99), (10, "http://h", "\r\n\r\n" * 50), (11, "http://i", "y" * 400_000),
+    (6, "http://e", ""), (7, "http://f", "x" * 99), (8, "http://g", "x" * 99), (
+        10, "http://h", "\r\n\r\n" * 50
+    ), (11, "http://i", "y" * 400_000),
     (None, "http://j", "é" * 60), (None, "http://k", "z" * 200), (12, "http://l", "same" * 50), (12, "http://l", "same" * 50),
 ]
 
@@ -104,6 +116,8 @@ def test_archives_are_plain_zip_files(spark):
 def test_record_round_trip():
     raw = record(5, "http://x y", b"body\r\n\r\nmore", "d" * 64, 12, None)
     got = Record.parse(raw)
-    assert (got.page_id, got.refers_to, got.payload, got.headers["WARC-Target-URI"]) == (5, None, b"body\r\n\r\nmore", "http://xy")
+    assert (
+        got.page_id, got.refers_to, got.payload, got.headers["WARC-Target-URI"]
+    ) == (5, None, b"body\r\n\r\nmore", "http://xy")
     assert Record.parse(record(6, None, None, "d" * 64, 12, 5)).refers_to == 5
     assert pa.__version__
