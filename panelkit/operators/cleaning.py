@@ -68,7 +68,9 @@ def latest_value(
     same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(newest[f"_k_{k}"]) for k in keys])
     tied = rows.join(newest, same & (rows["_ts"] == newest["_newest"]), "left_semi")
     best = F.max(F.struct(*[F.col(c) for c in tiebreak], *[F.col(v).alias(f"_v_{v}") for v in values]))
-    return tied.groupBy(*keys).agg(best.alias("_best")).select(*keys, *[F.col(f"_best._v_{v}").alias(v) for v in values])
+    return tied.groupBy(*keys).agg(best.alias("_best")).select(
+        *keys, *[F.col(f"_best._v_{v}").alias(v) for v in values]
+    )
 
 
 def date_parts(df: DataFrame, column: str, pattern: str | None = ISO_PATTERN) -> DataFrame:

@@ -45,7 +45,9 @@ def outer_panel(sources: Sequence[DataFrame], keys: Sequence[str], anchors: Sequ
     )
     repeated = reduce(lambda a, b: a | b, [F.coalesce(F.col(f"_in_{i}"), F.lit(0)) > 1 for i in range(len(sources))])
     error = F.raise_error(F.concat(F.lit("a source of the panel repeats the key "), F.to_json(F.struct(*keys))))
-    panel = panel.filter(F.when(repeated, error.cast("boolean")).otherwise(F.col("_anchor") if anchors else F.lit(True)))
+    panel = panel.filter(
+        F.when(repeated, error.cast("boolean")).otherwise(F.col("_anchor") if anchors else F.lit(True))
+    )
     return panel.select(*keys, *names)
 
 

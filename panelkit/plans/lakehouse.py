@@ -117,7 +117,10 @@ def refresh_reports(store: TableStore, run: ForestRun | None = None, spec: Fores
     for column in ("pressure_per_capita_tier", "pressure_per_gdp_per_capita_tier", "funding_gap_tier"):
         publish(f"{column}_distribution", distribution(indices, column))
     publish("trend_quality", summarise(store.read("gold", "trend_forecast"), ["variable_name"], gold.TREND_SUMMARY))
-    publish("validation_quality", summarise(store.read("gold", "model_validation"), ["variable_name"], gold.VALIDATION_SUMMARY))
+    publish(
+        "validation_quality",
+        summarise(store.read("gold", "model_validation"), ["variable_name"], gold.VALIDATION_SUMMARY)
+    )
     if run is not None:
         labels = [float(i) for i in range(len(spec.labels))]
         tested = checkpointed(run.test_predictions.select("label", "prediction", spec.tier, "predicted_tier"))

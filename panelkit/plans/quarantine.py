@@ -39,7 +39,9 @@ def refresh_quarantine(store: TableStore, since=None, pressure: tuple[str, Fores
         bronze = read_since(store.read("bronze", feed.table, feed.bronze_schema), since=since)
         bad = bronze.filter(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
         parts.append(rejected(bad, f"{feed.table}.bad_json"))
-        good = require_not_null(bronze.filter(F.col(BAD_RECORD).isNull()), feed.not_null).drop(BAD_RECORD, INGESTED_ON, "ingested_at")
+        good = require_not_null(
+            bronze.filter(F.col(BAD_RECORD).isNull()), feed.not_null
+        ).drop(BAD_RECORD, INGESTED_ON, "ingested_at")
         if feed.year_rule == "period_span":
             parts.append(rejected(unparsed_periods(good, *_PERIOD), f"{feed.table}.unparsed_period"))
     if store.exists("silver", "funding"):

@@ -148,8 +148,12 @@ def unreadable_answers(spark: SparkSession, d: str) -> DataFrame:
     )
     pages = events.select(body.alias("body"))
     read = parse_json_records(unwrap_records(pages, "body"), StructType.fromDDL(EVENT_DDL), EVENT_FIELDS)
-    lost = unreadable_pages(pages, "body").select(F.regexp_extract("body", r"(\d+)}?$", 1).cast("bigint").alias("event_id"))
-    return read.select("event_id", F.lit(False).alias("is_unreadable")).unionByName(lost.withColumn("is_unreadable", F.lit(True)))
+    lost = unreadable_pages(pages, "body").select(
+        F.regexp_extract("body", r"(\d+)}?$", 1).cast("bigint").alias("event_id")
+    )
+    return read.select(
+        "event_id", F.lit(False).alias("is_unreadable")
+    ).unionByName(lost.withColumn("is_unreadable", F.lit(True)))
 
 
 @query(sql=with_ctes("nation_year", body="""

@@ -232,7 +232,9 @@ AID_SQL = f"""
 def _aid(spark: SparkSession, d: str) -> DataFrame:
     """Reports, yearly sums and appeals are each written once for the blocks that read them."""
     reports, yearly = checkpointed(place_reports(spark, d)), checkpointed(nation_year(spark, d))
-    appeals = funding(spark, d).select("location_code", "year", "appeal_code", "ingested_at", "requirements_usd", "funding_usd")
+    appeals = funding(spark, d).select(
+        "location_code", "year", "appeal_code", "ingested_at", "requirements_usd", "funding_usd"
+    )
     return gold.aid_demand(
         *routes(spark, d), checkpointed(gold.needs_gaps(needs(spark, d, reports))), conflict_events(spark, d, reports),
         foodsecurity(spark, d, reports), checkpointed(appeals), wb_gdp(spark, d, yearly), wb_mpm(spark, d, reports),

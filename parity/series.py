@@ -169,7 +169,9 @@ FORECAST_SQL = f"""
     FROM fits"""
 
 
-@query(name="trend_forecast", sql=with_ctes("nation_month", body=f"{MONTHS_SQL}, {_fit_sql('stacked', 8)} {FORECAST_SQL}"))
+@query(
+    name="trend_forecast", sql=with_ctes("nation_month", body=f"{MONTHS_SQL}, {_fit_sql('stacked', 8)} {FORECAST_SQL}")
+)
 def monthly_trend_forecast(spark: SparkSession, d: str) -> DataFrame:
     return trend_forecast(_months(spark, d), "location_code", "month", ["n_orders", "revenue"])
 

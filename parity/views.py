@@ -278,7 +278,9 @@ def conflict_events(spark: SparkSession, d: str, reports: DataFrame | None = Non
     kind = F.when(flag == "R", "political_violence").when(flag == "A", "civilian_targeting")
     return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.col("line").alias("admin_level"), F.col("qty").alias("events"),
-        (F.nullif("tax", F.lit(0)) * F.col("n")).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
+        (
+            F.nullif("tax", F.lit(0)) * F.col("n")
+        ).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
     )
 
 
