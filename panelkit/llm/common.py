@@ -50,7 +50,8 @@ def sampled(rows: DataFrame, most: int, id_column: str, *groups: str) -> DataFra
     ids = ids.withColumn("_hash", F.pmod(F.xxhash64(id_column), F.lit(1 << 40)))
     sizes = ids.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
     if groups:
-        ids = ids.join(sizes, list(groups))
+        # A model of the groups has more than a number for each, and is broadcast too.
+        ids = ids.join(F.broadcast(sizes), list(groups))
     else:
         ids = ids.withColumn("_n", F.lit(sizes.first()[0]))
     few = ids.filter(F.col("_hash").cast("double") * F.col("_n") <= 4.0 * most * (1 << 40))
