@@ -17,8 +17,8 @@ from panelkit.sources.tables import checkpointed
 
 #: Fixed by the contract: words in a shingle, seed of the hash, bits that may differ.
 SHINGLE, SEED, RADIUS = 4, 42, 4
-#: Blocks of bits that fingerprints are cut into: with 4 bits differing, two of six blocks agree.
-BLOCKS = 6
+#: Fingerprints that share a bucket by chance, at most about; keys get longer with more fingerprints to keep it so.
+BY_CHANCE = 4
 #: Fingerprints in one tree.
 TREE = 4096
 
@@ -119,15 +119,20 @@ def tree_links(own: Iterable[int], others: Iterable[int] | None, radius: int) ->
     return links
 
 
-def near_links(values: DataFrame, column: str = "fingerprint", radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def near_links(values: DataFrame, column: str = "fingerprint", radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """Links ``a``-``b`` between distinct 64-bit numbers that differ in 1 to ``radius`` bits.
 
     Links join exactly what chains of such pairs join; not each pair is listed. Numbers within the
     radius agree in ``blocks - radius`` blocks of bits, so each choice of blocks makes a bucket key and every
     pair meets in a bucket. More blocks make longer keys and smaller buckets, for more copies of each
-    number; the result is the same. A bucket of more than ``TREE`` numbers is cut into shards, and
+    number; the result is the same, so by default their number follows that of the values (six blocks
+    and 15 keys up to eight million, seven and 35 up to half a billion, ...). A bucket of more than ``TREE`` numbers is cut into shards, and
     each shard's tree is asked by its own shard and by the later ones, in tasks of their own.
     """
+    if blocks is None:
+        blocks, many = radius + 2, values.count()
+        while many > BY_CHANCE << 64 * (blocks - radius) // blocks:
+            blocks += 1
     edge = [64 * i // blocks for i in range(blocks + 1)]
     masks = [
         sum(
