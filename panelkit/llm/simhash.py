@@ -1,7 +1,14 @@
-"""Near-duplicates by SimHash fingerprints, found with BK-trees."""
+"""Near-duplicates by SimHash fingerprints, found with BK-trees.
+
+``near_duplicates`` links fingerprints of the contract's width and radius. ``without_near_duplicates`` has settings of its
+own: wide fingerprints over five-word shingles propose pairs, and the exact similarity of the shingle sets decides.
+"""
 
 from __future__ import annotations
 
+import math
+import random
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 
@@ -21,6 +28,14 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 BY_CHANCE = 4
 #: Fingerprints in one tree.
 TREE = 4096
+#: Removing near-duplicates: words in a shingle, and the least Jaccard similarity of the shingle sets.
+SET_SHINGLE, SIMILARITY = 5, 0.8
+#: Bits of the wide fingerprint, in 64-bit fingerprints of different hashes, and bits that candidates may differ in:
+#: at the least similarity 39 of 256 are expected to (48 in texts of a few shingles), with a deviation of 6.
+WIDE, WIDE_RADIUS = 4, 64
+#: Wide fingerprints that share a bucket by chance, at most about, and the share of pairs at the least similarity that
+#: may meet in no bucket.
+WIDE_BY_CHANCE, MISSED = 16, 0.005
 
 
 def fingerprint(text: bytes) -> int:
@@ -217,15 +232,239 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     )
 
 
+def shingle_set(text: bytes, size: int = SET_SHINGLE) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles; a text of fewer words is one shingle, one without words has none."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    size = min(size, len(words))
+    digest = xxhash.xxh3_64_intdigest
+    joined = [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
+    return np.unique(np.fromiter(map(digest, joined), np.uint64, len(joined)))
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """SimHash of ``WIDE`` times 64 bits of a shingle set: each shingle's hash is mixed anew for each 64 of them."""
+    total = np.zeros(64 * WIDE, np.int64)
+    for at in range(0, len(hashes), 1 << 14):
+        part = hashes[at : at + (1 << 14)]
+        mixed = np.empty((len(part), WIDE), "<u8")
+        with np.errstate(over="ignore"):
+            for k in range(WIDE):  # splitmix64
+                z = part + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+                z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                mixed[:, k] = z ^ (z >> np.uint64(31))
+        total += np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), bitorder="little").tobytes()
+
+
+def _set_name(hashes: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64))
+
+
+def leader_pairs(values: list[tuple[int, int]], radius: int) -> list[tuple[int, int, bool]]:
+    """Pairs of nodes whose fingerprints are near, for a bucket of (node, fingerprint): all but those of two followers.
+
+    A node near a leader follows it, any other leads. A group of near copies costs a pair per follower, not
+    the square of its size; the third value says that the second node follows.
+    """
+    leaders, followers = BKTree(), BKTree()
+    leading, following, pairs = {}, defaultdict(list), []
+    for node, value in values:
+        near = [leading[v] for v in leaders.near(value, radius)]
+        if near:
+            if value not in following:
+                followers.add(value)
+            following[value].append(node)
+            pairs += [(n, node, True) for n in near]
+        else:
+            pairs += [(n, node, False) for v in followers.near(value, radius) for n in following[v]]
+            leaders.add(value)
+            leading[value] = node
+    return pairs
+
+
+def cross_pairs(values: list[tuple[int, int, int]], radius: int) -> list[tuple[int, int, bool]]:
+    """All pairs of near nodes with different roots, for a bucket of (node, fingerprint, root)."""
+    groups = defaultdict(list)
+    for node, value, root in values:
+        groups[root].append((node, value))
+    tree, nodes, pairs = BKTree(), defaultdict(list), []
+    if len(groups) < 2:
+        return pairs
+    for k, group in enumerate(sorted(groups.values(), key=len, reverse=True)):
+        if k:
+            pairs += [(n, node, False) for node, value in group for v in tree.near(value, radius) for n in nodes[v]]
+        for node, value in group:
+            if value not in nodes:
+                tree.add(value)
+            nodes[value].append(node)
+    return pairs
+
+
+def bucket_keys(values: int) -> list[list[int]]:
+    """Places of the bits of each bucket key: as many as keep chance buckets small for so many fingerprints, and as
+    many keys as let all but ``MISSED`` of the pairs at the least similarity meet in one."""
+    bits = max(8, math.ceil(math.log2(max(2, values) / WIDE_BY_CHANCE)))
+    same = (1 - math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi) ** bits
+    rng = random.Random(SEED)
+    return [rng.sample(range(64 * WIDE), bits) for _ in range(math.ceil(math.log(MISSED) / math.log(1 - same)))]
+
+
+def _bucket_pairs(values: DataFrame, places: list[list[int]], across: bool) -> DataFrame:
+    """Candidates ``a``-``b`` with ``follows``, from ``node``, ``print`` (and ``root`` for pairs across roots only)."""
+    powers = [1 << i for i in range(len(places[0]))]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            raw = np.frombuffer(b"".join(batch.column("print").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            bits = np.unpackbits(raw, axis=1, bitorder="little").astype(np.int64)
+            for k, chosen in enumerate(places):
+                key = pa.array(bits[:, chosen] @ np.array(powers, np.int64))
+                number = pa.array(np.full(batch.num_rows, k, np.int32))
+                yield pa.RecordBatch.from_arrays([number, key, *batch.columns], names=["k", "key", "node", "print", "root"])
+
+    rows = values.select("node", "print", "root" if across else F.lit(0).cast("long").alias("root"))
+    rows = rows.mapInArrow(keyed, "k int, key long, node long, print binary, root long")
+    large = rows.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TREE)
+    large = checkpointed(large.select("k", "key", F.ceil(F.col("n") / TREE).cast("int").alias("shards")))
+    shards = F.coalesce("shards", F.lit(1))
+    own = F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")
+    # Shards meet in twos, each pair of them in a task of its own.
+    twos = F.transform(
+        F.sequence(F.lit(0), F.col("shards") - 1),
+        lambda s: F.struct(F.least(s, F.col("own")).alias("low"), F.greatest(s, F.col("own")).alias("high")),
+    )
+    rows = rows.join(large, ["k", "key"], "left").withColumn("shards", shards).withColumn("own", own)
+    rows = rows.withColumn("_t", F.explode(twos)).select("k", "key", "_t.low", "_t.high", "node", "print", "root")
+    group = ["k", "key", "low", "high"]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(held: list) -> list[tuple[int, int, bool]]:
+            if len(held) < 2:
+                return []
+            if across:
+                return cross_pairs(held, WIDE_RADIUS)
+            return leader_pairs([h[:2] for h in held], WIDE_RADIUS)
+
+        def batch_of(pairs: list) -> pa.RecordBatch:
+            a, b, follows = zip(*pairs)
+            arrays = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(follows, pa.bool_())]
+            return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "follows"])
+
+        key, held, pairs = None, [], []
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in group))
+            for this, node, value, root in zip(keys, *(batch.column(c).to_pylist() for c in ("node", "print", "root"))):
+                if this != key:
+                    pairs += found(held)
+                    key, held = this, []
+                held.append((node, int.from_bytes(value, "little"), root))
+            if len(pairs) > 10_000:
+                yield batch_of(pairs)
+                pairs = []
+        if pairs := pairs + found(held):
+            yield batch_of(pairs)
+
+    made = rows.repartition(*group).sortWithinPartitions(*group, "node").mapInArrow(search, "a long, b long, follows boolean")
+    made = made.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("follows"))
+    return made.distinct()
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``a``-``b`` whose shingle sets (``node``, ``shingles``) have a Jaccard similarity of ``SIMILARITY``."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("left"), batch.column("right")):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= SIMILARITY * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b").select(
+        "a", "b", "left", "right"
+    ).mapInArrow(confirm, "a long, b long")
+
+
+def similar_links(df: DataFrame, prints: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Links between shingle sets (named by their hash) of at least ``SIMILARITY``; they join what chains of such pairs
+    join, of all pairs that meet in a bucket. ``prints`` has ``node``, ``print``, ``id`` and ``text_hash`` of the rows."""
+    values = checkpointed(
+        prints.groupBy("node").agg(
+            F.first("print").alias("print"), F.min(F.struct("id", "text_hash")).alias("row")
+        )
+    )
+    places = bucket_keys(values.count())
+    marked = checkpointed(_bucket_pairs(values, places, False))
+    pairs = checkpointed(marked.select("a", "b").distinct())
+    # Texts of the sets in pairs only; the ids have no bound, so they are not broadcast.
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = checkpointed(values.join(nodes, "node").select("node", "row.id", "row.text_hash"))
+    text = text_or_empty(text_column)
+    texts = df.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
+    same = texts["id"].eqNullSafe(wanted["id"]) & (texts["text_hash"] == wanted["text_hash"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py()).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "shingles"])
+
+    sets = texts.join(wanted.hint("merge"), same).select("node", "text").mapInArrow(read, "node long, shingles binary")
+    sets = checkpointed(sets.dropDuplicates(["node"]))
+    links = checkpointed(_similar(pairs, sets))
+    # Two followers have not been compared; where their links do not join them, they are now.
+    roots = checkpointed(components(links))
+    followers = checkpointed(marked.filter("follows").select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    again = values.join(followers, "node").join(roots, "node", "left")
+    again = again.select("node", "print", F.coalesce("root", "node").alias("root"))
+    more = _bucket_pairs(checkpointed(again), places, True).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    return links.union(checkpointed(_similar(checkpointed(more), sets)))
+
+
 def without_near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component; all columns stay. Rows with NULL id stay only alone.
+    """The rows of the smallest id of each group of near-duplicates; all columns stay. Rows with NULL id stay only alone.
+
+    Near-duplicates share at least ``SIMILARITY`` of their ``SET_SHINGLE``-word shingles (Jaccard, computed exactly), or
+    a chain of such texts joins them. Texts without words (NULL among them) are copies of each other. Candidates are
+    pairs of wide SimHash fingerprints within ``WIDE_RADIUS`` bits that meet in a bucket; ``MISSED`` sets how many
+    pairs at the least similarity may not meet.
 
     The rows that go are the fewer, so they are what the texts are joined with. Their number has no bound, so
     they are never broadcast: the join is a sort-merge join at any size, which adaptive execution can split.
     """
-    found = near_duplicates(df, id_column, text_column)
-    gone = found.filter(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(id_column, "text_hash").distinct()
-    gone = checkpointed(gone.toDF("id", "text_hash"))
+    id_type = df.schema[id_column].dataType.simpleString()
+    text = text_or_empty(text_column)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, made = [], []
+            for text in batch.column(2):
+                hashes = shingle_set(text.as_py())
+                nodes.append(_set_name(hashes))
+                made.append(wide_fingerprint(hashes))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(made, pa.binary())],
+                names=["id", "text_hash", "node", "print"]
+            )
+
+    prints = df.select(
+        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text")
+    ).mapInArrow(each, f"id {id_type}, text_hash long, node long, print binary")
+    prints = checkpointed(prints)
+    found = checkpointed(components(similar_links(df, prints, id_column, text_column)))
+    firsts = prints.groupBy("node").agg(F.min("id").alias("first")).join(found, "node", "left")
+    firsts = checkpointed(firsts.select("node", "first", F.coalesce("root", "node").alias("root")))
+    named = firsts.groupBy("root").agg(F.min("first").alias("kept"))
+    named = checkpointed(firsts.join(named, "root").select("node", "kept"))
+    gone = prints.join(named, "node").filter(~F.col("id").eqNullSafe(F.col("kept"))).select("id", "text_hash").distinct()
+    gone = checkpointed(gone)
     same = df[id_column].eqNullSafe(gone["id"]) & (
         F.xxhash64(F.coalesce(df[text_column].cast("string"), F.lit(""))) == gone["text_hash"]
     )
