@@ -27,8 +27,8 @@ LEADING = 2
 FIELDS = 5
 #: Documents with a template from which on its lines are dropped.
 DOCUMENTS = 5
-#: A document with a larger share of its tokens in recurring lines is a copy of others, not text with boilerplate.
-COPY_SHARE = 0.5
+#: A document with a larger share of its tokens in recurring lines would stay as it is; at 1 none does.
+COPY_SHARE = 1.0
 
 # Fixed pattern of variable tokens: digits anywhere, web and mail addresses.
 _VARIABLE = re.compile(r"\d|://|www\.|@\w", re.I)
@@ -119,6 +119,7 @@ def recurring_lines(
     Level by level: leaves with too few lines cannot hold a template of enough documents, so only the lines of
     the others are counted by template. Counts combine before the shuffle, and lines meet the
     templates in joins that adaptive execution splits, so one line in a third of all documents is no harm.
+    Copies of a text count once: of the templates in enough rows, those in enough distinct texts recur.
     """
     lines = checkpointed(_lines(df, id_column, text_column))
     leaves = checkpointed(
@@ -133,7 +134,10 @@ def recurring_lines(
             "id", "text_hash", "line", "tokens", "all_tokens", F.col("t.templates").alias("template"), "t.fresh"
         )
     )
-    recurring = each.filter("fresh").groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
+    many = each.filter("fresh").groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
+    each = checkpointed(each.join(checkpointed(many.select("template")), "template", "left_semi"))
+    recurring = each.filter("fresh").select("template", "text_hash").distinct()
+    recurring = recurring.groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
     found = each.join(checkpointed(recurring.select("template")), "template", "left_semi")
     found = found.groupBy("id", "text_hash", "line").agg(
         F.first("tokens").alias("tokens"), F.first("all_tokens").alias("all_tokens")
@@ -153,10 +157,9 @@ def without_recurring_lines(
 ) -> DataFrame:
     """The rows with all their columns and, in ``text_column``, the lines that do not recur.
 
-    A line recurs if at least ``DOCUMENTS`` documents have lines of one of its templates. All of its occurrences
-    go; yet a document with more than half of its tokens in recurring lines stays as it is: it is one of several
-    copies of a document, which are for deduplication of documents to sort out, and would
-    leave shreds here. NULL text stays NULL; rows that repeat count as documents of their own; an empty
+    A line recurs if at least ``DOCUMENTS`` distinct texts have lines of one of its templates. All of its occurrences
+    go, from every document. Rows with the same text count once, so that copies of a document, which are for
+    deduplication of documents to sort out, do not make each other's lines recur. NULL text stays NULL; an empty
     table stays empty. ``count`` names a column that then gets the number of lines dropped (none may have that name).
     """
     drops = recurring_lines(df, id_column, text_column)
