@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import text_or_empty
 from panelkit.sources.tables import checkpointed
 
-#: Tokens that a line has at least to be looked at; shorter lines say little about where they come from.
-LEAST_TOKENS = 3
+#: Tokens that a line has at least to be looked at: every line that is not blank.
+LEAST_TOKENS = 1
 #: Leading tokens that make the path to a leaf.
 LEADING = 2
 #: Fields behind the leading tokens; one of them may vary, so templates keep four fifths of those tokens.

@@ -29,3 +29,9 @@ def test_copies_count_once(docs):
     got = texts(docs, rows)
     assert all(got[i] == copy for i in range(7))
     assert [got[10 + i] for i in range(4)] == [own(i) for i in range(4)] and got[20] == got[25] == own(60)
+
+
+def test_lines_of_one_or_two_tokens(docs):
+    passage = "这是一段在许多文件里重复出现的文字，没有空格，但是很长。"
+    rows = [(i, f"{own(i)}\n{passage}\nRead more\n\nSubscribe") for i in range(5)] + [(9, f"{passage}\nonce only\nrare")]
+    assert texts(docs, rows) == {i: f"{own(i)}\n" for i in range(5)} | {9: "once only\nrare"}
