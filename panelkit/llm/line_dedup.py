@@ -30,15 +30,29 @@ DOCUMENTS = 5
 #: A document with a larger share of its tokens in recurring lines would stay as it is; at 1 none does.
 COPY_SHARE = 1.0
 
+#: Constant tokens that a template with variable ones keeps at least, and their share of its tokens.
+CONSTANT, CONSTANT_SHARE = 2, 0.4
+
 # Fixed pattern of variable tokens: digits anywhere, web and mail addresses.
 _VARIABLE = re.compile(r"\d|://|www\.|@\w", re.I)
 ANY = "<*>"
 
 
+def _telling(found: list[str]) -> bool:
+    """Whether enough tokens are constant for a template to say where a line comes from."""
+    return len(found) - found.count(ANY) >= max(CONSTANT, CONSTANT_SHARE * len(found))
+
+
 def tokens(line: str) -> list[str]:
-    """Tokens of a line between white space, those that vary by their kind replaced by a wildcard."""
+    """Tokens of a line between white space, those that vary by their kind replaced by a wildcard.
+
+    A line with too few others, such as a row of numbers, keeps all as they are.
+    """
     found = line.split()
-    return [ANY if _VARIABLE.search(t) else t for t in found] if _VARIABLE.search(line) else found
+    if not _VARIABLE.search(line):
+        return found
+    made = [ANY if _VARIABLE.search(t) else t for t in found]
+    return made if _telling(made) else found
 
 
 def leaf(found: list[str], leading: int = LEADING) -> str:
@@ -50,16 +64,20 @@ def templates(found: list[str], leading: int = LEADING, fields: int = FIELDS) ->
     """The line's template with all tokens, then those with one field generalised.
 
     A line with fewer tokens than fields behind the leading ones has one field less for each that it lacks, so
-    that no field is empty; with two tokens behind them or fewer only the template with all tokens is left.
+    that no field is empty; with two tokens behind them or fewer only the template with all tokens is left. So it is
+    for lines that kept their variable tokens. A template always keeps enough constant tokens.
     """
     rest = found[leading:]
     many = min(fields, len(rest))
     exact = "\x00".join(found)
-    if many < 3:
+    if many < 3 or _VARIABLE.search(exact):
         return [exact]
     cut = [len(rest) * k // many for k in range(many + 1)]
     head = "\x00".join(found[:leading])
-    return [exact] + ["\x00".join([head, *rest[:a], ANY * (b - a), *rest[b:]]) for a, b in zip(cut, cut[1:])]
+    return [exact] + [
+        "\x00".join([head, *rest[:a], ANY * (b - a), *rest[b:]])
+        for a, b in zip(cut, cut[1:]) if _telling(found[:leading] + rest[:a] + [ANY] * (b - a) + rest[b:])
+    ]
 
 
 def _hash(text: str) -> int:

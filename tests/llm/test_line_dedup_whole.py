@@ -1,6 +1,6 @@
 """Lines that recur among distinct texts go from every document, and only those."""
 
-from panelkit.llm.line_dedup import without_recurring_lines
+from panelkit.llm.line_dedup import templates, tokens, without_recurring_lines
 
 WORDS = "amber birch cedar delta ember frost grove hazel inlet jetty knoll lemon".split()
 
@@ -35,3 +35,19 @@ def test_lines_of_one_or_two_tokens(docs):
     passage = "这是一段在许多文件里重复出现的文字，没有空格，但是很长。"
     rows = [(i, f"{own(i)}\n{passage}\nRead more\n\nSubscribe") for i in range(5)] + [(9, f"{passage}\nonce only\nrare")]
     assert texts(docs, rows) == {i: f"{own(i)}\n" for i in range(5)} | {9: "once only\nrare"}
+
+
+def test_rows_of_numbers_are_told_apart(docs):
+    rows = [(i, f"{own(i)}\n{i} {i + 3} {i * 7} 9 {i * i}\n2024-01-{i + 10}\nBerlin {i} {i}\nPage {i} of our report") for i in range(6)]
+    got = texts(docs, rows)
+    assert got == {i: "\n".join(text.split("\n")[:4]) for i, text in rows}
+    same = [(i, f"{own(i)}\n1 2 3 4 5") for i in range(5)]
+    assert texts(docs, same) == {i: own(i) for i in range(5)}
+
+
+def test_every_template_keeps_constant_tokens():
+    assert templates(tokens("12 34 5 6 78")) == ["\x00".join(["12", "34", "5", "6", "78"])]
+    for line in ("Row a 1 2 3 b", "a 1 b 2 c", "a b 1 2 3 c d"):
+        for t in templates(tokens(line)):
+            kept = [x for part in t.split("\x00") for x in part.replace("<*>", " ").split()]
+            assert len(kept) >= 2
