@@ -25,13 +25,21 @@ LEAST_WORDS, COVERAGE = 5, 0.8
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark goes over the documents in blocks.
 BLOCK_BYTES = 16 << 20
 
+# Scripts written without spaces: Thai, Lao, Burmese, Khmer, Japanese kana, Chinese characters.
+_BARE = (
+    "\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u103f\u1780-\u17d3\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u31f0-\u31ff"
+    "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_UNSEGMENTED = re.compile(f"[{_BARE}]")
 _WORD = re.compile(r"[^\W_]+")
+_WORD_OR_CHARACTER = re.compile(rf"[{_BARE}]|(?:(?![{_BARE}])[^\W_])+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # any odd number
 
 
 def words(text: str | None) -> list[str]:
-    """Runs of letters and digits in lower case."""
-    return _WORD.findall((text or "").lower())
+    """Runs of letters and digits in lower case; of scripts without spaces, each character."""
+    text = (text or "").lower()
+    return (_WORD_OR_CHARACTER if _UNSEGMENTED.search(text) else _WORD).findall(text)
 
 
 def rolling(values: np.ndarray, size: int) -> np.ndarray:
@@ -111,6 +119,7 @@ class Benchmark:
 
     def __init__(self, rows: list[tuple[int, str]], least: int = LEAST_WORDS):
         self.least, self.numbers, self.items = least, {}, []
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         seeds: dict[int, set[int]] = defaultdict(set)
         for item_id, text in rows:
             own = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words(text)]
@@ -118,6 +127,10 @@ class Benchmark:
                 for key in rolling(np.array(own, np.uint64), least).tolist():
                     seeds[key].add(len(self.items))
                 self.items.append((item_id, own))
+            elif own:  # shorter than a tile: one exact tile of its own length
+                self.short[len(own)][int(rolling(np.array(own, np.uint64), len(own))[0])].append(len(self.items))
+                self.items.append((item_id, own))
+        self.short = {size: dict(keys) for size, keys in self.short.items()}
         self.seeds = dict(seeds)
         self.sorted_seeds = np.array(sorted(seeds), np.uint64)
 
@@ -126,13 +139,17 @@ class Benchmark:
         (item, place in item, place in the document in words, length)."""
         known = self.numbers.get
         values = np.array([known(w, 0) for w in words(text)], np.uint64)
+        found = self._short_tiles(values)
+        best: tuple[float, int | None] = (0.0, None)
+        if found:
+            best = (1.0, min((t[0] for t in found if t[0] is not None), default=None))
         if len(values) < self.least or not len(self.sorted_seeds):
-            return None, 0.0, []
+            return best[1], best[0], found
         keys = rolling(values, self.least)
         at = np.minimum(np.searchsorted(self.sorted_seeds, keys), len(self.sorted_seeds) - 1)
         hits = np.flatnonzero(self.sorted_seeds[at] == keys)
         if not len(hits):
-            return None, 0.0, []
+            return best[1], best[0], found
         # Tiles lie in runs of known words; only runs with a seed matter, each followed by a 0.
         inside = np.concatenate(([False], values > 0, [False]))
         starts, ends = np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(~inside[1:] & inside[:-1])
@@ -142,8 +159,6 @@ class Benchmark:
             [np.arange(starts[r], ends[r] + 1) for r in runs.tolist()]
         ) if len(runs) else np.zeros(0, np.int64)
         near = np.append(values, np.uint64(0))[places].tolist()
-        best: tuple[float, int | None] = (0.0, None)
-        found = []
         for number in sorted({n for h in hits.tolist() for n in self.seeds[int(keys[h])]}):
             item_id, item = self.items[number]
             own = tiles(item, near, self.least)
@@ -155,6 +170,20 @@ class Benchmark:
             found += [(item_id, a, int(places[b]), length) for a, b, length in own]
         return best[1], best[0], found
 
+    def _short_tiles(self, values: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The first place of each item that is shorter than a tile."""
+        found = []
+        for size, items in self.short.items():
+            keys = rolling(values, size)
+            seen = set()
+            for at in np.flatnonzero(np.isin(keys, np.fromiter(items, np.uint64, len(items)))).tolist():
+                for number in items[int(keys[at])]:
+                    item_id, item = self.items[number]
+                    if number not in seen and values[at : at + size].tolist() == item:
+                        seen.add(number)
+                        found.append((item_id, 0, at, size))
+        return found
+
 
 def blocks(
     benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", least: int = LEAST_WORDS
@@ -187,8 +216,8 @@ def contaminated(
 
     ``item_id`` is the benchmark item covered best (NULL if none has a tile), equal shares going to the
     smallest id; a document is contaminated from ``coverage`` on. NULL and empty texts are clean. Items of
-    fewer than ``LEAST_WORDS`` words (NULL text included) are no passage and never found; items that repeat
-    count once each. No row moves: the benchmark comes to the documents, block by block if it is large.
+    fewer than ``LEAST_WORDS`` words are found where all of their words stand in a row; those without words
+    (NULL text included) never. Items that repeat count once each. No row moves: the benchmark comes to the documents, block by block if it is large.
     """
     id_type = df.schema[id_column].dataType.simpleString()
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
