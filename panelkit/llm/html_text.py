@@ -39,6 +39,10 @@ DROPPED = frozenset(
     "option picture script search select style svg template textarea title video".split()
 )
 LABELS = ("article", "main")
+#: What a word gains inside an element labelled as an article, and loses outside if the page has one.
+LABEL_BONUS = 1.0
+#: Share of its cost that a tag before labelled text keeps.
+LABEL_TAGS = 0.25
 #: Words in class, id or role that mark what is not part of an article, and those that mark one.
 OTHER_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments complementary consent "
@@ -63,6 +67,7 @@ class Element:
     features: frozenset[str]
     labelled: bool  # stands in what the page itself marks as its article
     dropped: bool
+    marked: bool = False  # stands in any element with such a mark
 
 
 @dataclass(slots=True)
@@ -71,6 +76,7 @@ class Piece:
     element: Element
     tags: int  # since the piece before
     block: int  # number of the block it belongs to
+    kept_tags: int = 0  # of ``tags``, those outside what is dropped
 
 
 def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Element:
@@ -82,12 +88,13 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
     labelled = parent.labelled or (
         tag == label or label == "main" and bool(names & {"main", "articlebody"})
     ) and not dropped
+    marked = parent.marked or (tag in LABELS or bool(names & {"main", "articlebody"})) and not dropped
     if tag == "a":  # links count wherever they are, as menus are full of them
-        return Element(tag, parent.features | {tag}, labelled, dropped)
+        return Element(tag, parent.features | {tag}, labelled, dropped, marked)
     if not dropped and (tag in BLOCKS or names):
         own = {tag} if tag in BLOCKS and tag not in LABELS else set()
-        return Element(tag, parent.features | own | {f".{n}" for n in names if n not in LABELS}, labelled, dropped)
-    return Element(tag, parent.features, labelled, dropped)
+        return Element(tag, parent.features | own | {f".{n}" for n in names if n not in LABELS}, labelled, dropped, marked)
+    return Element(tag, parent.features, labelled, dropped, marked)
 
 
 def pieces_of(source: str) -> tuple[list[Piece], bool]:
@@ -101,7 +108,7 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
     root = Element("", frozenset(), False, False)
     stack, held = [root], Counter()
     pieces: list[Piece] = []
-    tags, block, at = 0, 0, 0
+    tags, kept_tags, block, at = 0, 0, 0, 0
 
     def leave(name: str) -> None:
         while (gone := stack.pop()).tag != name:
@@ -113,8 +120,8 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         end = token.start() if token else len(source)
         if end > at:
             text = source[at:end]
-            pieces.append(Piece(text, stack[-1], tags, block))
-            tags = 0
+            pieces.append(Piece(text, stack[-1], tags, block, kept_tags))
+            tags = kept_tags = 0
         if token is None:
             break
         at = token.end()
@@ -125,6 +132,7 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         tags += 1
         block += tag in BLOCKS
         if closing:
+            kept_tags += not stack[-1].dropped
             if held[tag]:
                 leave(tag)
             continue
@@ -135,6 +143,7 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         if tag == "body" and held["head"]:
             leave("head")
         element = _open(tag, attributes, stack[-1], label)
+        kept_tags += not element.dropped
         if tag in RAW:
             close = lowered.find(f"</{tag}", at)
             at = len(source) if close < 0 else (lowered.find(">", close) + 1 or len(source))
@@ -175,25 +184,25 @@ def main_text(source: str | None, weights: Weights) -> str:
     """The article of one page, a line per block; empty if no words score above zero."""
     if not source:
         return ""
-    pieces, labelled = pieces_of(source)
+    pieces, _ = pieces_of(source)
+    labelled = any(p.element.marked and not p.element.dropped for p in pieces)
     scores, cache = [], {}
     for p in pieces:
         words = 0 if p.element.dropped else len(p.text.split())
-        if words and labelled:
-            words *= weights.word if p.element.labelled else -weights.word
-        elif words:
+        if words:
             key = id(p.element)
             if key not in cache:
-                cache[key] = weights.score(p.element)
+                bonus = (LABEL_BONUS if p.element.marked else -LABEL_BONUS) if labelled else 0.0
+                cache[key] = weights.score(p.element) + bonus
             words *= cache[key]
         scores.append(words)
-    region = best_region(scores, [0.0 if labelled and p.element.labelled else p.tags * weights.tag for p in pieces])
+    region = best_region(scores, [p.kept_tags * weights.tag * (LABEL_TAGS if p.element.marked else 1.0) for p in pieces])
     if region is None:
         return ""
     blocks: list[list[str]] = []
     last = None
     for p in pieces[region[0] : region[1] + 1]:
-        if p.element.dropped or labelled and not p.element.labelled:
+        if p.element.dropped:
             continue
         if p.block != last:
             blocks.append([])
