@@ -13,6 +13,7 @@ from panelkit.llm.html_text import extracted_pages
 from panelkit.llm.language import predicted_languages
 from panelkit.llm.line_dedup import without_recurring_lines
 from panelkit.llm.packing import packed_documents
+from panelkit.llm.ranked_search import ranked
 from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.substring_dedup import without_repeats
 from panelkit.llm.token_files import encoded_documents
@@ -90,11 +91,41 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_dropped", F.sha2("text", 256).alias("kept_sha256"), F.octet_length("text").alias("n_bytes"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH found AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), sizes AS (SELECT doc_id, len(terms) AS n, terms FROM found WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+counts AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sizes) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts CROSS JOIN corpus GROUP BY term
+), items AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * documents) // total)))) AS BIGINT) AS score
+    FROM items JOIN weights USING (term) JOIN counts USING (term) CROSS JOIN corpus GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_language, op3_best_fit_packing, op4_substring_dedup, op5_token_files,
-        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup,
+        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup, op12_ranked_search,
     )
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op12_ranked_search": OP12_SQL}
