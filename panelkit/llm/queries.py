@@ -18,6 +18,7 @@ from panelkit.llm.simhash import near_duplicates
 from panelkit.llm.substring_dedup import without_repeats
 from panelkit.llm.token_files import encoded_documents
 from panelkit.llm.warc import archived_pages
+from panelkit.llm.whitening import whitened
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 4096
@@ -121,11 +122,15 @@ FROM scores WHERE score > 0 QUALIFY rank <= 50
 """
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_language, op3_best_fit_packing, op4_substring_dedup, op5_token_files,
-        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup, op12_ranked_search,
+        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup, op12_ranked_search, op13_whitening,
     )
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op12_ranked_search": OP12_SQL}
