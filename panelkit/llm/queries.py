@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelkit.llm.common import table
 from panelkit.llm.decontamination import contaminated
 from panelkit.llm.exact_dedup import exact_duplicates
+from panelkit.llm.fingerprints import fingerprints
 from panelkit.llm.html_text import extracted_pages
 from panelkit.llm.language import predicted_languages
 from panelkit.llm.line_dedup import without_recurring_lines
@@ -92,6 +93,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_dropped", F.sha2("text", 256).alias("kept_sha256"), F.octet_length("text").alias("n_bytes"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -130,7 +135,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_language, op3_best_fit_packing, op4_substring_dedup, op5_token_files,
-        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup, op12_ranked_search, op13_whitening,
+        op6_warc, op7_simhash, op8_decontamination, op9_html_text, op10_line_dedup, op11_fingerprints, op12_ranked_search, op13_whitening,
     )
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op6_warc": OP6_SQL, "op12_ranked_search": OP12_SQL}
