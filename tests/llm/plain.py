@@ -1,6 +1,8 @@
 """The pipeline's stages in plain Python, over lists of rows."""
 
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +10,6 @@ from tokenizers import Tokenizer
 
 from tests.llm.test_decontamination import plain_tiles
 from tests.llm.test_line_dedup import brute as plain_lines
-from tests.llm.test_simhash import plain_fingerprint
 
 
 def language(rows, benchmark):
@@ -25,15 +26,34 @@ def lines(rows, benchmark):
     return found
 
 
+def shingles(text):
+    """The five-word shingles of a text, its words if there are fewer; only A to Z are lower-cased."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
 def near_duplicates(rows, benchmark):
-    prints = np.array([plain_fingerprint(r["text"]) for r in rows], np.uint64)
-    group = np.array([r["doc_id"] for r in rows])
-    near = [np.flatnonzero(np.bitwise_count(prints ^ p) <= 4) for p in prints]
-    before = None
-    while before is None or (before != group).any():
-        before = group.copy()
-        group = np.array([group[n].min() for n in near])
-    return [r for r, g in zip(rows, group) if r["doc_id"] == g]
+    """Groups joined by texts with a Jaccard similarity of 0.8 or more; pairs come from shared shingles, all of them."""
+    sets, having = [shingles(r["text"]) for r in rows], defaultdict(list)
+    for k, own in enumerate(sets):
+        for shingle in own or [None]:
+            having[shingle].append(k)
+    group = list(range(len(rows)))
+
+    def top(k):
+        while group[k] != k:
+            group[k] = k = group[group[k]]
+        return k
+
+    for k, own in enumerate(sets):
+        for other, shared in Counter(j for shingle in own or [None] for j in having[shingle] if j < k).items():
+            if sets[other] == own or shared >= 0.8 * len(own | sets[other]):
+                a, b = top(k), top(other)
+                group[max(a, b)] = min(a, b)
+    least = {}
+    for k, r in enumerate(rows):
+        least[top(k)] = min(least.get(top(k), r["doc_id"]), r["doc_id"])
+    return [r for k, r in enumerate(rows) if r["doc_id"] == least[top(k)]]
 
 
 def decontamination(rows, benchmark):

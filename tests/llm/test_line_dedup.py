@@ -1,14 +1,15 @@
 import random
 from collections import Counter
 
-from panelkit.llm.line_dedup import COPY_SHARE, DOCUMENTS, LEAST_TOKENS, templates, tokens, without_recurring_lines
+from panelkit.llm.line_dedup import DOCUMENTS, LEAST_TOKENS, templates, tokens, without_recurring_lines
 
 
 def brute(rows):
+    """Templates by the number of distinct texts that have them: copies of a text count once."""
     seen = Counter()
-    for _, text in rows:
+    for text in {text or "" for _, text in rows}:
         seen.update(
-            {t for line in (text or "").split("\n") if len(tokens(line)) >= LEAST_TOKENS for t in templates(tokens(line))}
+            {t for line in text.split("\n") if len(tokens(line)) >= LEAST_TOKENS for t in templates(tokens(line))}
         )
     found = []
     for i, text in rows:
@@ -16,9 +17,6 @@ def brute(rows):
         gone = [
             len(tokens(x)) >= LEAST_TOKENS and any(seen[t] >= DOCUMENTS for t in templates(tokens(x))) for x in lines
         ]
-        sizes = [len(tokens(x)) for x in lines]
-        if sum(s for s, g in zip(sizes, gone) if g) > COPY_SHARE * sum(sizes):
-            gone = [False] * len(lines)
         found.append((i, text if text is None else "\n".join(x for x, g in zip(lines, gone) if not g), sum(gone)))
     return sorted(found, key=str)
 
