@@ -25,6 +25,8 @@ LOAD, LARGER = 3, 16
 LINE = 200
 #: Documents and characters that a part of the order holds at most, about.
 PART_ROWS, PART_CHARS = 1 << 18, 1 << 25
+#: Parts per shuffle partition at least, so that those that get more parts than others do not get many more.
+PARTS_EACH = 4
 
 # Digests have 62 bits, in bits 1 to 62 of a long; the lowest bit is set for those of the version that is subtracted.
 _DIGEST, _TOP = 0x7FFFFFFFFFFFFFFE, 63
@@ -215,7 +217,8 @@ def with_next(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     texts = df.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     texts = texts.withColumn("hash", F.xxhash64("text"))
     n, chars = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    parts = max(1, -(-n // PART_ROWS), -(-chars // PART_CHARS))
+    least = PARTS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(n, max(-(-n // PART_ROWS), -(-chars // PART_CHARS), least)))
     # Ids as they are, NULL first, as in the comparison of structs.
     keys = texts.select("id", "hash").repartitionByRange(parts, F.col("id").asc_nulls_first(), "hash")
     key = F.struct("id", "hash")
