@@ -11,9 +11,11 @@ from panelkit.operators.cleaning import (
     null_if_cast,
     require_not_null,
 )
+from panelkit.sources import batches
 from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON, FeedSpec
 from panelkit.sources.records import read_since
 from panelkit.sources.tables import TableStore, between_years
+from panelkit.sources.versions import Version
 
 
 def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
@@ -29,20 +31,41 @@ def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
     return rows
 
 
+BRONZE = "bronze"
+
+
+def unread_batches(store: TableStore, feed: FeedSpec, reader: Version | None, source: str) -> list[str]:
+    """The batches of a feed's raw table that a table has not taken in, going by the marks in its version."""
+    marks = reader.marks.get(source, {}) if reader else {}
+    return batches.unread(batches.names(store.spark, store.path(BRONZE, feed.table)), marks)
+
+
 def refresh_silver(
-    store: TableStore, feed: FeedSpec, since=None, mode: str = "merge", years: tuple[int, int] | None = None
+    store: TableStore, feed: FeedSpec, since=None, mode: str = "merge", years: tuple[int, int] | None = None, **options
 ) -> None:
-    """Bring a feed's silver table up to date with what arrived since a time (default: today).
+    """Bring a feed's silver table up to date with every batch that it has not taken in yet.
+
+    How far it has come is part of the table's version, so it moves with the rows or not at all: a day without a
+    run, a run over midnight or one that is killed anywhere leaves nothing out and takes nothing in twice.
 
-    ``mode="merge"`` keeps older keys of the years the batch touches, ``"replace"`` lets the batch
-    replace those years. ``years`` (first and last) takes only rows of those, as for a backfill. The table is
-    entered in the catalog.
+    ``since`` reads what arrived from a time on instead, as after a change of the cleaning rules. ``mode="merge"`` keeps older keys of
+    the years a batch touches, ``"replace"`` lets the batch replace those years. ``years`` (first and last) takes only
+    rows of those, as for a backfill. Neither of these moves the mark. The table is entered in the catalog. ``options`` are
+    those of ``upsert_partitions``.
     """
-    bronze = read_since(store.read("bronze", feed.table, feed.bronze_schema), since=since)
+    path, marks = store.path(BRONZE, feed.table), None
+    if since is None:
+        found = unread_batches(store, feed, store.version("silver", feed.table), BRONZE)
+        if not found:
+            return
+        bronze = batches.read(store.spark, path, feed.bronze_schema, found)
+        marks = None if years else {BRONZE: batches.marks_of(found)}
+    else:
+        bronze = read_since(store.read(BRONZE, feed.table, feed.bronze_schema), since=since)
     rows = refine(bronze, feed)
     if years and "year" in rows.columns:
         rows = between_years(rows, *years)
-    store.upsert(rows, "silver", feed.table, mode=mode, keys=_table_keys(feed), schema=feed.silver_schema)
+    store.upsert(rows, "silver", feed.table, mode=mode, keys=_table_keys(feed), schema=feed.silver_schema, marks=marks, **options)
     if store.exists("silver", feed.table):
         store.ensure_table("silver", feed.table)
 

@@ -1,16 +1,18 @@
-"""Parquet tables: layered store with versions, partition-wise writes, intermediate tables.
+"""Parquet tables: layered store with published versions, merges by key, intermediate tables.
 
-A table that is replaced as a whole keeps each version in a folder of its own. Which one counts is told by the
-name of a small marker file, written when the version is complete; nothing is renamed, and
-the version before stays for readers that are still at it until the next one is published.
+A table that is written by this module has versions (see ``versions``): replacing it, merging a batch and replacing a
+slice all write new folders and publish a version that names them and those that stay as they were. Raw
+tables are plain folders of batches, other Parquet folders are read as they are.
 """
 
 from __future__ import annotations
 
 import atexit
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 from uuid import uuid4
+from zlib import crc32
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,35 +20,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from panelkit.operators.cleaning import latest_by
+from panelkit.sources import batches, versions
+from panelkit.sources.storage import delete_folder
+from panelkit.sources.storage import file_system as _files
+from panelkit.sources.versions import Change, ConcurrentWrite, Marks, Version
 
-_VERSIONS = "_versions"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
-    The checkpoint directory that the session has set, else ``spark.checkpoint.dir``. Where neither is set it
-    lies in the warehouse, which all executors share, and is set for the session.
+    The checkpoint directory that the session has set, else ``spark.checkpoint.dir``. Where neither is set a local
+    session gets one in its warehouse; a cluster has to name a folder that its machines share.
     """
     context = spark.sparkContext
     folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
         context.setCheckpointDir(folder)
     return folder
 
 
-def _files(spark: SparkSession, path: str):
-    """The Hadoop file system and path object of an address."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    files, where = _files(spark, path)
-    files.delete(where, True)
-
-
 _frames: dict[str, SparkSession] = {}
 
 
@@ -86,40 +83,13 @@ def between_years(df: DataFrame, first: int, last: int, column: str = "year") ->
     return df.filter(F.col(column).between(first, last))
 
 
-def current_path(spark: SparkSession, path: str) -> str:
-    """Where a table's rows are: in its newest published version, else in the folder itself."""
-    names = _published(spark, path)
-    return f"{path.rstrip('/')}/{names[-1].partition('.')[2]}" if names else path
-
-
-def _published(spark: SparkSession, path: str) -> list[str]:
-    """Markers of the published versions, ``<number>.<folder>``, oldest first."""
-    files, where = _files(spark, f"{path.rstrip('/')}/{_VERSIONS}")
-    if not files.exists(where):
-        return []
-    names = (status.getPath().getName() for status in files.listStatus(where))
-    return sorted(n for n in names if n[0].isdigit())
-
-
-def _publish(spark: SparkSession, path: str, folder: str) -> None:
-    """Make a complete version the current one; of the earlier ones only the last stays."""
-    root, names = path.rstrip("/"), _published(spark, path)
-    number = int(names[-1].partition(".")[0]) + 1 if names else 1
-    files, marker = _files(spark, f"{root}/{_VERSIONS}/{number:012d}.{folder}")
-    files.create(marker, False).close()
-    for name in names[:-1]:
-        delete_folder(spark, f"{root}/{name.partition('.')[2]}")
-        delete_folder(spark, f"{root}/{_VERSIONS}/{name}")
-
-
-def _columns_at(spark: SparkSession, path: str) -> list[str] | None:
-    """Columns of a table, None if there is none; a table that cannot be read is an error."""
-    path = current_path(spark, path)
+def _plain(spark: SparkSession, path: str) -> DataFrame | None:
+    """A folder without versions as a table, None if there is none; one that cannot be read is an error."""
     files, where = _files(spark, path)
     if not files.exists(where):
         return None
     try:
-        return spark.read.parquet(path).columns
+        return batches.read(spark, path)
     except AnalysisException as error:
         if error.getCondition() == "UNABLE_TO_INFER_SCHEMA" and not _has_data(files, where):
             return None
@@ -134,20 +104,17 @@ def _has_data(files, where) -> bool:
     return False
 
 
-def _rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring the rows of a table partition together for writing.
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), marks: Marks | None = None) -> Version:
+    """Replace a table, schema included, by a new version; a write that fails leaves the old one.
 
-    Without it every task would write a file into every partition. Adaptive execution splits a
-    partition that holds much of the data over several tasks, and merges small ones.
+    Of two writers at once the later one's version comes last; both are published.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
 
+    def write(_: Version | None) -> Change:
+        folder, names = versions.write_folder(df, path, partition_by)
+        return Change(folder, df.schema, tuple(partition_by), None, names, marks=marks or {})
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace a table, schema included, by a new version; a write that fails leaves the old one."""
-    folder = f"v-{uuid4().hex}"
-    _rebalanced(df, partition_by).write.partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
-    _publish(df.sparkSession, path, folder)
+    return versions.commit(df.sparkSession, path, write)
 
 
 def _touched(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
@@ -171,63 +138,102 @@ def upsert_partitions(
     keys: Sequence[str] = (),
     order: str = "ingested_at",
     schema: StructType | None = None,
-) -> None:
-    """Write a batch over the partitions it touches and leave all others alone.
+    marks: Marks | None = None,
+    meanwhile: Callable[[], None] | None = None,
+) -> Version | None:
+    """Publish a version with a batch in the partitions it touches and all others as they are.
 
     ``merge`` keeps the newest version per key of old and new rows, also where there is no table yet;
     ``replace`` gives a touched partition exactly the rows of the batch, so that keys missing there go.
     Without the partition column the whole table is merged or replaced. A batch without rows changes
     nothing in a partitioned table. Rows whose partition value is NULL have a partition of their own. ``schema`` is
-    that of the table; without it the footers of its files are opened to find columns added over time.
-    The batch is computed once; partitions are swapped by Spark's commit when all of them are written.
+    that of a table without versions; without it the footers of its files are opened to find columns added over time.
+
+    The batch is computed once. Readers of the version before see it unchanged, and a write that fails leaves it. If another
+    writer publishes first, the merge is made again where it touched the same partitions. ``marks`` (how far other
+    tables have been read) are published by the same file, so they never differ from the rows. ``meanwhile`` is called between
+    writing and publishing, for tests.
     """
     if mode not in ("replace", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "merge" and not keys:
         raise ValueError("merging needs the keys that tell rows apart")
-    spark = df.sparkSession
-    existing = _columns_at(spark, path)
-    partitioned = partition in df.columns
-    if existing is not None and partitioned and partition not in existing:
-        existing = None  # an unpartitioned table gives way to a partitioned one
-    batch = None
-    if mode == "merge":
-        batch = df = checkpointed(latest_by(df, keys, order))
-        if existing is not None:
-            reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-            old = reader.parquet(current_path(spark, path))
-            if partitioned:
-                old = old.withColumn(partition, F.col(partition).cast(df.schema[partition].dataType))
-                old = _touched(old, df, partition)
-            df = latest_by(old.unionByName(df, allowMissingColumns=True), keys, order)
-    if not partitioned or existing is None:
-        overwrite_table(df, path, [partition] if partitioned else [])
-    else:
-        _write_partitions(df, current_path(spark, path), partition)
-    if batch is not None:
-        release(batch)
-
-
-def _write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    writer = _rebalanced(df, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(path)
-
-
-def replace_slice(df: DataFrame, path: str, column: str, value: str | bool | int) -> None:
+    spark, partitioned = df.sparkSession, partition in df.columns
+    by = (partition,) if partitioned else ()
+    batch = checkpointed(latest_by(df, keys, order)) if mode == "merge" else df
+
+    def old_rows(base: Version | None) -> DataFrame | None:
+        if base is not None:
+            return versions.read(spark, path, base)
+        plain = _plain(spark, path)
+        return spark.read.schema(schema).parquet(path) if plain is not None and schema else plain
+
+    def write(base: Version | None) -> Change | None:
+        old = old_rows(base)
+        # Without versions, or with other partitions than now, the table is written as a whole.
+        fits = base is not None and base.partition_by == by and partitioned
+        rows = batch
+        if old is not None and partitioned and partition not in old.columns:
+            old = None  # an unpartitioned table gives way to a partitioned one
+        if old is not None and partitioned:
+            old = old.withColumn(partition, F.col(partition).cast(df.schema[partition].dataType))
+        if old is not None and mode == "merge":
+            kept = _touched(old, batch, partition) if fits else old
+            rows = latest_by(kept.unionByName(batch, allowMissingColumns=True), keys, order)
+        elif old is not None and partitioned and not fits:
+            rows = old.join(batch.select(partition).distinct(), partition, "left_anti").unionByName(batch, allowMissingColumns=True)
+        folder, names = versions.write_folder(rows, path, by)
+        if meanwhile:
+            meanwhile()
+        if not fits:
+            seen = {} if mode == "merge" or partitioned else None
+            return Change(folder, rows.schema, by, None, names, seen, marks or {})
+        if not names and not marks:
+            delete_folder(spark, f"{path.rstrip('/')}/{folder}")
+            return None
+        seen = {name: base.folder_of(name) for name in names} if mode == "merge" else None
+        return Change(folder, rows.schema, by, frozenset(names), names, seen, marks or {})
+
+    try:
+        return versions.commit(spark, path, write)
+    finally:
+        if batch is not df:
+            release(batch)
+
+
+def _value_in(name: str) -> str:
+    """The value in a partition's name, as text."""
+    return unquote(name.partition("=")[2])
+
+
+def replace_slice(df: DataFrame, path: str, column: str, value: str | bool | int) -> Version:
     """Replace the rows of one partition value by the given rows; running it again changes nothing.
 
-    The rows are computed and written aside first, so they may come from the slice itself, and a failure leaves
-    the slice as it was. An empty frame leaves it empty.
+    The rows may come from the slice itself: the version before stays until the new one is published, and a failure leaves
+    it. An empty frame leaves the slice empty. If another writer changes the slice in the meantime it is an error, as the
+    rows may come from what the slice held before.
     """
-    spark = df.sparkSession
-    rows = checkpointed(df.filter(F.col(column) == value))
-    where = current_path(spark, path)
-    if rows.isEmpty():
-        text = str(value).lower() if isinstance(value, bool) else str(value)
-        delete_folder(spark, f"{where.rstrip('/')}/{column}={text}")
-    else:
-        _write_partitions(rows, where, column)
-    release(rows)
+    spark, text = df.sparkSession, str(value).lower() if isinstance(value, bool) else str(value)
+    started = versions.current(spark, path)
+    if started is None or started.partition_by != (column,):
+        raise ValueError(f"{path} is no table with versions partitioned by {column}")
+    before = {f.partition("/")[2]: f for f in started.folders if _value_in(f.partition("/")[2]) == text}
+    rows, tried = df.filter(F.col(column) == value), []
+
+    def write(base: Version | None) -> Change:
+        if tried:
+            raise ConcurrentWrite(f"the rows of {column}={text} at {path} were changed by another writer")
+        tried.append(base)
+        folder, names = versions.write_folder(rows, path, (column,))
+        touched = frozenset({*before, *names})
+        seen = {name: before.get(name) for name in touched}
+        change = Change(folder, rows.schema, (column,), touched, names, seen)
+        if not change.holds(base):
+            delete_folder(spark, f"{path.rstrip('/')}/{folder}")
+            raise ConcurrentWrite(f"the rows of {column}={text} at {path} were changed by another writer")
+        return change
+
+    return versions.commit(spark, path, write)
 
 
 @dataclass(frozen=True)
@@ -241,17 +247,24 @@ class TableStore:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
     def exists(self, layer: str, name: str) -> bool:
-        return _columns_at(self.spark, self.path(layer, name)) is not None
+        return self.version(layer, name) is not None or _plain(self.spark, self.path(layer, name)) is not None
+
+    def version(self, layer: str, name: str) -> Version | None:
+        """The current version of a table; None if it has none."""
+        return versions.current(self.spark, self.path(layer, name))
 
-    def read(self, layer: str, name: str, schema: StructType | None = None, **types: str) -> DataFrame:
-        """A table as it is now.
+    def read(
+        self, layer: str, name: str, schema: StructType | None = None, version: int | None = None, **types: str
+    ) -> DataFrame:
+        """A table as it is now, or as it was in the version before that is named by its number.
 
-        With a ``schema``, columns missing in older files are NULL and no file is opened for
-        planning. Without one, the schemas of all files are merged, which opens every file.
+        What has been read stays as it is while others publish, until the version after the next one. Columns missing in
+        older files are NULL. A plain folder without ``schema`` is opened file by file to merge the schemas.
         ``types`` sets the type of partition columns where their folder names do not tell.
         """
-        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
-        table = reader.parquet(current_path(self.spark, self.path(layer, name)))
+        path = self.path(layer, name)
+        at = versions.current(self.spark, path) if version is None else versions.version(self.spark, path, version)
+        table = versions.read(self.spark, path, at, schema) if at else batches.read(self.spark, path, schema)
         return table.withColumns({c: F.col(c).cast(t) for c, t in types.items()}) if types else table
 
     def overwrite(self, df: DataFrame, layer: str, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -269,18 +282,46 @@ class TableStore:
         )
 
     def ensure_table(self, layer: str, name: str) -> None:
-        """Enter the table's current version in the catalog, with all its partitions.
+        """Enter the table's current version in the catalog, under the table's name.
 
-        The entry holds no data: it is made anew, so that it has the columns of the version.
+        The name is a view of a table that stands for the version, with the folders of its partitions. Replacing the view is one
+        step, so the name is always there and never half of a version, and its columns may change.
         """
         self.ensure_database(layer)
-        qualified = f"`{layer}`.`{name}`"
-        location = current_path(self.spark, self.path(layer, name))
-        self.spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-        self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{location}'")
-        if any(column.isPartition for column in self.spark.catalog.listColumns(qualified)):
-            self.spark.catalog.recoverPartitions(qualified)
-        self.spark.catalog.refreshTable(qualified)
+        path, at = self.path(layer, name), self.version(layer, name)
+        listed = {t.name: t.tableType for t in self.spark.catalog.listTables(f"`{layer}`") if not t.isTemporary}
+        # Tables of another root may have the same name.
+        mark = f"_{crc32(path.encode()):08x}"
+        own = f"{name}__v{at.number if at else 0}{mark}"
+        if at is None:
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS `{layer}`.`{own}` USING parquet LOCATION '{path}'")
+            if any(c.isPartition for c in self.spark.catalog.listColumns(f"`{layer}`.`{own}`")):
+                self.spark.catalog.recoverPartitions(f"`{layer}`.`{own}`")
+        elif own.lower() not in {n.lower() for n in listed}:
+            self._enter(layer, own, path, at)
+        if listed.get(name, "VIEW") != "VIEW":
+            self.spark.sql(f"DROP TABLE `{layer}`.`{name}`")
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(f"`{layer}`.`{own}`").columns if not c.startswith(batches.BATCH))
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.`{name}` AS SELECT {columns} FROM `{layer}`.`{own}`")
+        for old in listed:
+            number = old.removesuffix(mark).rpartition("__v")[2]
+            if old.lower().startswith(f"{name}__v".lower()) and old.endswith(mark) and at and int(number) < at.number - 1:
+                self.spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{old}`")
+
+    def _enter(self, layer: str, own: str, path: str, at: Version) -> None:
+        root, by = path.rstrip("/"), at.partition_by
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in at.schema.fields)
+        parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+        where = root if by else f"{root}/{at.folders[0]}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS `{layer}`.`{own}` ({fields}) USING parquet {parts} LOCATION '{where}'")
+        specs = []
+        for folder in at.folders if by else ():
+            values = [_value_in(part) for part in folder.split("/")[1:]]
+            quoted = ["null" if v == _NO_VALUE else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+            spec = ", ".join(f"`{c}` = {v}" for c, v in zip(by, quoted))
+            specs.append(f"PARTITION ({spec}) LOCATION '{root}/{folder}'")
+        if specs:
+            self.spark.sql(f"ALTER TABLE `{layer}`.`{own}` ADD IF NOT EXISTS {' '.join(specs)}")
 
     def register_views(self, layer: str, names: Sequence[str]) -> None:
         """Make tables queryable with ``spark.sql`` under their own names, prefixed by the layer."""

@@ -1,19 +1,23 @@
 """Raw messages to bronze tables with Structured Streaming.
 
-Stateless: each micro-batch is parsed, stamped and appended without a shuffle. The checkpoint
-and the file sink's log together make a rerun continue where the last one stopped.
+Stateless: each micro-batch is parsed and stamped without a shuffle and written into a folder of its own, named by the stream
+and the batch's number. A batch that is run again after a failure finds its folder finished or writes it anew, so a
+rerun continues where the last one stopped and no row comes twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from panelkit.sources.batches import batch_name, finished
 from panelkit.sources.feeds import BAD_RECORD, INGESTED_AT, INGESTED_ON, FeedSpec
 from panelkit.sources.records import parse_json_records, stamp_ingested
+from panelkit.sources.storage import read_text
 from panelkit.sources.tables import TableStore
 
 
@@ -36,20 +40,35 @@ def parse_stream(messages: DataFrame, feed: FeedSpec, compat: bool = False) -> D
     return stamp_ingested(parse_json_records(messages, feed.schema, feed.mapping, compat=compat, raw_out=BAD_RECORD))
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """What tells a stream from others: its id, which Spark keeps in the checkpoint for as long as that is there."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"].replace("-", "")
+
+
+def write_batch(rows: DataFrame, path: str, stream: str, number: int, partition_by: Sequence[str] = ()) -> None:
+    """Write one micro-batch into its folder; one that is finished is left as it is."""
+    spark, folder = rows.sparkSession, batch_name(stream, number)
+    if not finished(spark, path, folder):
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything not yet processed to a Parquet table, then stop.
+    """Append everything not yet processed to a Parquet table of batches, then stop.
 
-    Stamped rows are partitioned by the day they came, so that reading what is new opens no older file.
+    Stamped rows are partitioned by the day they came, so that reading a time opens no older file.
     """
     by_day = [INGESTED_ON] if INGESTED_AT in df.columns else []
     rows = df.withColumn(INGESTED_ON, F.to_date(INGESTED_AT)) if by_day else df
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_batch(batch, path, _stream_id(batch.sparkSession, checkpoint), number, by_day)
+
     return (
-        rows.writeStream.format("parquet")
+        rows.writeStream.foreachBatch(write)
         .outputMode("append")
-        .partitionBy(*by_day)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )
 
 
