@@ -96,32 +96,15 @@ def densify(
     return grid.join(df, [entity, period], "left").fillna(dict(fills))
 
 
-def averages_panel(
-    sources: Sequence[tuple[DataFrame, Mapping[str, str | tuple[str, str]]]], keys: Sequence[str]
-) -> DataFrame:
+def averages_panel(sources: Sequence[tuple[DataFrame, Mapping[str, str]]], keys: Sequence[str]) -> DataFrame:
     """Means of several sources side by side for every key found in any of them.
 
-    ``sources`` pairs a frame with {output column: source column}; for rows that stand for several, the
-    source is a pair of columns with their sum and the number of values in it. Rows with an unknown key
+    ``sources`` pairs a frame with {output column: source column}. Rows with an unknown key
     are left out. A mean ignores NULL, so the sources can be stacked and averaged in one pass.
     """
-
-    def part(out: str, source: str | tuple[str, str]) -> list[Column]:
-        if isinstance(source, str):
-            return [F.col(source).alias(out)]
-        return [F.col(source[0]).cast("double").alias(out), F.col(source[1]).alias(f"_n_{out}")]
-
-    rows = [
-        require_not_null(s, keys).select(*keys, *[c for o, source in cols.items() for c in part(o, source)])
-        for s, cols in sources
-    ]
+    rows = [require_not_null(s, keys).select(*keys, *[F.col(c).alias(o) for o, c in cols.items()]) for s, cols in sources]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-    means = [
-        (F.avg(o) if isinstance(source, str) else F.try_divide(F.sum(o), F.sum(f"_n_{o}"))).alias(o)
-        for _, cols in sources
-        for o, source in cols.items()
-    ]
-    return stacked.groupBy(*keys).agg(*means)
+    return stacked.groupBy(*keys).agg(*[F.avg(o).alias(o) for _, cols in sources for o in cols])
 
 
 def sum_with_labels(

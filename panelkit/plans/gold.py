@@ -120,23 +120,15 @@ def conflict_features(conflict_events: DataFrame) -> DataFrame:
     return category_features(conflict_events, PLACE_YEAR, "admin_level", "event_type", CONFLICT_FEATURES)
 
 
-def poverty_features(
-    povertyrate: DataFrame, mpm: DataFrame, extreme_poverty: DataFrame, counted: bool = False
-) -> DataFrame:
-    """National poverty measures of three sources.
-
-    With ``counted`` the rates come summed up, each with the number of its values in a column ``<rate>_n``.
-    """
+def poverty_features(povertyrate: DataFrame, mpm: DataFrame, extreme_poverty: DataFrame) -> DataFrame:
+    """National poverty measures of three sources."""
 
     def yearly(df: DataFrame) -> DataFrame:
         return df.withColumn("year", F.col("year").cast("int"))
 
     return averages_panel(
         [
-            (
-                yearly(povertyrate.filter("admin_level = 0")),
-                {out: (rate, f"{rate}_n") if counted else rate for out, rate in POVERTY_RATES.items()},
-            ),
+            (yearly(povertyrate.filter("admin_level = 0")), POVERTY_RATES),
             (yearly(mpm), {"mpm": "mpm_value"}),
             (yearly(extreme_poverty), {"ext_pov": "extreme_poverty_value"}),
         ],

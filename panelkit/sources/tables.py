@@ -24,6 +24,7 @@ from panelkit.sources import batches, versions
 from panelkit.sources.storage import delete_folder
 from panelkit.sources.storage import file_system as _files
 from panelkit.sources.versions import Change, ConcurrentWrite, Marks, Version
+from panelkit.sources.versions import rebalanced as _rebalanced  # noqa: F401
 
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 

@@ -103,13 +103,11 @@ ROUNDED_SQL = f"""
 
 
 def _facts(spark: SparkSession, d: str) -> DataFrame:
-    """Lines and orders are read once each for the features, once more for the appeals."""
+    """The reports are written as they are, one row per line, so that lines are read once for the features."""
     reports, yearly = checkpointed(place_reports(spark, d)), checkpointed(nation_year(spark, d))
     return gold.country_fact(
         gold.conflict_features(conflict_events(spark, d, reports)),
-        gold.poverty_features(
-            povertyrate(spark, d, reports), wb_mpm(spark, d, reports), wb_extreme_poverty(spark, d, reports), counted=True
-        ),
+        gold.poverty_features(povertyrate(spark, d, reports), wb_mpm(spark, d, reports), wb_extreme_poverty(spark, d, reports)),
         gold.food_security_features(foodsecurity(spark, d, reports)),
         gold.funding_features(funding(spark, d)),
         wb_population(spark, d, yearly),

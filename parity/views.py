@@ -240,25 +240,18 @@ VIEW_SQL["place_reports"] = """
 
 
 def place_reports(spark: SparkSession, d: str) -> DataFrame:
-    """Lines as reports from the supplier's nation; reports that differ in their quantity only are one row.
-
-    ``n`` reports with a quantity of ``qty`` together and ``most`` at most. All that the tables below say
-    of a report can be said of such rows, of which there are few, however many lines there are.
-    """
+    """Every line as a report from the supplier's nation."""
     lines = table(spark, d, "lineitem").select(
         "l_suppkey",
         F.year("l_shipdate").alias("year"),
         F.col("l_linenumber").alias("line"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_linestatus").alias("status"),
-        whole("l_quantity").alias("_qty"),
+        whole("l_quantity").alias("qty"),
         cents("l_tax").alias("tax"),
         cents("l_discount").alias("discount"),
     )
-    placed = at_place(lines, spark, d, "supplier", "l_suppkey").drop("l_suppkey")
-    return placed.groupBy("location_code", "year", "line", "flag", "status", "tax", "discount").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_qty").alias("qty"), F.max("_qty").alias("most")
-    )
+    return at_place(lines, spark, d, "supplier", "l_suppkey").drop("l_suppkey")
 
 
 BUILT_ON["conflict_events"] = ("place_reports",)
@@ -278,9 +271,7 @@ def conflict_events(spark: SparkSession, d: str, reports: DataFrame | None = Non
     kind = F.when(flag == "R", "political_violence").when(flag == "A", "civilian_targeting")
     return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.col("line").alias("admin_level"), F.col("qty").alias("events"),
-        (
-            F.nullif("tax", F.lit(0)) * F.col("n")
-        ).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
+        F.nullif("tax", F.lit(0)).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
     )
 
 
@@ -295,13 +286,13 @@ VIEW_SQL["foodsecurity"] = """
 
 
 def foodsecurity(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
-    """Line numbers play phases; the flag tells national from regional reports. The largest of equal reports."""
+    """Line numbers play phases; the flag tells national from regional reports."""
     phases = F.array(*[F.lit(p) for p in ("1", "2", "3", "3+", "4", "5", "all")])
     return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
         F.element_at(phases, F.col("line")).alias("ipc_phase"),
         F.when(F.col("status") == "O", "current").otherwise("first projection").alias("ipc_type"),
-        F.col("most").alias("population_in_phase"),
+        F.col("qty").alias("population_in_phase"),
     )
 
 
@@ -318,8 +309,7 @@ VIEW_SQL["needs"] = """
 
 
 def needs(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
-    """Line numbers play population statuses, flags categories (empty and NULL among them). The largest of
-    equal reports."""
+    """Line numbers play population statuses, flags categories (empty and NULL among them)."""
     line, flag = F.col("line"), F.col("flag")
     status = (
         F.when(line == 1, "AFF").when(line.isin(2, 3), "INN").when(line == 4, "TGT").when(line == 5, "REA")
@@ -333,7 +323,7 @@ def needs(spark: SparkSession, d: str, reports: DataFrame | None = None) -> Data
         F.when(F.col("discount") < 8, 0).otherwise(1).alias("admin_level"),
         F.when(F.col("tax") < 6, "Intersectoral").otherwise("Food").alias("sector_code"),
         status.otherwise("OTH").alias("population_status"), category.alias("category"),
-        (F.col("most") * (F.col("tax") + 1)).alias("population"),
+        (F.col("qty") * (F.col("tax") + 1)).alias("population"),
     )
 
 
@@ -346,13 +336,11 @@ VIEW_SQL["povertyrate"] = """
 
 
 def povertyrate(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
-    """Measures as sums over equal reports, each with the number of values in it."""
-    n, tax, discount = F.col("n"), F.nullif("tax", F.lit(0)), F.col("discount")
+    tax, discount = F.col("tax"), F.col("discount")
     return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
-        (discount * n).alias("mpi"), n.alias("mpi_n"), F.col("qty").alias("headcount_ratio"), n.alias("headcount_ratio_n"),
-        (tax * n).alias("vulnerable_to_poverty"), F.when(tax.isNotNull(), n).alias("vulnerable_to_poverty_n"),
-        ((F.col("tax") + discount) * n).alias("in_severe_poverty"), n.alias("in_severe_poverty_n"),
+        discount.alias("mpi"), F.col("qty").alias("headcount_ratio"),
+        F.nullif(tax, F.lit(0)).alias("vulnerable_to_poverty"), (tax + discount).alias("in_severe_poverty"),
     )
 
 
@@ -364,7 +352,7 @@ VIEW_SQL["wb_mpm"] = """
 
 def wb_mpm(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
     return (reports or place_reports(spark, d)).filter("status = 'O'").groupBy("location_code", "year").agg(
-        (F.sum(F.col("discount") * F.col("n")) / F.sum("n")).alias("mpm_value")
+        (F.sum("discount") / F.count(F.lit(1))).alias("mpm_value")
     )
 
 
@@ -376,7 +364,7 @@ VIEW_SQL["wb_extreme_poverty"] = """
 
 def wb_extreme_poverty(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
     return (reports or place_reports(spark, d)).filter("status = 'F'").groupBy("location_code", "year").agg(
-        (F.sum(F.col("tax") * F.col("n")) / F.sum("n")).alias("extreme_poverty_value")
+        (F.sum("tax") / F.count(F.lit(1))).alias("extreme_poverty_value")
     )
 
 
