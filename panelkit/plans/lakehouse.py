@@ -19,9 +19,11 @@ from panelkit.operators.reports import (
     summarise,
 )
 from panelkit.plans import gold
+from panelkit.plans.incremental import PANELS, refresh_facts
 from panelkit.plans.quarantine import refresh_quarantine
 from panelkit.plans.silver import refresh_all_silver
 from panelkit.sources.feeds import FEEDS
+from panelkit.sources.storage import delete_folder
 from panelkit.sources.tables import TableStore, checkpointed, release
 from panelkit.streaming.ingest import start_ingest
 
@@ -50,8 +52,11 @@ def _publish(
     return store.read(layer, name, None if partition_by else schema)
 
 
-def refresh_features(store: TableStore) -> None:
-    """Feature tables, country facts and host pressure; each is written once and read back."""
+def refresh_features(store: TableStore, anew: bool = False) -> None:
+    """Feature tables and country facts where silver has changed, then displacement, hosts and their pressure.
+
+    ``anew`` makes the facts from the whole of silver, as after a refresh that took rows away.
+    """
 
     def silver(name):
         return _silver(store, name)
@@ -59,24 +64,14 @@ def refresh_features(store: TableStore) -> None:
     def publish(name, df, partition_by=()):
         return _publish(store, name, df, partition_by)
 
-    conflict = publish("gold_conflict_features", gold.conflict_features(silver("conflict_events")))
-    poverty = publish(
-        "gold_poverty_features",
-        gold.poverty_features(
-            silver("povertyrate"), silver("worldbank_mpm"), silver("worldbank_extreme_poverty")
-        ),
-    )
-    food = publish("gold_food_security_features", gold.food_security_features(silver("foodsecurity")))
-    funding = publish("gold_funding_features", gold.funding_features(silver("funding")))
+    if anew:
+        for panel in PANELS:
+            delete_folder(store.spark, store.path("gold", panel.table))
+    for made in refresh_facts(store).values():
+        release(made)
     displaced = publish("gold_displacement", gold.displacement(silver("population"), silver("solutions")))
     hosts = publish("gold_host_aggregates", gold.host_aggregates(displaced))
-    facts = publish(
-        "gold_country_fact",
-        gold.country_fact(
-            conflict, poverty, food, funding, silver("worldbank_population"), silver("worldbank_gdp"),
-            silver("location"),
-        ),
-    )
+    facts = store.read("gold", "gold_country_fact")
     publish(PRESSURE_TABLE, gold.host_pressure_indices(hosts, facts), ["is_forecast"])
 
 
@@ -139,7 +134,7 @@ def refresh_all(store: TableStore, since=None, mode: str = "merge", years: tuple
     ``years`` (first and last) limits the rows that go to silver, as for a backfill.
     """
     refresh_all_silver(store, since, mode, years)
-    refresh_features(store)
+    refresh_features(store, anew=mode == "replace")
     run = refresh_pressure_forecast(store)
     refresh_aid(store)
     refresh_reports(store, run)

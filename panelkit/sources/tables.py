@@ -131,6 +131,14 @@ def _touched(old: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
     return known.unionByName(old.filter(F.col(partition).isNull())) if unknown else known
 
 
+def _joined(old: DataFrame, batch: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
+    """One row per key: the newest by ``order``, or without it the batch's where it has one."""
+    if order:
+        return latest_by(old.unionByName(batch, allowMissingColumns=True), keys, order)
+    both = old.withColumn("_new", F.lit(False)).unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    return latest_by(both, keys, "_new").drop("_new")
+
+
 def upsert_partitions(
     df: DataFrame,
     path: str,
@@ -144,20 +152,22 @@ def upsert_partitions(
 ) -> Version | None:
     """Publish a version with a batch in the partitions it touches and all others as they are.
 
-    ``merge`` keeps the newest version per key of old and new rows, also where there is no table yet;
+    ``merge`` keeps the newest version per key of old and new rows, also where there is no table yet; ``override`` lets
+    every row of the batch stand for the old one of its key, whatever its age;
     ``replace`` gives a touched partition exactly the rows of the batch, so that keys missing there go.
     Without the partition column the whole table is merged or replaced. A batch without rows changes
     nothing in a partitioned table. Rows whose partition value is NULL have a partition of their own. ``schema`` is
     that of a table without versions; without it the footers of its files are opened to find columns added over time.
 
-    The batch is computed once. Readers of the version before see it unchanged, and a write that fails leaves it. If another
+    The batch is computed once; one that overrides should be a written frame. Readers of the version before see it unchanged, and a write that fails leaves it. If another
     writer publishes first, the merge is made again where it touched the same partitions. ``marks`` (how far other
     tables have been read) are published by the same file, so they never differ from the rows. ``meanwhile`` is called between
     writing and publishing, for tests.
     """
-    if mode not in ("replace", "merge"):
+    if mode not in ("replace", "merge", "override"):
         raise ValueError(f"unknown mode {mode!r}")
-    if mode == "merge" and not keys:
+    keyed = mode != "replace"
+    if keyed and not keys:
         raise ValueError("merging needs the keys that tell rows apart")
     spark, partitioned = df.sparkSession, partition in df.columns
     by = (partition,) if partitioned else ()
@@ -178,21 +188,21 @@ def upsert_partitions(
             old = None  # an unpartitioned table gives way to a partitioned one
         if old is not None and partitioned:
             old = old.withColumn(partition, F.col(partition).cast(df.schema[partition].dataType))
-        if old is not None and mode == "merge":
+        if old is not None and keyed:
             kept = _touched(old, batch, partition) if fits else old
-            rows = latest_by(kept.unionByName(batch, allowMissingColumns=True), keys, order)
+            rows = _joined(kept, batch, keys, order if mode == "merge" else None)
         elif old is not None and partitioned and not fits:
             rows = old.join(batch.select(partition).distinct(), partition, "left_anti").unionByName(batch, allowMissingColumns=True)
         folder, names = versions.write_folder(rows, path, by)
         if meanwhile:
             meanwhile()
         if not fits:
-            seen = {} if mode == "merge" or partitioned else None
+            seen = {} if keyed or partitioned else None
             return Change(folder, rows.schema, by, None, names, seen, marks or {})
         if not names and not marks:
             delete_folder(spark, f"{path.rstrip('/')}/{folder}")
             return None
-        seen = {name: base.folder_of(name) for name in names} if mode == "merge" else None
+        seen = {name: base.folder_of(name) for name in names} if keyed else None
         return Change(folder, rows.schema, by, frozenset(names), names, seen, marks or {})
 
     try:

@@ -262,6 +262,11 @@ VIEW_SQL["conflict_events"] = """
   FROM place_reports"""
 
 
+def _came(reports: DataFrame | None) -> list[str]:
+    """The time of ingestion, where the reports have one."""
+    return [c for c in ("ingested_at",) if reports is not None and c in reports.columns]
+
+
 def conflict_events(spark: SparkSession, d: str, reports: DataFrame | None = None) -> DataFrame:
     """Line numbers play administrative levels, return flags kinds of events.
 
@@ -272,6 +277,7 @@ def conflict_events(spark: SparkSession, d: str, reports: DataFrame | None = Non
     return (reports or place_reports(spark, d)).select(
         "location_code", "year", F.col("line").alias("admin_level"), F.col("qty").alias("events"),
         F.nullif("tax", F.lit(0)).alias("fatalities"), kind.otherwise("demonstration").alias("event_type"),
+        *_came(reports),
     )
 
 
@@ -292,7 +298,7 @@ def foodsecurity(spark: SparkSession, d: str, reports: DataFrame | None = None)
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
         F.element_at(phases, F.col("line")).alias("ipc_phase"),
         F.when(F.col("status") == "O", "current").otherwise("first projection").alias("ipc_type"),
-        F.col("qty").alias("population_in_phase"),
+        F.col("qty").alias("population_in_phase"), *_came(reports),
     )
 
 
@@ -341,6 +347,7 @@ def povertyrate(spark: SparkSession, d: str, reports: DataFrame | None = None) -
         "location_code", "year", F.when(F.col("flag") == "N", 1).otherwise(0).alias("admin_level"),
         discount.alias("mpi"), F.col("qty").alias("headcount_ratio"),
         F.nullif(tax, F.lit(0)).alias("vulnerable_to_poverty"), (tax + discount).alias("in_severe_poverty"),
+        *_came(reports),
     )
 
 
