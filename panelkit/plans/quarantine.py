@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelkit.operators.allocation import rejected_periods
 from panelkit.operators.cleaning import require_not_null, unparsed_periods
 from panelkit.operators.forest import ForestSpec, prepare_features, skipped_rows
-from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON
+from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON, UNKNOWN
 from panelkit.sources.records import read_since
 from panelkit.sources.tables import TableStore
 
@@ -41,7 +41,7 @@ def refresh_quarantine(store: TableStore, since=None, pressure: tuple[str, Fores
         parts.append(rejected(bad, f"{feed.table}.bad_json"))
         good = require_not_null(
             bronze.filter(F.col(BAD_RECORD).isNull()), feed.not_null
-        ).drop(BAD_RECORD, INGESTED_ON, "ingested_at")
+        ).drop(BAD_RECORD, UNKNOWN, INGESTED_ON, "ingested_at")
         if feed.year_rule == "period_span":
             parts.append(rejected(unparsed_periods(good, *_PERIOD), f"{feed.table}.unparsed_period"))
     if store.exists("silver", "funding"):

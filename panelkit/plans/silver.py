@@ -12,15 +12,17 @@ from panelkit.operators.cleaning import (
     require_not_null,
 )
 from panelkit.sources import batches
-from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON, FeedSpec
-from panelkit.sources.records import read_since
+from panelkit.sources.feeds import BAD_RECORD, FEEDS, INGESTED_ON, UNKNOWN, FeedSpec
+from panelkit.sources.records import read_since, typed_fields
 from panelkit.sources.tables import TableStore, between_years
 from panelkit.sources.versions import Version
 
 
 def refine(bronze: DataFrame, feed: FeedSpec) -> DataFrame:
-    """The silver rows of a batch of bronze rows."""
-    rows = bronze.drop(BAD_RECORD, INGESTED_ON)
+    """The silver rows of a batch of bronze rows; fields that came before the feed's schema had them are among them."""
+    if UNKNOWN in bronze.columns:
+        bronze = typed_fields(bronze, feed.schema, feed.mapping, UNKNOWN)
+    rows = bronze.drop(BAD_RECORD, UNKNOWN, INGESTED_ON)
     if feed.placeholder_ints:
         rows = null_if_cast(rows, feed.placeholder_ints, "int")
     rows = latest_by(require_not_null(rows, feed.not_null), feed.keys, "ingested_at")

@@ -5,6 +5,7 @@ from panelkit.sources.records import (
     parse_json_records,
     read_since,
     stamp_ingested,
+    typed_fields,
     unreadable_pages,
     unwrap_records,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "parse_json_records",
     "read_since",
     "stamp_ingested",
+    "typed_fields",
     "unreadable_pages",
     "unwrap_records",
 ]

@@ -11,11 +11,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Literal
 
-from pyspark.sql.types import DataType, DateType, IntegerType, StringType, StructType, TimestampType
+from pyspark.sql.types import DataType, DateType, IntegerType, StringType, StructType, TimestampType, VariantType
 
-# Columns of raw tables besides those of the feed: the text of a record that is no JSON, when a record came, and
-# the day of that, by which the tables are partitioned.
-BAD_RECORD, INGESTED_AT, INGESTED_ON = "bad_record", "ingested_at", "ingested_on"
+# Columns of raw tables besides those of the feed: the text of a record that is no JSON, fields that the feed's schema
+# did not know, when a record came, and the day of that, by which the tables are partitioned.
+BAD_RECORD, UNKNOWN, INGESTED_AT, INGESTED_ON = "bad_record", "unknown_fields", "ingested_at", "ingested_on"
 
 YearRule = Literal["native", "period_start", "period_span", "none"]
 
@@ -44,14 +44,15 @@ class FeedSpec:
         table = StructType()
         for path, name in self.mapping.items():
             table.add(name, type_at(self.schema, path))
-        return table.add(BAD_RECORD, StringType()).add(INGESTED_AT, TimestampType()).add(INGESTED_ON, DateType())
+        table = table.add(BAD_RECORD, StringType()).add(UNKNOWN, VariantType())
+        return table.add(INGESTED_AT, TimestampType()).add(INGESTED_ON, DateType())
 
     @property
     def silver_schema(self) -> StructType:
         """Schema of the cleaned table."""
         table = StructType()
         for column in self.bronze_schema.fields:
-            if column.name in (BAD_RECORD, INGESTED_ON):
+            if column.name in (BAD_RECORD, UNKNOWN, INGESTED_ON):
                 continue
             table.add(column.name, IntegerType() if column.name in self.placeholder_ints else column.dataType)
         parts = {"period_start": ("year", "month", "day"), "period_span": ("year",)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime
 from functools import reduce
 
@@ -30,6 +30,7 @@ def parse_json_records(
     column: str = "value",
     compat: bool = False,
     raw_out: str | None = None,
+    rest_out: str | None = None,
 ) -> DataFrame:
     """Read one JSON record per row and project it: ``mapping`` takes JSON paths to column names.
 
@@ -39,24 +40,73 @@ def parse_json_records(
     strings lose their quotes (which breaks records with leading zeros).
 
     A record that is not valid JSON gives NULL in every column. ``raw_out`` keeps the text of
-    exactly those records, so they can be counted or set aside; finding them takes another look
-    at every text.
+    exactly those records, so they can be counted or set aside. ``rest_out`` keeps the fields that the schema does not know,
+    as a variant (NULL if there are none), for ``typed_fields`` to read when the schema has learned them. With either of them
+    records are parsed into variants, once, and everything is taken from these.
     """
     text = F.col(column).cast("string")
     if compat:
         text = F.regexp_replace(F.regexp_replace(text, "'", "*"), r'"(\d+)"', "$1")
+    whole = bool(rest_out or (raw_out and not compat))
     # Two projections: reading the fields off the call itself would parse the text once per field.
-    record = F.from_json("_text", schema if compat else _as_text(schema))
+    record = F.try_parse_json("_text") if whole else F.from_json("_text", schema if compat else _as_text(schema))
     parsed = df.select(text.alias("_text")).select("_text", record.alias("_record"))
-    values = [_nested(F.col("_record"), path) for path in mapping]
-    if not compat:
+    if whole:
+        values = [F.try_variant_get("_record", _variant_path(path), "string") for path in mapping]
+    else:
+        values = [_nested(F.col("_record"), path) for path in mapping]
+    if whole or not compat:
         values = [v.try_cast(type_at(schema, path)) for v, path in zip(values, mapping)]
     columns = [v.alias(name) for v, name in zip(values, mapping.values())]
     if raw_out:
-        columns.append(F.when(F.try_parse_json("_text").isNull(), F.col("_text")).alias(raw_out))
+        valid = F.col("_record") if whole else F.try_parse_json("_text")
+        columns.append(F.when(valid.isNull(), F.col("_text")).alias(raw_out))
+    if rest_out:
+        columns.append(_unknown_fields(F.col("_record"), schema).alias(rest_out))
     return parsed.select(*columns)
 
 
+def _variant_path(path: str) -> str:
+    return "$" + "".join(f"['{name}']" for name in path.split("."))
+
+
+def _unknown_fields(record: Column, schema: StructType) -> Column:
+    """The fields of a record that a schema does not have, as an object; a field is kept whole if it has unknown ones."""
+    entries = F.try_variant_get(record, "$", "map<string, variant>")
+
+    def unknown(fields: Column, known: StructType) -> Callable[[Column, Column], Column]:
+        nested = {f.name: f.dataType for f in known.fields if isinstance(f.dataType, StructType)}
+        plain = [f.name for f in known.fields if f.name not in nested]
+
+        def keep(name: Column, value: Column) -> Column:
+            found = ~name.isin(*plain) if plain else F.lit(True)
+            for own, kind in nested.items():
+                inner = F.try_variant_get(value, "$", "map<string, variant>")
+                more = F.size(F.map_filter(inner, unknown(inner, kind))) > 0
+                found = F.when(name == own, F.coalesce(more, F.lit(False))).otherwise(found)
+            return found
+
+        return keep
+
+    rest = F.map_filter(entries, unknown(entries, schema))
+    return F.when(F.size(rest) > 0, F.to_variant_object(rest))
+
+
+def typed_fields(df: DataFrame, schema: StructType, mapping: Mapping[str, str], rest: str) -> DataFrame:
+    """Rows as the schema has them now: a field that came before the schema knew it is read from the ``rest``.
+
+    Columns of the mapping that the rows do not have are added. A value in a column of its own goes first.
+    """
+
+    def late(path: str) -> Column:
+        return F.try_variant_get(rest, _variant_path(path), "string").try_cast(type_at(schema, path))
+
+    found = {
+        name: F.coalesce(F.col(name), late(path)) if name in df.columns else late(path) for path, name in mapping.items()
+    }
+    return df.withColumns(found)
+
+
 def _nested(record: Column, path: str) -> Column:
     return reduce(lambda c, name: c[name], path.split("."), record)
 

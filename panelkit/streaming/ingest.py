@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelkit.sources.batches import batch_name, finished
-from panelkit.sources.feeds import BAD_RECORD, INGESTED_AT, INGESTED_ON, FeedSpec
+from panelkit.sources.feeds import BAD_RECORD, INGESTED_AT, INGESTED_ON, UNKNOWN, FeedSpec
 from panelkit.sources.records import parse_json_records, stamp_ingested
 from panelkit.sources.storage import read_text
 from panelkit.sources.tables import TableStore
@@ -36,8 +36,11 @@ def read_stream(spark: SparkSession, source: str, options: Mapping[str, str], sc
 
 
 def parse_stream(messages: DataFrame, feed: FeedSpec, compat: bool = False) -> DataFrame:
-    """Messages of a feed as typed, renamed, stamped rows; the text of records that are no JSON is kept."""
-    return stamp_ingested(parse_json_records(messages, feed.schema, feed.mapping, compat=compat, raw_out=BAD_RECORD))
+    """Messages of a feed as typed, renamed, stamped rows; the text of records that are no JSON is kept, and so are
+    fields that the feed's schema does not know."""
+    return stamp_ingested(
+        parse_json_records(messages, feed.schema, feed.mapping, compat=compat, raw_out=BAD_RECORD, rest_out=UNKNOWN)
+    )
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.plans.incremental import refresh_facts
-from panelkit.plans.silver import refresh_silver
+from panelkit.plans.silver import refine, refresh_silver
 from panelkit.sources import FeedSpec, TableStore, checkpoint_dir, checkpointed
 from panelkit.sources.storage import delete_folder, names_in
 from panelkit.streaming import ingest_feed
@@ -184,3 +185,21 @@ def incremental_gold(spark: SparkSession, d: str) -> DataFrame:
     if refresh_facts(store):
         raise AssertionError("rows were made again without anything new")
     return rounded(facts)
+
+
+@query(sql="SELECT event_id, user_id, event_type, value FROM events")
+def late_field(spark: SparkSession, d: str) -> DataFrame:
+    """A feed that learns of a field after half of the records have come, read with that field from all of them."""
+    events = table(spark, d, "events")
+    store = scratch(spark)
+    fields = {path: name for path, name in EVENTS.mapping.items() if path != "kind"}
+    before = replace(EVENTS, ddl="id BIGINT, user BIGINT, amount DOUBLE", mapping=fields)
+    for part, feed in enumerate((before, EVENTS)):
+        inbox = f"{store.root}/inbox"
+        send(events.filter(F.col("event_id") % 2 == part), inbox)
+        ingest_feed(store, feed, "text", {"path": f"{inbox}/*"})
+        refresh_silver(store, feed)
+    if store.read("silver", "events").filter("event_type IS NOT NULL").isEmpty():
+        raise AssertionError("the field is unknown")
+    bronze = store.read("bronze", "events", EVENTS.bronze_schema)
+    return refine(bronze, EVENTS).drop("ingested_at")

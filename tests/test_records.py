@@ -9,6 +9,7 @@ from panelkit.sources import (
     parse_json_records,
     read_since,
     stamp_ingested,
+    typed_fields,
     unreadable_pages,
     unwrap_records,
 )
@@ -114,3 +115,33 @@ def test_stream_appends_only_what_is_new(store, tmp_path):
     ingest_feed(store, feed, "text", {"path": str(inbox)})
     assert store.read("bronze", feed.table).count() == 3
     assert store.read("bronze", feed.table).filter("ingested_at IS NULL").count() == 0
+
+
+def test_unknown_fields_are_kept_and_read_later(frame):
+    schema = StructType.fromDDL("id INT, place STRUCT<code: STRING>")
+    texts = [
+        '{"id": 1, "place": {"code": "a"}}', '{"id": "2", "place": {"code": "b", "level": 3}, "note": "x", "n": "7"}',
+        '{"note": null, "n": 1.5, "list": [1, {"a": 2}]}', '[1, 2]', '"text"', "{broken", None, "",
+    ]
+    found = parse_json_records(
+        frame("value STRING", *[(t,) for t in texts]), schema, {"id": "id", "place.code": "code"}, raw_out="bad", rest_out="rest"
+    )
+    seen = [(r.id, r.code, r.bad, r.rest) for r in found.select("id", "code", "bad", F.to_json("rest").alias("rest")).collect()]
+    assert seen == [
+        (1, "a", None, None), (2, "b", None, '{"n":"7","note":"x","place":{"code":"b","level":3}}'),
+        (None, None, None, '{"list":[1,{"a":2}],"n":1.5,"note":null}'), (None, None, None, None), (None, None, None, None),
+        (None, None, "{broken", None), (None, None, None, None), (None, None, "", None),
+    ]
+    grown = StructType.fromDDL("id INT, place STRUCT<code: STRING, level: INT>, note STRING, n INT, list STRING")
+    fields = {"id": "id", "place.code": "code", "place.level": "level", "note": "note", "n": "n", "list": "list"}
+    late = typed_fields(found, grown, fields, "rest").select(*fields.values())
+    assert [tuple(r) for r in late.collect()][:3] == [
+        (1, "a", None, None, None, None), (2, "b", 3, "x", 7, None), (None, None, None, None, None, '[1,{"a":2}]'),
+    ]
+
+
+def test_records_with_all_kept_are_parsed_once(frame):
+    feed = FEEDS["population"]
+    parsed = parse_json_records(frame("value STRING", ("{}",)), feed.schema, feed.mapping, raw_out="bad", rest_out="rest")
+    text = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("parse_json(") + text.count("parseJson") == 1 and "from_json(" not in text
