@@ -19,7 +19,7 @@ from panelkit.operators import (
 )
 from panelkit.plans import gold
 from parity.registry import query, rnd
-from parity.views import customer_year, nation_month, nation_year, with_ctes
+from parity.views import customer_year, nation_month, nation_year, table, with_ctes
 
 CUSTOMER = "PARTITION BY o_custkey ORDER BY year"
 
@@ -158,6 +158,32 @@ def ols_by_customer(spark: SparkSession, d: str) -> DataFrame:
     return fit.withColumns({c: F.round(c, 6) for c in ("slope", "intercept")}).drop("r_squared_adjusted")
 
 
+@query(sql="""
+    WITH points AS (
+      SELECT c_nationkey AS nation, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) // 7 AS BIGINT) AS week,
+             count(*) AS n
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+    -- Whole numbers of 10^12 and more, a step of 10^7 a week and a few units beside the line; sums are exact.
+    series AS (SELECT nation, CAST(week AS HUGEINT) AS x, CAST(10000000 * (week - 1300) + n % 7 AS HUGEINT) AS y FROM points),
+    sums AS (
+      SELECT nation, CAST(count(*) AS HUGEINT) AS n, count(*) * sum(x * x) - sum(x) * sum(x) AS sxx,
+             count(*) * sum(x * y) - sum(x) * sum(y) AS sxy, count(*) * sum(y * y) - sum(y) * sum(y) AS syy
+      FROM series GROUP BY 1 HAVING count(*) >= 8),
+    errors AS (SELECT *, CAST(sxx * syy - sxy * sxy AS DOUBLE) / CAST(n * sxx AS DOUBLE) AS unexplained FROM sums)
+    SELECT nation, CAST(n AS BIGINT) AS n_observations, round(CAST(sxy AS DOUBLE) / CAST(sxx AS DOUBLE), 3) AS slope,
+           round(1 - unexplained / (CAST(syy AS DOUBLE) / n), 4) AS r_squared,
+           round(sqrt(unexplained / (n - 2)), 2) AS standard_error
+    FROM errors""")
+def ols_one_pass(spark: SparkSession, d: str) -> DataFrame:
+    """Nearly straight series of values around 10^12: the residuals are twelve digits smaller, and have to be right."""
+    orders = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    week = F.floor(F.unix_date(F.col("o_orderdate").cast("date")) / 7)
+    points = orders.groupBy(F.col("c_nationkey").alias("nation"), week.alias("week")).agg(F.count(F.lit(1)).alias("n"))
+    value = F.lit(1e12) + 1e7 * (F.col("week") - 1300) + F.col("n") % 7
+    fit = fit_ols(points.withColumn("value", value), ["nation"], "week", "value", 8)
+    return fit.withColumn("slope", F.round("slope", 3)).drop("intercept", "r_squared_adjusted")
+
+
 FORECAST_SQL = f"""
     SELECT g1 AS location_code, g2 AS variable_name, CAST(n AS INT) AS n_observations,
            last_x AS last_observed_year, {rnd("slope", 4)} AS slope, {rnd("intercept", 4)} AS intercept,

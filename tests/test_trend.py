@@ -37,6 +37,20 @@ def test_large_values_on_a_line_leave_no_residual(frame):
     assert (fit["r_squared"], fit["standard_error"]) == (1.0, 0.0)
 
 
+def test_one_shuffle_and_one_aggregation(frame):
+    plan = op.fit_ols(series(frame, a=range(9)), ["k"], "year", "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_small_residuals_of_large_values(frame):
+    noise = np.random.default_rng(4).integers(0, 9, 30)
+    fit = op.fit_ols(series(frame, a=10**12 + 10**7 * np.arange(30) + noise), ["k"], "year", "v").collect()[0]
+    x = np.arange(30)
+    line = np.polyfit(x, noise, 1)
+    assert fit["standard_error"] == round(float(np.sqrt(((noise - np.polyval(line, x)) ** 2).sum() / 28)), 2)
+    assert fit["slope"] == pytest.approx(10**7 + line[0], abs=1e-6)
+
+
 def test_forecast_starts_at_each_series_own_end(frame):
     df = frame(
         "k STRING, year INT, a BIGINT, b DOUBLE",
