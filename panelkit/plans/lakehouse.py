@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import decode_tier
 from panelkit.operators.forest import ForestRun, ForestSpec, importances
+from panelkit.operators.partials import merged_coverage
 from panelkit.operators.reports import (
     classification_report,
     confusion,
-    coverage_report,
     distribution,
     macro_f1,
     quality_report,
@@ -22,6 +22,7 @@ from panelkit.plans import gold
 from panelkit.plans.incremental import PANELS, refresh_facts
 from panelkit.plans.quarantine import refresh_quarantine
 from panelkit.plans.silver import refresh_all_silver
+from panelkit.plans.summaries import refresh_partials
 from panelkit.sources.feeds import FEEDS
 from panelkit.sources.storage import delete_folder
 from panelkit.sources.tables import TableStore, checkpointed, release
@@ -105,8 +106,10 @@ def refresh_reports(store: TableStore, run: ForestRun | None = None, spec: Fores
     def publish(name, df):
         _publish(store, name, df, layer="reports")
 
-    facts, aid = store.read("gold", "gold_country_fact"), store.read("gold", "aid_demand_analysis")
-    publish("country_fact_coverage", coverage_report(facts, [c for c in facts.columns if c not in gold.PLACE_YEAR]))
+    facts, aid = store.version("gold", "gold_country_fact"), store.read("gold", "aid_demand_analysis")
+    measured = [c for c in facts.schema.names if c not in gold.PLACE_YEAR]
+    partials, _ = refresh_partials(store, "gold", "gold_country_fact", measured)
+    publish("country_fact_coverage", merged_coverage(partials, measured))
     publish("aid_quality", quality_report(aid, "location_code", "year", list(gold.RISK_DIRECTIONS)))
     indices = store.read("gold", PRESSURE_TABLE, is_forecast="boolean").filter(~F.col("is_forecast"))
     for column in ("pressure_per_capita_tier", "pressure_per_gdp_per_capita_tier", "funding_gap_tier"):

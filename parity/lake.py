@@ -8,8 +8,10 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.operators.partials import merged_quality
 from panelkit.plans.incremental import refresh_facts
 from panelkit.plans.silver import refine, refresh_silver
+from panelkit.plans.summaries import refresh_partials
 from panelkit.sources import FeedSpec, TableStore, checkpoint_dir, checkpointed
 from panelkit.sources.storage import delete_folder, names_in
 from panelkit.streaming import ingest_feed
@@ -203,3 +205,16 @@ def late_field(spark: SparkSession, d: str) -> DataFrame:
         raise AssertionError("the field is unknown")
     bronze = store.read("bronze", "events", EVENTS.bronze_schema)
     return refine(bronze, EVENTS).drop("ingested_at")
+
+
+@query(sql=ORACLES["quality_report"])
+def partial_reports(spark: SparkSession, d: str) -> DataFrame:
+    """The quality report of a table whose years came in two batches, the second of them renewing some of the first."""
+    df = views.customer_year(spark, d).withColumn("repeat_orders", F.nullif("n_orders", F.lit(1)))
+    store, columns = scratch(spark), ["repeat_orders", "amount_cents"]
+    store.upsert(df.filter("year < 1998 OR o_custkey % 3 = 0"), "gold", "customers", mode="replace")
+    options = {"columns": columns, "entity": "o_custkey", "period": "year", "means": ["n_orders"], "exact": True}
+    refresh_partials(store, "gold", "customers", **options)
+    store.upsert(df.filter("year >= 1998"), "gold", "customers", mode="replace")
+    partials, pairs = refresh_partials(store, "gold", "customers", **options)
+    return merged_quality(partials, columns, ["n_orders"], pairs)
