@@ -33,9 +33,11 @@ class ForestSpec:
     max_depth: int = 6
     min_instances: int = 5
     seed: int = 42
-    #: Partitions of the training rows. The bootstrap samples depend on it, so it is a value of the model like
-    #: the seed and not of the cluster: the same rows give the same forest anywhere.
+    #: Partitions of the training rows, at least, and how many rows each gets at most, about. The bootstrap samples depend on
+    #: their number, so it follows from the rows and these values and not from the cluster or how the rows come: the same
+    #: rows give the same forest anywhere, and more rows are grown from in more tasks.
     partitions: int = 16
+    partition_rows: int = 50_000
 
 
 def lead_label(df: DataFrame, spec: ForestSpec) -> DataFrame:
@@ -86,13 +88,23 @@ def add_class_weights(df: DataFrame, spec: ForestSpec, label: str = "label") ->
     return df.join(F.broadcast(weights), label, "left").fillna(1.0, subset=["class_weight"])
 
 
+def training_partitions(rows: int, spec: ForestSpec) -> int:
+    """Into how many partitions so many training rows go: the least number, doubled until they are small enough."""
+    found = spec.partitions
+    while rows > found * spec.partition_rows:
+        found *= 2
+    return found
+
+
 def fit_forest(train: DataFrame, spec: ForestSpec) -> RandomForestClassificationModel:
-    """Grow the forest. Rows are partitioned and ordered by key, so the same data and the same
-    number of partitions give the same bootstrap samples on every run."""
+    """Grow the forest. Rows are partitioned by entity and period and ordered by them, into a number of partitions that
+    their own number sets, so the same data give the same bootstrap samples on every run. An entity's rows
+    are spread, so one with many of them makes no large partition."""
+    partitions = training_partitions(train.count(), spec)
     ordered = (
         add_class_weights(train, spec)
         .select(spec.entity, spec.period, "features", "label", "class_weight")
-        .repartition(spec.partitions, spec.entity)
+        .repartition(partitions, spec.entity, spec.period)
         .sortWithinPartitions(spec.entity, spec.period)
     )
     forest = RandomForestClassifier(

@@ -79,3 +79,22 @@ def test_report_agrees_with_the_evaluator(history):
         for metric, value in (("fMeasureByLabel", r["f1"]), ("recallByLabel", r["recall"])):
             options = {evaluator.metricName: metric, evaluator.metricLabel: float(r["label"])}
             assert evaluator.evaluate(tested, options) == pytest.approx(value)
+
+
+def test_more_rows_go_to_more_partitions():
+    spec = ForestSpec(**{**SPEC.__dict__, "partitions": 16, "partition_rows": 100})
+    assert [forest.training_partitions(n, spec) for n in (0, 1600, 1601, 3200, 100_000)] == [16, 16, 32, 32, 1024]
+
+
+def test_the_same_forest_however_the_rows_come(spark, history):
+    prepared = forest.prepare_features(history, SPEC).filter("label IS NOT NULL")
+    spec = ForestSpec(**{**SPEC.__dict__, "partition_rows": 60})
+    found = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for partitions in (4, 16, 64):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        train = forest.assemble(prepared.orderBy(F.rand(partitions)).repartition(partitions), spec)
+        model = forest.fit_forest(train, spec)
+        found.add((model.toDebugString.partition("\n")[2], str(model.featureImportances)))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1
