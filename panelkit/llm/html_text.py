@@ -3,7 +3,7 @@
 A page is read once, from left to right, into pieces of text, each with the element it stands in and the tags
 before it. Words of content score above zero, other words and all tags below; the region with the highest sum
 (found in one linear scan) is the article. What stands inside it in menus, adverts, forms or
-comments is left out.
+comments is left out, unless that turns out to be a wrapper of the article.
 """
 
 from __future__ import annotations
@@ -34,10 +34,12 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
+#: Elements that never hold text of an article, and those that rarely do.
 DROPPED = frozenset(
-    "applet aside audio button canvas dialog embed footer form head iframe input map math menu nav noembed noframes noscript object "
-    "option picture script search select style svg template textarea title video".split()
+    "applet audio button canvas dialog embed head iframe input map math noembed noframes noscript object "
+    "option picture script select style svg template textarea title video".split()
 )
+OTHER = frozenset("aside footer form menu nav search".split())
 LABELS = ("article", "main")
 #: What a word gains inside an element labelled as an article, and loses outside if the page has one.
 LABEL_BONUS = 1.0
@@ -51,6 +53,15 @@ OTHER_NAMES = frozenset(
     "signup skip social sponsor sponsored subscribe subscription taboola toolbar topbar widget widgets".split()
 )
 COMMENT_NAMES = frozenset("comment comments disqus replies reply".split())
+#: Words that say in the first place of a class name that the rest of it is a property of the whole page.
+PROPERTIES = frozenset("has have is no not show hide with without".split())
+#: Elements and names that are no wrapper of the article however much they hold, unless they hold what the page marks as that.
+NO_WRAPPERS = COMMENT_NAMES | frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent cookie cookies footer gdpr menu menus nav "
+    "navbar navigation outbrain taboola".split()
+)
+#: Share of the words that are in nothing else of the kind from which on an element is a wrapper.
+WRAPPER = 0.6
 MAIN_NAMES = frozenset("article articlebody body content entry main post story text".split())
 
 _TOKEN = re.compile(
@@ -61,40 +72,94 @@ _NAMES = re.compile(r"(?:^|[\s\"'/])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+@dataclass(slots=True, eq=False)
+class Other:
+    """An element that by its tag or names is not part of an article, if it does not hold most of it."""
+
+    names: frozenset[str]
+    own: int = 0  # words in it and in no other of the kind within it
+    marked: int = 0  # words of what the page marks as its article, within it
+    wrapper: bool = False
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
     features: frozenset[str]
     labelled: bool  # stands in what the page itself marks as its article
-    dropped: bool
+    hard: bool  # stands in an element that never holds text
     marked: bool = False  # stands in any element with such a mark
+    others: tuple[Other, ...] = ()  # from the outermost to the innermost
+    around: int = 0  # how many of them are around the outermost mark
+
+    @property
+    def dropped(self) -> bool:
+        return self.hard or any(not o.wrapper for o in self.others)
 
 
 @dataclass(slots=True)
 class Piece:
     text: str
     element: Element
-    tags: int  # since the piece before
+    tags: list[Element]  # the elements that were opened or closed since the piece before
     block: int  # number of the block it belongs to
-    kept_tags: int = 0  # of ``tags``, those outside what is dropped
+    words: int = 0
 
 
 def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Element:
     found = [next(filter(None, m.groups()), "") for m in _NAMES.finditer(attributes)] if "=" in attributes else []
-    names = {n.lower() for text in found for n in _NAME.findall(text)}
-    other = names & (COMMENT_NAMES if tag == "article" else OTHER_NAMES) if tag not in ("html", "body", "main") else ()
-    header = (tag == "header" or "header" in names) and not parent.labelled and tag not in ("html", "body", *LABELS)
-    dropped = parent.dropped or tag in DROPPED or bool(other) or header
-    labelled = parent.labelled or (
-        tag == label or label == "main" and bool(names & {"main", "articlebody"})
-    ) and not dropped
-    marked = parent.marked or (tag in LABELS or bool(names & {"main", "articlebody"})) and not dropped
-    if tag == "a":  # links count wherever they are, as menus are full of them
-        return Element(tag, parent.features | {tag}, labelled, dropped, marked)
-    if not dropped and (tag in BLOCKS or names):
-        own = {tag} if tag in BLOCKS and tag not in LABELS else set()
-        return Element(tag, parent.features | own | {f".{n}" for n in names if n not in LABELS}, labelled, dropped, marked)
-    return Element(tag, parent.features, labelled, dropped, marked)
+    parts = [[n.lower() for n in _NAME.findall(text)] for value in found for text in value.split()]
+    names = {n for own in parts for n in own}
+    hard, others, around = parent.hard or tag in DROPPED, parent.others, parent.around
+    if tag not in ("html", "body", "main"):
+        telling = {n for own in parts if own and own[0] not in PROPERTIES for n in own}
+        other = telling & (COMMENT_NAMES if tag == "article" else OTHER_NAMES)
+        if (tag == "header" or "header" in telling) and not parent.labelled and tag != "article":
+            other |= {"header"}
+        if tag in OTHER:
+            other |= {tag}
+        if other:
+            others = (*others, Other(frozenset(other)))
+    commented = any(o.names & COMMENT_NAMES for o in others)
+    names_main = bool(names & {"main", "articlebody"})
+    labelled = parent.labelled or (tag == label or label == "main" and names_main) and not hard and not commented
+    marked = parent.marked or (tag in LABELS or names_main) and not hard and not commented
+    if marked and not parent.marked:
+        around = len(others)
+    own = {tag} if tag == "a" else {f".{n}" for n in names if n not in LABELS}
+    if tag in BLOCKS and tag not in LABELS:
+        own.add(tag)
+    return Element(tag, parent.features | own if own else parent.features, labelled, hard, marked, others, around)
+
+
+def _find_wrappers(pieces: list[Piece]) -> None:
+    """Tell which of the elements that are usually no part of an article are around it here.
+
+    One that holds most of the words that the page marks as its article is. If it marks none, it is one that
+    holds most of the words that are in no other of the kind, from the outermost inwards.
+    """
+    found: dict[int, Other] = {}
+    free = marked = 0
+    for p in pieces:
+        element, words = p.element, p.words
+        if element.hard or not words:
+            continue
+        for o in element.others:
+            found[id(o)] = o
+        if element.marked:
+            marked += words
+            for o in element.others[: element.around]:
+                o.marked += words
+        if element.others:
+            element.others[-1].own += words
+        else:
+            free += words
+    for o in found.values():
+        if marked:
+            o.wrapper = 2 * o.marked > marked
+        elif not o.names & NO_WRAPPERS and o.own and o.own >= WRAPPER * (o.own + free):
+            o.wrapper = True
+            free += o.own
 
 
 def pieces_of(source: str) -> tuple[list[Piece], bool]:
@@ -108,7 +173,8 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
     root = Element("", frozenset(), False, False)
     stack, held = [root], Counter()
     pieces: list[Piece] = []
-    tags, kept_tags, block, at = 0, 0, 0, 0
+    tags: list[Element] = []
+    block = at = 0
 
     def leave(name: str) -> None:
         while (gone := stack.pop()).tag != name:
@@ -120,8 +186,8 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         end = token.start() if token else len(source)
         if end > at:
             text = source[at:end]
-            pieces.append(Piece(text, stack[-1], tags, block, kept_tags))
-            tags = kept_tags = 0
+            pieces.append(Piece(text, stack[-1], tags, block, 0 if stack[-1].hard else len(text.split())))
+            tags = []
         if token is None:
             break
         at = token.end()
@@ -129,10 +195,9 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         if not name:
             continue
         tag = name.lower()
-        tags += 1
         block += tag in BLOCKS
         if closing:
-            kept_tags += not stack[-1].dropped
+            tags.append(stack[-1])
             if held[tag]:
                 leave(tag)
             continue
@@ -143,15 +208,15 @@ def pieces_of(source: str) -> tuple[list[Piece], bool]:
         if tag == "body" and held["head"]:
             leave("head")
         element = _open(tag, attributes, stack[-1], label)
-        kept_tags += not element.dropped
+        tags.append(element)
         if tag in RAW:
             close = lowered.find(f"</{tag}", at)
             at = len(source) if close < 0 else (lowered.find(">", close) + 1 or len(source))
-        elif tag not in VOID and not (attributes.endswith("/") and element.dropped):
+        elif tag not in VOID and not (attributes.endswith("/") and element.hard):
             stack.append(element)
             held[tag] += 1
-    found = any(p.element.labelled for p in pieces)
-    return pieces, found
+    _find_wrappers(pieces)
+    return pieces, any(p.element.labelled and not p.element.dropped for p in pieces)
 
 
 @dataclass(frozen=True)
@@ -185,10 +250,18 @@ def main_text(source: str | None, weights: Weights) -> str:
     if not source:
         return ""
     pieces, _ = pieces_of(source)
-    labelled = any(p.element.marked and not p.element.dropped for p in pieces)
+    dropped: dict[int, bool] = {}  # elements are shared by many pieces and tags
+
+    def gone(element: Element) -> bool:
+        found = dropped.get(id(element))
+        if found is None:
+            found = dropped[id(element)] = element.dropped
+        return found
+
+    labelled = any(p.element.marked and not gone(p.element) for p in pieces)
     scores, cache = [], {}
     for p in pieces:
-        words = 0 if p.element.dropped else len(p.text.split())
+        words = 0 if gone(p.element) else p.words
         if words:
             key = id(p.element)
             if key not in cache:
@@ -196,13 +269,14 @@ def main_text(source: str | None, weights: Weights) -> str:
                 cache[key] = weights.score(p.element) + bonus
             words *= cache[key]
         scores.append(words)
-    region = best_region(scores, [p.kept_tags * weights.tag * (LABEL_TAGS if p.element.marked else 1.0) for p in pieces])
+    costs = [weights.tag * (LABEL_TAGS if p.element.marked else 1.0) * sum(not gone(e) for e in p.tags) for p in pieces]
+    region = best_region(scores, costs)
     if region is None:
         return ""
     blocks: list[list[str]] = []
     last = None
     for p in pieces[region[0] : region[1] + 1]:
-        if p.element.dropped:
+        if gone(p.element):
             continue
         if p.block != last:
             blocks.append([])
@@ -235,9 +309,9 @@ def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html",
                     continue
                 seen = {"*"}
                 for p in pieces:
-                    where = inside if p.element.labelled else outside
-                    where["<>"] += p.tags
-                    if words := len(p.text.split()):
+                    where = inside if p.element.labelled and not p.element.dropped else outside
+                    where["<>"] += len(p.tags)
+                    if words := p.words:
                         where["*"] += words
                         for f in p.element.features:
                             where[f] += words
