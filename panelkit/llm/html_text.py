@@ -77,6 +77,7 @@ class Other:
     """An element that by its tag or names is not part of an article, if it does not hold most of it."""
 
     names: frozenset[str]
+    outer: tuple[Other, ...] = ()  # those of the kind around it
     own: int = 0  # words in it and in no other of the kind within it
     marked: int = 0  # words of what the page marks as its article, within it
     wrapper: bool = False
@@ -119,7 +120,7 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
         if tag in OTHER:
             other |= {tag}
         if other:
-            others = (*others, Other(frozenset(other)))
+            others = (*others, Other(frozenset(other), others))
     commented = any(o.names & COMMENT_NAMES for o in others)
     names_main = bool(names & {"main", "articlebody"})
     labelled = parent.labelled or (tag == label or label == "main" and names_main) and not hard and not commented
@@ -135,11 +136,11 @@ def _open(tag: str, attributes: str, parent: Element, label: str | None) -> Elem
 def _find_wrappers(pieces: list[Piece]) -> None:
     """Tell which of the elements that are usually no part of an article are around it here.
 
-    One that holds most of the words that the page marks as its article is. If it marks none, it is one that
+    One that holds most of the words that the page marks as its article is, if they are not few. If it marks none, it is one that
     holds most of the words that are in no other of the kind, from the outermost inwards.
     """
     found: dict[int, Other] = {}
-    free = marked = 0
+    free = plain = marked = 0  # words in none of the kind, those of them that are not marked, all that are
     for p in pieces:
         element, words = p.element, p.words
         if element.hard or not words:
@@ -154,11 +155,16 @@ def _find_wrappers(pieces: list[Piece]) -> None:
             element.others[-1].own += words
         else:
             free += words
+            plain += 0 if element.marked else words
     for o in found.values():
-        if marked:
-            o.wrapper = 2 * o.marked > marked
-        elif not o.names & NO_WRAPPERS and o.own and o.own >= WRAPPER * (o.own + free):
-            o.wrapper = True
+        # A teaser in a sidebar may be all that is marked; an article is more than what is around it.
+        o.wrapper = 2 * o.marked > marked and o.marked >= plain
+    if any(p.element.marked and p.words and not p.element.dropped for p in pieces):
+        return
+    for o in found.values():
+        if o.own and o.own >= WRAPPER * (o.own + free) and not any(x.names & NO_WRAPPERS for x in (o, *o.outer)):
+            for x in (o, *o.outer):
+                x.wrapper = True
             free += o.own
 
 
