@@ -71,3 +71,9 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise
     return True
+
+
+def arrow_address(address: str) -> str:
+    """An address as Arrow names it, for Python code in tasks: Hadoop's schemes for S3 are its ``s3``."""
+    scheme, colon, rest = address.partition("://")
+    return f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else address

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from panelkit.sources import recorded
 from panelkit.sources.batches import batch_name, finished
 from panelkit.sources.feeds import BAD_RECORD, INGESTED_AT, INGESTED_ON, UNKNOWN, FeedSpec
 from panelkit.sources.records import parse_json_records, stamp_ingested
@@ -25,8 +26,11 @@ def read_stream(spark: SparkSession, source: str, options: Mapping[str, str], sc
     """A stream of raw messages in a ``value`` column.
 
     ``source`` is any streaming format: ``kafka`` (reads from the earliest offset unless told
-    otherwise), or ``text``, ``json``, ``parquet`` with the folder under the option ``path``.
+    otherwise), ``recorded`` (a topic kept in files, with Kafka's columns and offsets), or ``text``, ``json``, ``parquet``
+    with the folder under the option ``path``.
     """
+    if source == recorded.RecordedTopic.name():
+        recorded.register(spark)
     reader = spark.readStream.format(source)
     if source == "kafka":
         reader = reader.option("startingOffsets", "earliest")
@@ -80,10 +84,12 @@ def start_ingest(
 ) -> StreamingQuery:
     """Start to bring a feed's bronze table up to date.
 
-    For Kafka the feed's topic is subscribed unless the options name another.
+    For Kafka and recorded topics the feed's topic is read unless the options name another.
     """
     if source == "kafka":
         options = {"subscribe": feed.topic, **options}
+    elif source == recorded.RecordedTopic.name():
+        options = {"topic": feed.topic, **options}
     rows = parse_stream(read_stream(store.spark, source, options), feed, compat)
     checkpoint = f"{store.root.rstrip('/')}/checkpoints/bronze/{feed.table}"
     return append_stream(rows, store.path("bronze", feed.table), checkpoint)

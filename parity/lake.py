@@ -13,8 +13,9 @@ from panelkit.plans.incremental import refresh_facts
 from panelkit.plans.silver import refine, refresh_silver
 from panelkit.plans.summaries import refresh_partials
 from panelkit.sources import FeedSpec, TableStore, checkpoint_dir, checkpointed
+from panelkit.sources import recorded
 from panelkit.sources.storage import delete_folder, names_in
-from panelkit.streaming import ingest_feed
+from panelkit.streaming import append_stream, ingest_feed, read_stream
 from parity import views
 from parity.gold import _rounded as rounded
 from parity.registry import ORACLES, query
@@ -218,3 +219,28 @@ def partial_reports(spark: SparkSession, d: str) -> DataFrame:
     store.upsert(df.filter("year >= 1998"), "gold", "customers", mode="replace")
     partials, pairs = refresh_partials(store, "gold", "customers", **options)
     return merged_quality(partials, columns, ["n_orders"], pairs)
+
+
+@query(sql="""
+    WITH sent AS (SELECT event_id, user_id % 3 AS partition, event_id // 4 % 2 AS segment, event_id % 10 = 0 AS gone, ts FROM events)
+    SELECT CAST(partition AS INT) AS partition, CASE WHEN NOT gone THEN event_id END AS event_id,
+           row_number() OVER (PARTITION BY partition ORDER BY segment, ts, CAST(event_id AS VARCHAR)) - 1 AS "offset"
+    FROM sent""")
+def kafka_shaped_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Events as a topic of three partitions in which every tenth message is a tombstone, taken in after each of two segments:
+    every message once, with its offset."""
+    events = table(spark, d, "events")
+    store = scratch(spark)
+    message = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("user")))
+    messages = events.select(
+        (F.col("user_id") % 3).alias("partition"), F.col("event_id").cast("string").alias("key"), F.col("ts").alias("timestamp"),
+        F.when(F.col("event_id") % 10 != 0, message).alias("value"), F.floor(F.col("event_id") / 4).alias("part"),
+    )
+    path = store.path("bronze", "events")
+    for part in range(2):
+        recorded.record_segment(messages.filter(F.col("part") % 2 == part), f"{store.root}/topics", "events")
+        stream = read_stream(spark, "recorded", {"path": f"{store.root}/topics", "topic": "events"})
+        rows = stream.select("partition", "offset", F.col("value").cast("string").alias("value"))
+        append_stream(rows, path, f"{store.root}/checkpoint").awaitTermination()
+    found = store.read("bronze", "events")
+    return found.select("partition", "offset", F.get_json_object("value", "$.id").cast("bigint").alias("event_id"))
