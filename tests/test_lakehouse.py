@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelkit.operators.forest import ForestSpec
 from panelkit.plans import gold, lakehouse
+from panelkit.plans.incremental import refresh_facts
 from panelkit.plans.silver import refine, refresh_silver
 from panelkit.sources import FEEDS
 from tests.conftest import rows
@@ -139,6 +140,25 @@ def test_nothing_is_lost_without_notice(lake):
     assert found.groupBy("source", "record").count().filter("count > 1").count() == 0
 
 
+def test_quarantine_looks_at_each_batch_once(lake):
+    lakehouse.refresh_quarantine(lake)
+    before = lake.version("quarantine", "rejected")
+    assert set(before.marks) == {f"bronze/{f.table}" for f in FEEDS.values()} | {"silver/funding"}
+    count = lake.read("quarantine", "rejected").count()
+    lakehouse.refresh_quarantine(lake)
+    assert lake.version("quarantine", "rejected") == before and lake.read("quarantine", "rejected").count() == count
+
+
+def test_a_refresh_without_news_writes_no_facts(lake):
+    before = [lake.version("gold", t) for t in ("gold_country_fact", "gold_funding_features")]
+    refresh_silver(lake, FEEDS["funding"])
+    taken = lake.version("silver", "funding")
+    assert taken.marks["bronze"] and refresh_facts(lake) == {}
+    refresh_silver(lake, FEEDS["funding"])
+    assert lake.version("silver", "funding") == taken
+    assert [lake.version("gold", t) for t in ("gold_country_fact", "gold_funding_features")] == before
+
+
 def test_bronze_is_read_by_the_day_of_ingestion(lake):
     from panelkit.sources import read_since
 
