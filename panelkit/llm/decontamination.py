@@ -13,15 +13,19 @@ from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import groupby
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Words of the shortest tile, and the share of an item that has to be covered.
 LEAST_WORDS, COVERAGE = 5, 0.8
+#: Words of the shortest item that contaminates. One word alone is no sign of an item; its tiles are reported all the same.
+TELLING_WORDS = 2
 #: Bytes of benchmark text that are broadcast at once; a larger benchmark goes over the documents in blocks.
 BLOCK_BYTES = 16 << 20
 
@@ -114,10 +118,17 @@ def tiles(item: list[int], text: list[int], least: int = LEAST_WORDS) -> list[tu
         size = max(least, size // 2)
 
 
+def before(one: tuple, other: tuple) -> bool:
+    """Whether an item's (coverage, id) goes before another's: the more covered, then the smaller id, NULL last."""
+    if one[0] != other[0] or not one[0]:
+        return one[0] > other[0]
+    return one[1] is not None and (other[1] is None or one[1] < other[1])
+
+
 class Benchmark:
     """Items of one block: their words as numbers and the places of their seeds."""
 
-    def __init__(self, rows: list[tuple[int, str]], least: int = LEAST_WORDS):
+    def __init__(self, rows: list[tuple[Any, str]], least: int = LEAST_WORDS):
         self.least, self.numbers, self.items = least, {}, []
         self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         seeds: dict[int, set[int]] = defaultdict(set)
@@ -134,15 +145,16 @@ class Benchmark:
         self.seeds = dict(seeds)
         self.sorted_seeds = np.array(sorted(seeds), np.uint64)
 
-    def look(self, text: str | None) -> tuple[int | None, float, list[tuple[int, int, int, int]]]:
+    def look(self, text: str | None) -> tuple[Any, float, list[tuple[Any, int, int, int]]]:
         """The item covered best (then with the smallest id), its coverage and the tiles of all items found:
         (item, place in item, place in the document in words, length)."""
         known = self.numbers.get
         values = np.array([known(w, 0) for w in words(text)], np.uint64)
         found = self._short_tiles(values)
-        best: tuple[float, int | None] = (0.0, None)
-        if found:
-            best = (1.0, min((t[0] for t in found if t[0] is not None), default=None))
+        best = (0.0, None)
+        for item_id, _, _, length in found:
+            if length >= TELLING_WORDS and before((1.0, item_id), best):
+                best = (1.0, item_id)
         if len(values) < self.least or not len(self.sorted_seeds):
             return best[1], best[0], found
         keys = rolling(values, self.least)
@@ -163,14 +175,12 @@ class Benchmark:
             item_id, item = self.items[number]
             own = tiles(item, near, self.least)
             share = sum(length for _, _, length in own) / len(item)
-            if share > best[0] or share == best[0] and own and (
-                best[1] is None or item_id is not None and item_id < best[1]
-            ):
+            if before((share, item_id), best):
                 best = (share, item_id)
             found += [(item_id, a, int(places[b]), length) for a, b, length in own]
         return best[1], best[0], found
 
-    def _short_tiles(self, values: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def _short_tiles(self, values: np.ndarray) -> list[tuple[Any, int, int, int]]:
         """The first place of each item that is shorter than a tile."""
         found = []
         for size, items in self.short.items():
@@ -191,7 +201,7 @@ def blocks(
     """The benchmark as broadcast blocks of about ``BLOCK_BYTES`` of text each."""
     spark = benchmark.sparkSession
     rows = benchmark.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")
+        F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")
     ).dropna(subset=["text"])
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     many = size // BLOCK_BYTES + 1
@@ -203,31 +213,31 @@ def blocks(
     ]
 
 
-_TILE = pa.struct(
-    [("item_id", pa.int64()), ("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())]
-)
-_FOUND = "item_id long, coverage double, tiles array<struct<item_id: long, item_start: int, doc_start: int, length: int>>"
-
-
 def contaminated(
     df: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
     """One row per input row: id, ``contaminated``, ``item_id``, ``coverage``, ``tiles``.
 
     ``item_id`` is the benchmark item covered best (NULL if none has a tile), equal shares going to the
-    smallest id; a document is contaminated from ``coverage`` on. NULL and empty texts are clean. Items of
-    fewer than ``LEAST_WORDS`` words are found where all of their words stand in a row; those without words
-    (NULL text included) never. Items that repeat count once each. No row moves: the benchmark comes to the documents, block by block if it is large.
+    smallest id and to an item with a NULL id last; it has the type that the benchmark gives it. A document is contaminated
+    from ``coverage`` on, by items without an id too. NULL and empty texts are clean. Items of
+    fewer than ``LEAST_WORDS`` words are found where all of their words stand in a row; those of fewer than
+    ``TELLING_WORDS`` are among the ``tiles`` only, those without words (NULL text included) never found. Items that repeat
+    count once each. Texts are read whole, however long. No row moves: the benchmark comes to the documents, block by block if it is large.
     """
-    id_type = df.schema[id_column].dataType.simpleString()
+    id_type, item_type = df.schema[id_column].dataType.simpleString(), benchmark.schema["item_id"].dataType
+    item = item_type.simpleString()
+    tile = f"array<struct<item_id: {item}, item_start: int, doc_start: int, length: int>>"
+    arrow_item = to_arrow_type(item_type)
+    arrow_tile = pa.struct([
+        ("item_id", arrow_item), ("item_start", pa.int32()), ("doc_start", pa.int32()), ("length", pa.int32())
+    ])
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     rows = rows.withColumns(
         {
-            "item_id": F.lit(None).cast("long"),
+            "item_id": F.lit(None).cast(item_type),
             "coverage": F.lit(0.0),
-            "tiles": F.expr(
-                "CAST(array() AS array<struct<item_id: bigint, item_start: int, doc_start: int, length: int>>)"
-            )
+            "tiles": F.array().cast(tile),
         }
     )
     for block in blocks(benchmark):
@@ -237,21 +247,21 @@ def contaminated(
                 item_ids, shares, tiled = (batch.column(k).to_pylist() for k in ("item_id", "coverage", "tiles"))
                 for i, text in enumerate(batch.column("text")):
                     item_id, share, own = block.value.look(text.as_py())
-                    if item_id is not None and (share > shares[i] or share == shares[i] and item_id < item_ids[i]):
+                    if before((share, item_id), (shares[i], item_ids[i])):
                         item_ids[i], shares[i] = item_id, share
                     tiled[i] = tiled[i] + [dict(zip(("item_id", "item_start", "doc_start", "length"), t)) for t in own]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),
                         batch.column(1),
-                        pa.array(item_ids, pa.int64()),
+                        pa.array(item_ids, arrow_item),
                         pa.array(shares, pa.float64()),
-                        pa.array(tiled, pa.list_(_TILE))
+                        pa.array(tiled, pa.list_(arrow_tile))
                     ],
                     names=["id", "text", "item_id", "coverage", "tiles"],
                 )
 
-        rows = rows.mapInArrow(look, f"id {id_type}, text string, {_FOUND}")
+        rows = rows.mapInArrow(look, f"id {id_type}, text string, item_id {item}, coverage double, tiles {tile}")
     return rows.select(
         F.col("id").alias(id_column),
         (F.col("coverage") >= coverage).alias("contaminated"),
@@ -264,7 +274,8 @@ def contaminated(
 def decontaminated(
     df: DataFrame, benchmark: DataFrame, text_column: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
-    """The rows, with all their columns, that are not contaminated by any item."""
+    """The rows, with all their columns (whatever their names), that are not contaminated by any item, as ``contaminated``
+    tells. Rows stay as they are and where they are; an empty table stays empty."""
     at = df.columns.index(text_column)
     for block in blocks(benchmark):
 

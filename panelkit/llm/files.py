@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyarrow import fs
 from pyspark.sql import SparkSession
 
+from panelkit.sources.storage import arrow_address
 from panelkit.sources.tables import checkpoint_dir
 
 
@@ -16,8 +17,8 @@ def new_folder(spark: SparkSession, kind: str) -> str:
 
 
 def opened(address: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of an address (a local path or a URI that Arrow knows)."""
-    return fs.FileSystem.from_uri(address)
+    """File system and path of an address: a local path, or a URI that Hadoop or Arrow knows."""
+    return fs.FileSystem.from_uri(arrow_address(address))
 
 
 def new_file(folder: str, suffix: str) -> tuple[fs.FileSystem, str, str]:

@@ -192,28 +192,40 @@ def write_token_files(
 def read_documents(files: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """One row per document in the files: id, ``start``, ``n_tokens``, ``ids_crc32``.
 
-    Each document is reached by its key through the hash index (NULL keys by their place).
+    Each document is reached by its key: the hash index says where the documents with the key are, and the offsets there
+    where their ids are. Only NULL keys, which have no hash, go by their place. A key that the index does not
+    find, or not as often as it is there, is an error.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 source = TokenFile(row["address"])
+                last_key, before = None, 0  # of the block before: its last key, and how often that has come
                 for first, last in source.blocks():
-                    ids = source.ids(first, last).astype("<u4")
                     keys = source.keys[first:last]
                     at, count = source.find(keys)
                     places = np.arange(first, last)
                     given = places >= source.nulls
-                    if not ((places >= at) & (places < at + count))[given].all():
+                    again = np.zeros(len(keys), np.int64)  # how often the key has come before
+                    own = keys[given]
+                    again[given] = np.arange(len(own)) - np.searchsorted(own, own)
+                    if first > source.nulls and own[0] == last_key:
+                        again[keys == last_key] += before
+                    last_key, before = keys[-1], again[-1] + 1
+                    if not (again < count)[given].all():
                         raise ValueError(f"the index of {row['address']} misses a document")
-                    bounds = source.bounds[first : last + 1]
-                    crc = [zlib.crc32(ids[a:b]) for a, b in zip(bounds[:-1] - bounds[0], bounds[1:] - bounds[0])]
+                    at = np.where(given, at + again, places)
+                    low, high = int(at.min()), int(at.max()) + 1
+                    ids = source.ids(low, high).astype("<u4")
+                    begin, end = source.bounds[at], source.bounds[at + 1]
+                    offset = int(source.bounds[low])
+                    crc = [zlib.crc32(ids[a:b]) for a, b in zip((begin - offset).tolist(), (end - offset).tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(keys, pa.int64(), mask=~given),
-                            pa.array(row["base"] + bounds[:-1]),
-                            pa.array(np.diff(bounds)),
+                            pa.array(row["base"] + begin),
+                            pa.array(end - begin),
                             pa.array(crc, pa.int64())
                         ],
                         names=["id", "start", "n_tokens", "ids_crc32"],

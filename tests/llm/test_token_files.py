@@ -57,3 +57,38 @@ def test_null_and_repeated_ids_and_empty_table(docs):
     assert [r[0] for r in found] == [None, None, 1, 4, 4]
     assert [r[1] for r in found] == [0, *np.cumsum([r[2] for r in found])[:-1]]
     assert read_documents(write_token_files(docs([]), PATH)).count() == 0
+
+
+def test_a_key_over_several_reads(docs, monkeypatch):
+    monkeypatch.setattr(token_files, "READ_IDS", 7)
+    rows = [(None, "a b")] * 3 + [(-5, "c")] + [(2, f"d {i} e") for i in range(9)] + [(3, "f")]
+    files = write_token_files(docs(rows), PATH)
+    found = sorted((r.start, r.doc_id, r.n_tokens) for r in read_documents(files).collect())
+    assert [r[1] for r in found] == [None] * 3 + [-5] + [2] * 9 + [3]
+    assert [r[0] for r in found] == [0, *np.cumsum([r[2] for r in found])[:-1]]
+
+
+def test_documents_come_through_the_index(docs):
+    """An index whose entries are changed gives other rows, or none."""
+    import pytest
+
+    rows = [(i, f"text {i} " * (i + 1)) for i in range(20)]
+    files = write_token_files(docs(rows), PATH)
+    path = files.first().address.removeprefix("file:")
+    with open(path, "rb") as file:
+        whole = bytearray(file.read())
+    end = len(whole) - 16 - int.from_bytes(whole[-16:-8], "little")
+    begin = end - token_files._ENTRY.itemsize * 20
+    entries = np.frombuffer(bytes(whole[begin:end]), token_files._ENTRY).copy()
+    entries["first"] = np.roll(entries["first"], 1)
+    whole[begin:end] = entries.tobytes()
+    with open(path, "wb") as file:
+        file.write(whole)
+    with pytest.raises(Exception, match="misses a document"):
+        read_documents(files).collect()
+
+
+def test_addresses_that_hadoop_knows():
+    from panelkit.llm import files
+
+    assert files.arrow_address("s3a://bucket/x") == "s3://bucket/x"
