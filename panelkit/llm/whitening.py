@@ -245,7 +245,11 @@ def _deviations(whole: np.ndarray, n: int, rest: list[int]) -> list[int | None]:
     if largest * largest * len(rest) < 1 << 63:
         y = whole * n - np.array(rest, np.int64)
         return (y * y).sum(1).tolist()
-    exact = [sum((int(c) * n - r) ** 2 for c, r in zip(row, rest)) for row in whole]
+    near = ((whole.astype(np.float64) * n - np.array(rest, np.float64)) ** 2).sum(1)
+    exact = [
+        sum((int(c) * n - r) ** 2 for c, r in zip(row, rest)) if about < 1.001 * (1 << 63) else 1 << 63
+        for row, about in zip(whole, near)
+    ]
     return [e if e < 1 << 63 else None for e in exact]
 
 

@@ -105,6 +105,18 @@ def test_repeated_rows(vectors):
     assert got[0].identity_error < 1e-9 and {r.n for r in got} == {6}
 
 
+def test_deviations_are_exact_or_none():
+    rng = np.random.default_rng(5)
+    whole, n = rng.integers(-3000, 3000, (40, 16)), 10**6
+    rest = [int(r) for r in rng.integers(0, n, 16)]
+    wanted = [sum((int(c) * n - r) ** 2 for c, r in zip(row, rest)) for row in whole]
+    assert max(wanted) >= 1 << 63
+    small = whole // 50
+    exact = [sum((int(c) * n - r) ** 2 for c, r in zip(row, rest)) for row in small]
+    assert whitening._deviations(small, n, rest) == exact and max(exact) < 1 << 63
+    assert whitening._deviations(whole, n, rest) == [w if w < 1 << 63 else None for w in wanted]
+
+
 def test_other_lengths(vectors):
     rows = [(i, [i / 10, -i / 7]) for i in range(6)] + [(10, [1.0]), (11, [1.0, 2.0, 3.0])]
     got = whitened(vectors(rows)).collect()
