@@ -3,7 +3,7 @@
 Lines go down a tree by their number of tokens and their leading tokens; at its leaves stand templates, in
 which variable fields are generalised. Numbers and the like are variable anywhere; of the tokens
 behind the leading ones, one of a few fields (equal stretches of the line) may differ as a whole. A line recurs
-if one of its templates is found in enough documents.
+if one of its templates is found in enough documents; more of them where a field differs, as that may be what a line says.
 """
 
 from __future__ import annotations
@@ -25,10 +25,10 @@ LEAST_TOKENS = 1
 LEADING = 2
 #: Fields behind the leading tokens; one of them may vary, so templates keep four fifths of those tokens.
 FIELDS = 5
-#: Documents with a template from which on its lines are dropped.
+#: Documents (distinct texts) with a template from which on its lines are dropped.
 DOCUMENTS = 5
-#: A document with a larger share of its tokens in recurring lines would stay as it is; at 1 none does.
-COPY_SHARE = 1.0
+#: The same for templates with a field that differs: at least so many, and this share of all distinct texts.
+FIELD_DOCUMENTS, FIELD_SHARE = 20, 1e-5
 
 #: Constant tokens that a template with variable ones keeps at least, and their share of its tokens.
 CONSTANT, CONSTANT_SHARE = 2, 0.4
@@ -85,23 +85,22 @@ def _hash(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-_LINE = "text_hash long, leaf long, templates array<long>, fresh array<boolean>, line int, tokens int, all_tokens long"
+_LINE = "text_hash long, leaf long, templates array<long>, fresh array<boolean>, line int"
 
 
 def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """A row per line that is looked at: the document's id and hash of its text, ``leaf`` and ``templates`` as hashes,
-    which of these are ``fresh`` (not seen further up in the document), its place, its tokens and the document's."""
+    """A row per line that is looked at: the document's id and hash of its text, ``leaf`` and ``templates`` as hashes
+    (the line itself first, then those with a field that differs), which of these are ``fresh`` (not seen further up in the document), and its place."""
     id_type = df.schema[id_column].dataType.simpleString()
     text = text_or_empty(text_column)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, leaves, made, fresh, numbers, sizes, totals = [], [], [], [], [], [], []
+            rows, leaves, made, fresh, numbers = [], [], [], [], []
             for i, text in enumerate(batch.column("text")):
-                seen, total, first = set(), 0, len(rows)
+                seen = set()
                 for number, line in enumerate(text.as_py().split("\n")):
                     found = tokens(line)
-                    total += len(found)
                     if len(found) < LEAST_TOKENS:
                         continue
                     own = [_hash(t) for t in templates(found)]
@@ -110,14 +109,12 @@ def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
                     made.append(own)
                     fresh.append([t not in seen for t in own])
                     numbers.append(number)
-                    sizes.append(len(found))
                     seen.update(own)
-                totals += [total] * (len(rows) - first)
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(at), batch.column("text_hash").take(at), pa.array(leaves, pa.int64()), pa.array(made, pa.list_(pa.int64())),
-                 pa.array(fresh, pa.list_(pa.bool_())), pa.array(numbers, pa.int32()), pa.array(sizes, pa.int32()), pa.array(totals, pa.int64())],
-                names=["id", "text_hash", "leaf", "templates", "fresh", "line", "tokens", "all_tokens"],
+                 pa.array(fresh, pa.list_(pa.bool_())), pa.array(numbers, pa.int32())],
+                names=["id", "text_hash", "leaf", "templates", "fresh", "line"],
             )
 
     return df.select(
@@ -126,11 +123,7 @@ def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def recurring_lines(
-    df: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    documents: int = DOCUMENTS,
-    copy_share: float = COPY_SHARE
+    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", documents: int = DOCUMENTS
 ) -> DataFrame:
     """Lines to drop: ``id``, ``text_hash`` and ``dropped``, their places from 0, for documents that have any.
 
@@ -143,30 +136,25 @@ def recurring_lines(
     leaves = checkpointed(
         lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents).select("leaf")
     )
-    lines = lines.join(leaves, "leaf", "left_semi")
-    each = lines.select(
-        "id", "text_hash", "line", "tokens", "all_tokens", F.explode(F.arrays_zip("templates", "fresh")).alias("t")
-    )
-    each = checkpointed(
-        each.select(
-            "id", "text_hash", "line", "tokens", "all_tokens", F.col("t.templates").alias("template"), "t.fresh"
-        )
-    )
-    many = each.filter("fresh").groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
-    each = checkpointed(each.join(checkpointed(many.select("template")), "template", "left_semi"))
-    recurring = each.filter("fresh").select("template", "text_hash").distinct()
-    recurring = recurring.groupBy("template").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= documents)
-    found = each.join(checkpointed(recurring.select("template")), "template", "left_semi")
-    found = found.groupBy("id", "text_hash", "line").agg(
-        F.first("tokens").alias("tokens"), F.first("all_tokens").alias("all_tokens")
-    )
-    found = found.groupBy("id", "text_hash").agg(
-        F.collect_list("line").alias("dropped"), F.sum("tokens").alias("n"), F.first("all_tokens").alias("of")
+    texts = lines.select("text_hash").distinct().count()
+    least = F.when(F.col("varies"), max(FIELD_DOCUMENTS, FIELD_SHARE * texts)).otherwise(documents)
+
+    def often(rows: DataFrame) -> DataFrame:
+        """Templates and the number of rows that have them, if that may be enough."""
+        counted = rows.groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+        return checkpointed(counted.filter(F.col("n") >= documents))
+
+    each = lines.join(leaves, "leaf", "left_semi").select(
+        "id", "text_hash", "line", F.posexplode(F.arrays_zip("templates", "fresh")).alias("place", "t")
     )
+    each = checkpointed(each.select(
+        "id", "text_hash", "line", F.col("t.templates").alias("template"), "t.fresh", (F.col("place") > 0).alias("varies")
+    ))
+    each = checkpointed(each.join(often(each.filter("fresh")).drop("n"), "template", "left_semi"))
+    recurring = often(each.filter("fresh").select("template", "text_hash").distinct())
+    found = each.join(recurring, "template").filter(F.col("n") >= least)
     return checkpointed(
-        found.filter(F.col("n") <= copy_share * F.col("of")).select(
-            "id", "text_hash", F.sort_array("dropped").alias("dropped")
-        )
+        found.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set("line")).alias("dropped"))
     )
 
 
@@ -175,8 +163,9 @@ def without_recurring_lines(
 ) -> DataFrame:
     """The rows with all their columns and, in ``text_column``, the lines that do not recur.
 
-    A line recurs if at least ``DOCUMENTS`` distinct texts have lines of one of its templates. All of its occurrences
-    go, from every document. Rows with the same text count once, so that copies of a document, which are for
+    A line recurs if at least ``DOCUMENTS`` distinct texts have it, numbers and the like aside, or ``FIELD_DOCUMENTS`` of them
+    (and a share of ``FIELD_SHARE`` of all) have lines that differ from it in one field. All of its occurrences
+    go, from every document. Texts are read whole, however long. Rows with the same text count once, so that copies of a document, which are for
     deduplication of documents to sort out, do not make each other's lines recur. NULL text stays NULL; an empty
     table stays empty. ``count`` names a column that then gets the number of lines dropped (none may have that name).
     """

@@ -1,22 +1,26 @@
 import random
 from collections import Counter
 
-from panelkit.llm.line_dedup import DOCUMENTS, LEAST_TOKENS, templates, tokens, without_recurring_lines
+from panelkit.llm.line_dedup import DOCUMENTS, FIELD_DOCUMENTS, FIELD_SHARE, LEAST_TOKENS, templates, tokens, without_recurring_lines
 
 
 def brute(rows):
-    """Templates by the number of distinct texts that have them: copies of a text count once."""
+    """Templates by the number of distinct texts that have them: copies of a text count once. More are asked for where a field varies."""
     seen = Counter()
     for text in {text or "" for _, text in rows}:
         seen.update(
             {t for line in text.split("\n") if len(tokens(line)) >= LEAST_TOKENS for t in templates(tokens(line))}
         )
+    field = max(FIELD_DOCUMENTS, FIELD_SHARE * len({text or "" for _, text in rows}))
+
+    def recurs(line):
+        own = templates(tokens(line))
+        return len(tokens(line)) >= LEAST_TOKENS and any(seen[t] >= (field if k else DOCUMENTS) for k, t in enumerate(own))
+
     found = []
     for i, text in rows:
         lines = (text or "").split("\n")
-        gone = [
-            len(tokens(x)) >= LEAST_TOKENS and any(seen[t] >= DOCUMENTS for t in templates(tokens(x))) for x in lines
-        ]
+        gone = [recurs(x) for x in lines]
         found.append((i, text if text is None else "\n".join(x for x, g in zip(lines, gone) if not g), sum(gone)))
     return sorted(found, key=str)
 

@@ -51,3 +51,15 @@ def test_every_template_keeps_constant_tokens():
         for t in templates(tokens(line)):
             kept = [x for part in t.split("\x00") for x in part.replace("<*>", " ").split()]
             assert len(kept) >= 2
+
+
+def test_lines_that_say_different_things_stay(docs):
+    cities = "Paris Rome Oslo Bern Lima Riga".split()
+    rows = [(i, f"{own(i)}\nThe capital of this country is {city}") for i, city in enumerate(cities)]
+    assert texts(docs, rows) == dict(rows)
+
+
+def test_a_field_that_differs_in_many_documents(docs):
+    rows = [(i, f"{own(i)}\nPosted by {own(i + 40).split()[0]} on our good old site today") for i in range(20)]
+    assert texts(docs, rows) == {i: own(i) for i, _ in rows}
+    assert texts(docs, rows[:19]) == dict(rows[:19])
