@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from panelkit.plans import gold
 from panelkit.sources import versions
 from panelkit.sources.feeds import INGESTED_AT
-from panelkit.sources.tables import TableStore, checkpointed, release
+from panelkit.sources.tables import TableStore, checkpointed, overwrite_table, release
 
 ENTITY, PERIOD = gold.PLACE_YEAR
 SILVER = "silver"
@@ -128,13 +128,15 @@ def _pairs(rows: DataFrame, source: Source) -> DataFrame:
     return rows.select(F.col(source.entity).alias(ENTITY), earliest.alias(PERIOD))
 
 
-def refresh_panel(store: TableStore, panel: Panel, touched: Mapping[str, DataFrame]) -> DataFrame | None:
+def refresh_panel(
+    store: TableStore, panel: Panel, touched: Mapping[str, DataFrame], anew: bool = False
+) -> DataFrame | None:
     """Bring one panel up to date; returns the pairs of entity and period that were made again, None if nothing is new.
 
     ``touched`` has those pairs for the panels among the sources that were refreshed before. Silver rows are new if they were
-    ingested after what the panel's version says it has read.
+    ingested after what the panel's version says it has read. ``anew`` makes all rows, as the next version.
     """
-    at = store.version("gold", panel.table)
+    at = None if anew else store.version("gold", panel.table)
     old = versions.read(store.spark, store.path("gold", panel.table), at) if at else None
     inputs, changes, marks = [], [], {}
     for source in panel.sources:
@@ -158,21 +160,24 @@ def refresh_panel(store: TableStore, panel: Panel, touched: Mapping[str, DataFra
     spans = checkpointed(touched_spans(reduce(DataFrame.unionByName, changes), old, panel.rows_back))
     rows = checkpointed(touched_rows(panel, inputs, spans))
     release(spans)
-    store.upsert(rows, "gold", panel.table, partition=PERIOD, mode="override", keys=[ENTITY, PERIOD], marks=marks)
+    if anew:
+        overwrite_table(rows, store.path("gold", panel.table), [PERIOD], marks)
+    else:
+        store.upsert(rows, "gold", panel.table, partition=PERIOD, mode="override", keys=[ENTITY, PERIOD], marks=marks)
     store.ensure_table("gold", panel.table)
     return rows.select(ENTITY, PERIOD)
 
 
-def refresh_facts(store: TableStore, panels: Sequence[Panel] = PANELS) -> dict[str, DataFrame]:
+def refresh_facts(store: TableStore, panels: Sequence[Panel] = PANELS, anew: bool = False) -> dict[str, DataFrame]:
     """Bring the feature tables and the country facts up to date with what is new in silver.
 
     The result is what making them from the whole of silver gives, as long as silver only gains and renews rows. After a
-    refresh that takes rows away (``mode="replace"``) make them anew. Returns the pairs made again by table; they
+    refresh that takes rows away (``mode="replace"``) make them ``anew``. Returns the pairs made again by table; they
     are on disk until ``release``.
     """
     touched: dict[str, DataFrame] = {}
     for panel in panels:
-        found = refresh_panel(store, panel, touched)
+        found = refresh_panel(store, panel, touched, anew)
         if found is not None:
             touched[panel.table] = found
     return touched

@@ -19,12 +19,11 @@ from panelkit.operators.reports import (
     summarise,
 )
 from panelkit.plans import gold
-from panelkit.plans.incremental import PANELS, refresh_facts
+from panelkit.plans.incremental import refresh_facts
 from panelkit.plans.quarantine import refresh_quarantine
 from panelkit.plans.silver import refresh_all_silver
 from panelkit.plans.summaries import refresh_partials
 from panelkit.sources.feeds import FEEDS
-from panelkit.sources.storage import delete_folder
 from panelkit.sources.tables import TableStore, checkpointed, release
 from panelkit.streaming.ingest import start_ingest
 
@@ -65,10 +64,7 @@ def refresh_features(store: TableStore, anew: bool = False) -> None:
     def publish(name, df, partition_by=()):
         return _publish(store, name, df, partition_by)
 
-    if anew:
-        for panel in PANELS:
-            delete_folder(store.spark, store.path("gold", panel.table))
-    for made in refresh_facts(store).values():
+    for made in refresh_facts(store, anew=anew).values():
         release(made)
     displaced = publish("gold_displacement", gold.displacement(silver("population"), silver("solutions")))
     hosts = publish("gold_host_aggregates", gold.host_aggregates(displaced))

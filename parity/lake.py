@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from panelkit.operators.partials import merged_quality
 from panelkit.plans.incremental import refresh_facts
 from panelkit.plans.silver import refine, refresh_silver
 from panelkit.plans.summaries import refresh_partials
-from panelkit.sources import FeedSpec, TableStore, checkpoint_dir, checkpointed
+from panelkit.sources import FEEDS, FeedSpec, TableStore, checkpoint_dir, checkpointed
 from panelkit.sources import recorded
 from panelkit.sources.storage import delete_folder, names_in
 from panelkit.streaming import append_stream, ingest_feed, read_stream
@@ -244,3 +245,42 @@ def kafka_shaped_ingest(spark: SparkSession, d: str) -> DataFrame:
         append_stream(rows, path, f"{store.root}/checkpoint").awaitTermination()
     found = store.read("bronze", "events")
     return found.select("partition", "offset", F.get_json_object("value", "$.id").cast("bigint").alias("event_id"))
+
+
+@query(sql="SELECT event_id, CAST(event_id % 3 + 1 AS INT) AS batch, true AS is_dated FROM events")
+def stamped_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """The time of ingestion of events that come in three micro-batches: one for all rows of a batch, later ones for later
+    batches, and the day of it as the partition."""
+    events = table(spark, d, "events")
+    store, started = scratch(spark), F.lit(datetime.now(timezone.utc))
+    for part in range(3):
+        send(events.filter(F.col("event_id") % 3 == part), f"{store.root}/inbox")
+        ingest_feed(store, EVENTS, "text", {"path": f"{store.root}/inbox/*"})
+    bronze = store.read("bronze", "events", EVENTS.bronze_schema)
+    stamps = bronze.select("ingested_at").distinct()
+    order = F.sort_array(F.collect_list("ingested_at"))
+    batch = F.array_position(stamps.agg(order).scalar(), F.col("ingested_at")).cast("int")
+    dated = (F.col("ingested_on") == F.to_date("ingested_at")) & (F.col("ingested_at") >= started - F.expr("INTERVAL 1 SECOND"))
+    return bronze.select("event_id", batch.alias("batch"), dated.alias("is_dated"))
+
+
+@query(sql=views.with_ctes("population", body="""
+    SELECT CAST(year AS INT) AS year, coo_iso, coo_name, coa_iso, coa_name, CAST(refugees AS INT) AS refugees,
+           CAST(asylum_seekers AS INT) AS asylum_seekers, CAST(nullif(oip, 0) AS INT) AS oip, CAST(idps AS INT) AS idps
+    FROM population"""))
+def feed_population(spark: SparkSession, d: str) -> DataFrame:
+    """Routes as messages of the feed ``population``, with quoted numbers and ``-`` for none, through its entry in the registry
+    to its silver table: parsed, cleaned, placed and told apart by the feed's own rules. Some come twice, the second time right."""
+    population, _ = views.routes(spark, d)
+    feed, store = FEEDS["population"], scratch(spark)
+    text = lambda c: F.col(c).cast("string").alias(c)
+    none = F.when(F.col("oip") == 0, "-").otherwise(F.col("oip").cast("string")).alias("oip")
+    names = ("coo_iso", "coo_name", "coa_iso", "coa_name")
+    record = F.struct(text("year"), *names, "refugees", text("asylum_seekers"), none, "idps")
+    wrong = F.struct("year", *names, F.lit(-1).alias("refugees"), F.lit("?").alias("asylum_seekers"))
+    rows = checkpointed(population.filter("coo_iso IS NOT NULL AND coa_iso IS NOT NULL"))
+    for messages in (rows.filter("year % 2 = 0").select(F.to_json(wrong).alias("value")), rows.select(F.to_json(record).alias("value"))):
+        messages.write.text(f"{store.root}/inbox/{uuid4().hex}")
+        ingest_feed(store, feed, "text", {"path": f"{store.root}/inbox/*"})
+    refresh_silver(store, feed)
+    return store.read("silver", feed.table).select("year", *names, "refugees", "asylum_seekers", "oip", "idps")

@@ -79,3 +79,17 @@ def test_override_needs_keys_and_wins_whatever_its_age(store, frame):
     assert rows(store.read("gold", "t").select("location_code", "v"), "v") == [("b", 2), (None, 8), ("a", 9)]
     with pytest.raises(ValueError, match="keys"):
         store.upsert(batch, "gold", "t", mode="override")
+
+
+def test_rows_that_went_are_gone_when_made_anew(store, frame):
+    panel = Panel("p", yearly, [Source("silver", "s")], rows_back=2)
+    rows_of = lambda *k: frame(ROWS, *[(x, y, 1, datetime(2024, 1, 1)) for x in k for y in range(2000, 2004)])
+    store.overwrite(rows_of("a", "b"), "silver", "s")
+    refresh_facts(store, [panel])
+    reader = store.read("gold", "p")
+    store.overwrite(rows_of("b"), "silver", "s")
+    assert refresh_facts(store, [panel]) == {}
+    refresh_facts(store, [panel], anew=True)
+    assert rows(store.read("gold", "p").select("location_code").distinct()) == [("b",)]
+    assert reader.count() == 8 and store.version("gold", "p").number == 2
+    assert refresh_facts(store, [panel]) == {}
